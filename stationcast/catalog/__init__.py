@@ -49,4 +49,4 @@ def naive(df: DataFrame) -> DataFrame:
 
 def load() -> None:
     """Import the modules that register queries."""
-    from . import alignment, stations  # noqa: F401
+    from . import alignment, archives, grids, inventories, manifests, scalars, stations  # noqa: F401

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions import units
@@ -207,3 +207,11 @@ def validate(model: str, element: str, *run_hours: int) -> None:
     wrong = [h for h in run_hours if h not in RUN_HOURS.get(model, range(24))]
     if wrong:
         raise ValueError(f"{model} does not run at hours {wrong}; it runs at {RUN_HOURS[model]}")
+
+
+def element_table(spark: SparkSession) -> DataFrame:
+    """The allowed (model, element) pairs as rows, to check requests by a semi-join."""
+    return spark.createDataFrame(
+        [(model, element) for model, elements in ELEMENTS.items() for element in elements],
+        "model string, element string",
+    )
