@@ -121,7 +121,9 @@ def message(number: Column, variable: str, value: Column, percentile: Column | N
     )
 
 
-LINE_FILE = F.concat_ws("/", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string"))
+def line_file() -> Column:
+    """A file per order and line number."""
+    return F.concat_ws("/", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string"))
 
 
 def message_number(i: int) -> Column:
@@ -151,7 +153,7 @@ def wind_components(spark: SparkSession, folder: str) -> DataFrame:
         message(message_number(1), "v10", F.col("l_extendedprice") / 1000 - 50),
         message(message_number(2), "gust", F.col("l_quantity")),
         lead=F.col("l_linenumber") * 6,
-        file=LINE_FILE,
+        file=line_file(),
     )
     return model_forecast(values, station_cells(spark, folder), "hrrr", "Wind")
 
@@ -176,7 +178,7 @@ def wind(spark: SparkSession, folder: str) -> DataFrame:
         message(message_number(1), "wdir10", F.pmod(F.col("l_extendedprice") / 7, F.lit(360.0))),
         message(message_number(2), "t2m", F.col("l_tax")),
         lead=F.col("l_linenumber") * 6 - 1,
-        file=LINE_FILE,
+        file=line_file(),
     )
     return model_forecast(values, station_cells(spark, folder), "nbm", "Wind")
 

@@ -24,10 +24,10 @@ def sql_pick(options: list[str], i: str) -> str:
 
 def inventories(spark: SparkSession, folder: str, name: str, labels: list[Column]) -> DataFrame:
     """Documents as inventories of files with leads of 6 to 120 hours."""
-    lead = (F.pmod("doc_id", F.lit(20)) + 1) * 6
+    hours = (F.pmod("doc_id", F.lit(20)) + 1) * 6
     documents = table(spark, folder, "documents").select(
-        F.concat(F.lit("run"), F.col("doc_id").cast("string"), F.lit("/"), F.format_string(name, lead)).alias("file"),
-        lead.cast("int").alias("lead"),
+        F.concat(F.lit("run"), F.col("doc_id").cast("string"), F.lit("/"), F.format_string(name, hours)).alias("file"),
+        hours.cast("int").alias("lead"),
         split_lines(F.col("text")).alias("text"),
     )
 
@@ -46,15 +46,26 @@ def inventories(spark: SparkSession, folder: str, name: str, labels: list[Column
     return documents.select("file", F.transform("text", line).alias("lines"))
 
 
-LEAD = F.col("lead")
-SPAN = F.concat((LEAD - 6).cast("string"), F.lit("-"), LEAD.cast("string"), F.lit(" hour acc fcst"))
-INSTANT = F.concat(LEAD.cast("string"), F.lit(" hour fcst"))
-TOTAL = F.concat(F.lit("0-"), LEAD.cast("string"), F.lit(" hour acc fcst"))
-DAYS = F.concat(F.lit("0-"), (LEAD / 24).cast("int").cast("string"), F.lit(" day acc fcst"))
-ANNOTATED = F.concat(
-    (LEAD - 6).cast("string"), F.lit("-"), LEAD.cast("string"), F.lit(" hour acc@(fcst,dt=6 hour),missing=0")
-)
-PLAIN = [SPAN, INSTANT, TOTAL, DAYS]
+def lead() -> Column:
+    return F.col("lead").cast("string")
+
+
+def span() -> Column:
+    return F.concat((F.col("lead") - 6).cast("string"), F.lit("-"), lead())
+
+
+def plain() -> list[Column]:
+    days = (F.col("lead") / 24).cast("int").cast("string")
+    return [
+        F.concat(span(), F.lit(" hour acc fcst")),
+        F.concat(lead(), F.lit(" hour fcst")),
+        F.concat(F.lit("0-"), lead(), F.lit(" hour acc fcst")),
+        F.concat(F.lit("0-"), days, F.lit(" day acc fcst")),
+    ]
+
+
+def annotated() -> list[Column]:
+    return [F.concat(span(), F.lit(f" hour acc{text}")) for text in ("@(fcst,dt=6 hour),missing=0", " fcst")]
 
 
 def lines_sql(name: str, labels: str) -> str:
@@ -99,7 +110,7 @@ PERCENTILE_SQL = r"TRY_CAST(regexp_extract(trim(split_part(line, ':', -1)), '^(\
 @query("message_bytes", f"WITH {lines_sql(BLEND, PLAIN_SQL)} SELECT file, line_no, line, range_start, range_end, byte_range FROM messages")
 def message_bytes(spark: SparkSession, folder: str) -> DataFrame:
     """Bytes of every message of every file."""
-    return byte_ranges(inventories(spark, folder, BLEND, PLAIN))
+    return byte_ranges(inventories(spark, folder, BLEND, plain()))
 
 
 @query(
@@ -110,7 +121,7 @@ WHERE {contains(':WIND:10 m above', ':APCP:surface')} AND NOT {contains('ens std
 )
 def message_filter(spark: SparkSession, folder: str) -> DataFrame:
     """Any of some strings, all of others, none of a third kind, and a label."""
-    files = inventories(spark, folder, BLEND, PLAIN).withColumn(
+    files = inventories(spark, folder, BLEND, plain()).withColumn(
         "lead", F.regexp_extract("file", r"f(\d{3})", 1).cast("int")
     )
     return select_messages(
@@ -133,7 +144,7 @@ HAVING bool_or(contains(line, ':WIND:10 m above') AND NOT contains(line, 'ens st
 def complete(spark: SparkSession, folder: str) -> DataFrame:
     """Files in which every wanted variable occurs."""
     search = [":WIND:10 m above", ":WDIR:10 m above", ":GUST:10 m above"]
-    files = complete_files(inventories(spark, folder, BLEND, PLAIN), search, exclude=["ens std dev"])
+    files = complete_files(inventories(spark, folder, BLEND, plain()), search, exclude=["ens std dev"])
     return files.select("file", F.size("lines").cast("long").alias("lines"))
 
 
@@ -144,11 +155,10 @@ def complete(spark: SparkSession, folder: str) -> DataFrame:
   HAVING bool_or(contains(line, ':WIND:10 m above')) AND bool_or(contains(line, ':WDIR:10 m above'))
      AND bool_or(contains(line, ':GUST:10 m above')))
 SELECT {COLUMNS} FROM messages SEMI JOIN whole USING (file)
-WHERE {contains(':WIND:10 m above', ':WDIR:10 m above', ':GUST:10 m above')} AND NOT contains(line, 'ens std dev')
-  AND contains(line, '10 m above ground') OR false""",
+WHERE {contains(':WIND:10 m above', ':WDIR:10 m above', ':GUST:10 m above')} AND NOT contains(line, 'ens std dev')""",
 )
 def messages_wind(spark: SparkSession, folder: str) -> DataFrame:
-    return select_element(inventories(spark, folder, BLEND, PLAIN), "nbm", "Wind")
+    return select_element(inventories(spark, folder, BLEND, plain()), "nbm", "Wind")
 
 
 @query(
@@ -158,7 +168,7 @@ WHERE contains(line, ':APCP:surface:') AND contains(line, (lead - 6) || '-' || l
   AND {PERCENTILE_SQL}""",
 )
 def messages_percentiles(spark: SparkSession, folder: str) -> DataFrame:
-    return select_element(inventories(spark, folder, QMD, PLAIN), "nbmqmd", "precip6hr")
+    return select_element(inventories(spark, folder, QMD, plain()), "nbmqmd", "precip6hr")
 
 
 @query(
@@ -169,7 +179,7 @@ WHERE contains(line, ':APCP:surface:') AND {PERCENTILE_SQL}
                           ELSE greatest(0, lead - 24) || '-' || lead || ' hour acc fcst' END)""",
 )
 def messages_day_totals(spark: SparkSession, folder: str) -> DataFrame:
-    return select_element(inventories(spark, folder, QMD, PLAIN), "nbmqmd", "precip24hr")
+    return select_element(inventories(spark, folder, QMD, plain()), "nbmqmd", "precip24hr")
 
 
 @query(
@@ -180,7 +190,7 @@ WHERE contains(line, ':APCP:surface') AND NOT contains(line, 'ens std dev')
                           ELSE '0-' || lead || ' hour acc fcst' END)""",
 )
 def messages_run_totals(spark: SparkSession, folder: str) -> DataFrame:
-    return select_element(inventories(spark, folder, HRRR, PLAIN), "hrrr", "precip6hr")
+    return select_element(inventories(spark, folder, HRRR, plain()), "hrrr", "precip6hr")
 
 
 @query(
@@ -190,8 +200,7 @@ WHERE contains(line, ':ASNOW:surface:') AND NOT contains(line, 'prob') AND {PERC
   AND regexp_matches(line, ':' || (lead - 6) || '-' || lead || '\s+hour\s+acc@\(\s*fcst\s*,\s*dt=6\s*hour\s*\),missing=\d+:')""",
 )
 def messages_annotated(spark: SparkSession, folder: str) -> DataFrame:
-    plain = F.concat((LEAD - 6).cast("string"), F.lit("-"), LEAD.cast("string"), F.lit(" hour acc fcst"))
-    return select_element(inventories(spark, folder, BLEND, [ANNOTATED, plain]), "nbm", "snow6hr")
+    return select_element(inventories(spark, folder, BLEND, annotated()), "nbm", "snow6hr")
 
 
 @query(
@@ -207,10 +216,10 @@ SELECT *, CASE WHEN lead = 0 THEN NULL
             ELSE '0-' || lead || ' hour acc fcst' END AS run_label FROM leads""",
 )
 def accumulation_labels(spark: SparkSession, folder: str) -> DataFrame:
-    lead = (F.col("l_quantity") * 6 - 6).cast("int")
+    hours = (F.col("l_quantity") * 6 - 6).cast("int")
     return (
         table(spark, folder, "lineitem")
-        .select("l_orderkey", "l_linenumber", lead.alias("lead"))
+        .select("l_orderkey", "l_linenumber", hours.alias("lead"))
         .withColumns(
             {
                 "day_label": day_accumulation_label(F.col("lead")),

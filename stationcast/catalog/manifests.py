@@ -28,8 +28,8 @@ def expected(spark: SparkSession, folder: str) -> DataFrame:
 def listing(spark: SparkSession, folder: str) -> DataFrame:
     """Files and some of their indexes, named after ship dates, hours and quantities."""
     run = F.date_format("l_shipdate", "yyyyMMdd")
-    hour = F.format_string("%02d", F.pmod("l_linenumber", F.lit(3)) * 6)
-    lead = F.format_string("%02d", F.pmod(F.col("l_quantity").cast("int"), F.lit(7)) * 6 + 12)
+    hour = names.zero_padded(F.pmod("l_linenumber", F.lit(3)) * 6, 2)
+    lead = names.zero_padded(F.pmod(F.col("l_quantity").cast("int"), F.lit(7)) * 6 + 12, 2)
     url = F.concat(
         F.lit(f"{BASE}/hrrr."), run, F.lit("/alaska/hrrr.t"), hour, F.lit("z.wrfsfcf"), lead, F.lit(".ak.grib2"),
         F.when(F.col("l_returnflag") == "N", "").otherwise(".idx"),

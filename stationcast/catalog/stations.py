@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..operators.accumulate import interval_from_total, rolling_total, with_exact_lag
 from ..operators.extremes import TMAX_12_TO_06, TMIN_00_TO_18, daily_extreme
 from ..plans.observations import observations
+from ..session import written
 from ..sources import stations as dim
 from ..sources.observations import parse_precipitation, parse_temperatures, parse_timeseries
 from . import query, table
@@ -289,15 +290,17 @@ def json_precipitation(spark: SparkSession, folder: str) -> DataFrame:
     return parse_precipitation(precipitation_responses(spark, folder))
 
 
-def attribute_responses(spark: SparkSession, folder: str) -> DataFrame:
-    """Station attributes; users are customers, and one segment has no attributes."""
+def attributes(spark: SparkSession, folder: str) -> DataFrame:
+    """Attributes from responses, as a written table of known size.  Users are
+    customers, and one segment has no attributes."""
     station = F.struct(
         F.concat(F.lit("U"), text(F.col("c_custkey"))).alias("STID"),
         F.col("c_mktsegment").alias("NWSZONE"),
         F.concat(F.lit("CWA"), text(F.col("c_nationkey"))).alias("CWA"),
     )
     customers = table(spark, folder, "customer").where("c_mktsegment <> 'MACHINERY'")
-    return customers.select(F.to_json(F.struct(F.array(station).alias("STATION"))).alias("payload"))
+    responses = customers.select(F.to_json(F.struct(F.array(station).alias("STATION"))).alias("payload"))
+    return written(dim.parse_attributes(responses), "attributes")
 
 
 ATTRIBUTES_SQL = """
@@ -316,7 +319,7 @@ def station_attributes(spark: SparkSession, folder: str) -> DataFrame:
     rows = table(spark, folder, "events").select(
         "event_id", F.concat(F.lit("U"), text(F.col("user_id"))).alias("stid")
     )
-    return dim.with_attributes(rows, dim.parse_attributes(attribute_responses(spark, folder)))
+    return dim.with_attributes(rows, attributes(spark, folder))
 
 
 @query(
@@ -330,8 +333,7 @@ FROM (SELECT {PLACE_SQL}, date_trunc('second', ts) + i * INTERVAL 1 HOUR AS vali
 LEFT JOIN attributes a ON a.stid = o.stid""",
 )
 def observed_wind(spark: SparkSession, folder: str) -> DataFrame:
-    attributes = dim.parse_attributes(attribute_responses(spark, folder))
-    return observations(wind_responses(spark, folder), attributes, "Wind")
+    return observations(wind_responses(spark, folder), attributes(spark, folder), "Wind")
 
 
 @query(
@@ -346,8 +348,7 @@ SELECT r.stid, r.lat, r.lon, r.elev, CAST(24 AS INTEGER) AS accum_hours, CAST(12
 FROM r LEFT JOIN attributes a ON a.stid = r.stid WHERE r.n = 2""",
 )
 def observed_precip(spark: SparkSession, folder: str) -> DataFrame:
-    attributes = dim.parse_attributes(attribute_responses(spark, folder))
-    totals = observations(precipitation_responses(spark, folder), attributes, "precip24hr")
+    totals = observations(precipitation_responses(spark, folder), attributes(spark, folder), "precip24hr")
     return totals.withColumn("precip_total", F.round("precip_total", 6))
 
 
@@ -363,8 +364,7 @@ SELECT d.stid, d.lat, d.lon, d.elev, d.date, d.date + INTERVAL 12 HOURS AS windo
 FROM days d LEFT JOIN attributes a ON a.stid = d.stid""",
 )
 def observed_maxt(spark: SparkSession, folder: str) -> DataFrame:
-    attributes = dim.parse_attributes(attribute_responses(spark, folder))
-    return observations(temperature_responses(spark, folder), attributes, "maxt")
+    return observations(temperature_responses(spark, folder), attributes(spark, folder), "maxt")
 
 
 @query(

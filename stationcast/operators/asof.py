@@ -35,10 +35,11 @@ def asof_nearest(
     How it scales: the match depends on the key and the time only, so both sides are
     first reduced to one row per (key, time), map-side where rows repeat.  Timelines
     are cut into slices of ``slice_width`` and sorted per (key, slice), never per
-    key; one small row per slice carries the closest earlier and later right row
-    into slices that need them.  No pairs are formed.  The match then joins back to
-    the left rows on (key, time), where it is unique, so a skewed left side can be
-    split freely.
+    key; the closest right rows outside a slice are carried in.  No pairs are formed.
+    A slice holds at most its width divided by the clock's resolution rows per side
+    (3,600 for an hour of seconds); choose narrower slices for finer clocks.  The
+    match joins back to the left rows on (key, time), where it is unique, so a skewed
+    left side can be split freely.
     """
     if tie not in ("earlier", "later") or after_duplicates not in ("first", "last"):
         raise ValueError("tie is 'earlier' or 'later', after_duplicates is 'first' or 'last'")
@@ -65,8 +66,7 @@ def asof_nearest(
             F.struct("_t", F.col("_last").alias("row")).alias("_hi"),
         )
     )
-    point = right_keys.schema["_hi"].dataType
-    nothing = F.lit(None).cast(point)
+    nothing = F.lit(None).cast(right_keys.schema["_hi"].dataType)
     left_keys = (
         left.dropna(subset=[*by, left_time])
         .select(*by, micros(F.col(left_time)).alias("_t"))
@@ -75,34 +75,7 @@ def asof_nearest(
     )
     timeline = left_keys.unionByName(right_keys).withColumn("_slice", slice_start(F.col("_t"), width))
 
-    # One row per (key, slice): what the neighbouring slices offer.
-    edges = timeline.groupBy(*by, "_slice").agg(
-        F.min("_lo").alias("_lo"), F.max("_hi").alias("_hi"), F.max("_wanted").alias("_wanted")
-    )
-    slices = Window.partitionBy(*by).orderBy("_slice")
-    offered = (
-        edges.withColumn(
-            "_prev", F.last("_hi", ignorenulls=True).over(slices.rowsBetween(Window.unboundedPreceding, -1))
-        )
-        .withColumn("_next", _next_present("_lo", by, ["_slice"]))
-        .where("_wanted")
-    )
-    near_prev = F.when(F.col("_prev._t") >= F.col("_slice") - tol, F.col("_prev"))
-    near_next = F.when(F.col("_next._t") < F.col("_slice") + width + tol, F.col("_next"))
-    carried_in = (
-        offered.select(
-            *by,
-            "_slice",
-            F.explode(
-                F.array(
-                    F.struct(nothing.alias("_lo"), near_prev.alias("_hi")),
-                    F.struct(near_next.alias("_lo"), nothing.alias("_hi")),
-                )
-            ).alias("_in"),
-        )
-        .select(*by, F.coalesce("_in._hi._t", "_in._lo._t").alias("_t"), F.lit(False).alias("_wanted"), "_in.*", "_slice")
-        .where("_t is not null")
-    )
+    carried_in = _carry(timeline, by, tol, width)
 
     in_slice = Window.partitionBy(*by, "_slice").orderBy("_t", "_wanted")
     scan = (
@@ -130,6 +103,45 @@ def asof_nearest(
     )
 
 
+def _carry(timeline: DataFrame, by: list[str], tol: int, width: int) -> DataFrame:
+    """Right rows that slices need from outside: the closest before and after.
+
+    Each slice offers its last row to later slices and its first row to earlier ones.
+    If the tolerance spans no more than a slice, the offer goes to the neighbours and
+    nothing else is needed.  Otherwise the slices of a key, one small row each, are
+    lined up, and every slice that has left rows takes the closest offers.
+    """
+    nothing = F.lit(None).cast(timeline.schema["_hi"].dataType)
+    slice_ = F.col("_slice")
+
+    def taken(start: Column, low: Column, high: Column) -> Column:
+        return F.struct(start.alias("_slice"), low.alias("_lo"), high.alias("_hi"))
+
+    if tol <= width:
+        edges = (
+            timeline.where("not _wanted").groupBy(*by, "_slice").agg(F.min("_lo").alias("_lo"), F.max("_hi").alias("_hi"))
+        )
+        offers = [taken(slice_ + width, nothing, F.col("_hi")), taken(slice_ - width, F.col("_lo"), nothing)]
+    else:
+        slices = Window.partitionBy(*by).orderBy("_slice")
+        edges = (
+            timeline.groupBy(*by, "_slice")
+            .agg(F.min("_lo").alias("_lo"), F.max("_hi").alias("_hi"), F.max("_wanted").alias("_wanted"))
+            .withColumn("_prev", F.last("_hi", ignorenulls=True).over(slices.rowsBetween(Window.unboundedPreceding, -1)))
+            .withColumn("_next", _next_present("_lo", by, ["_slice"]))
+            .where("_wanted")
+        )
+        offers = [taken(slice_, nothing, F.col("_prev")), taken(slice_, F.col("_next"), nothing)]
+    # What lies beyond the tolerance of the whole slice helps no row in it.
+    point = F.coalesce("_hi._t", "_lo._t")
+    return (
+        edges.select(*by, F.inline(F.array(*offers)))
+        .withColumn("_t", point)
+        .where((point >= slice_ - tol) & (point < slice_ + width + tol))
+        .withColumn("_wanted", F.lit(False))
+    )
+
+
 def _next_present(column: str, by: Sequence[str], order: Sequence[str]) -> Column:
     """Next non-null value of a column.  Unlike ``first`` over the following rows,
     which Spark evaluates anew for each row, this is a single pass."""

@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from ..functions.units import normalise_grid_longitude, wrap_longitude
 
-# Tile widths in powers of two degrees, coarse to fine: 64°, 8°, 1°, 1/8°, 1/64°.
-LEVELS = (6, 3, 0, -3, -6)
+# Tile widths in powers of two degrees, coarse to fine: 64°, 8°, 1°, 1/8°.  A grid of
+# 3 km has about ten cells in the finest; add -6 for grids much finer than 1 km.
+LEVELS = (6, 3, 0, -3)
 
 
 def unravel(flat: Column, nx: Column) -> tuple[Column, Column]:

@@ -20,20 +20,19 @@ BLEND_SUITES = {"nbm": "core", "nbm_exp": "core", "nbmqmd": "qmd", "nbmqmd_exp":
 def file_url(base_url: str, model: str, run: Column, lead: Column, domain: str = "ak") -> Column:
     """URL of the gridded file of a run and lead hour."""
     day, hour = F.date_format(run, "yyyyMMdd"), F.date_format(run, "HH")
+
+    def path(*parts: Column | str) -> Column:
+        return F.concat(F.lit(base_url.rstrip("/") + "/"), *[F.lit(p) if isinstance(p, str) else p for p in parts])
+
     if model in BLEND_SUITES:
-        suite = BLEND_SUITES[model]
-        path = F.format_string(
-            f"blend.%s/%s/{suite}/blend.t%sz.{suite}.f%03d.{domain}.grib2", day, hour, hour, lead
-        )
-    elif model == "hrrr":
-        path = F.format_string(
-            f"hrrr.%s/{DOMAINS[domain]}/hrrr.t%sz.wrfsfcf%02d.{domain}.grib2", day, hour, lead
-        )
-    elif model == "urma":
-        path = F.format_string(f"{domain}urma.%s/{domain}urma.t%sz.2dvaranl_ndfd_3p0.grb2", day, hour)
-    else:
-        raise NotImplementedError(f"no file naming known for model {model!r}")
-    return F.concat(F.lit(base_url.rstrip("/") + "/"), path)
+        suite, fff = BLEND_SUITES[model], names.zero_padded(lead, 3)
+        return path("blend.", day, "/", hour, f"/{suite}/blend.t", hour, f"z.{suite}.f", fff, f".{domain}.grib2")
+    if model == "hrrr":
+        ff = names.zero_padded(lead, 2)
+        return path("hrrr.", day, f"/{DOMAINS[domain]}/hrrr.t", hour, "z.wrfsfcf", ff, f".{domain}.grib2")
+    if model == "urma":
+        return path(f"{domain}urma.", day, f"/{domain}urma.t", hour, "z.2dvaranl_ndfd_3p0.grb2")
+    raise NotImplementedError(f"no file naming known for model {model!r}")
 
 
 def expected_files(

@@ -145,7 +145,7 @@ def select_element(inventories: DataFrame, model: str, element: str) -> DataFram
             "precip6hr": names.span_label(lead - 6, lead, "hour acc fcst"),
             "maxt": names.span_label(lead - 18, lead, "hour max fcst"),
             "mint": names.span_label(lead - 18, lead, "hour min fcst"),
-        }.get(element, F.format_string("%d hour fcst", lead))
+        }.get(element, F.concat(lead.cast("string"), F.lit(" hour fcst")))
         return select_messages(files.where("_lead is not null"), search, label=label, percentiles=rules.PERCENTILES)
     if element in ("precip6hr", "snow6hr"):  # only hrrr; nbm snow comes as percentiles
         if model == "hrrr":

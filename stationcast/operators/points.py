@@ -73,8 +73,9 @@ def percentile_columns(
     keys: Sequence[str],
     order: str = "msg_no",
     percentiles: Sequence[int] = PERCENTILES,
+    also: Sequence[Column] = (),
 ) -> DataFrame:
-    """One row per key with a converted column per percentile.
+    """One row per key with a converted column per percentile, and any ``also`` aggregates.
 
     Of repeated percentiles the last message counts.  One aggregation over plain
     numbers: it combines map-side and needs neither a second shuffle nor a job to
@@ -85,7 +86,8 @@ def percentile_columns(
         mine = F.col("percentile") == p
         return F.max_by(F.when(mine, F.col("value")), F.when(mine, F.col(order)))
 
-    return points.groupBy(*keys).agg(*[rule.apply(last(p)).alias(f"{rule.column}_p{p}") for p in percentiles])
+    columns = [rule.apply(last(p)).alias(f"{rule.column}_p{p}") for p in percentiles]
+    return points.groupBy(*keys).agg(*also, *columns)
 
 
 def first_of_file(column: str, order: str = "msg_no") -> Column:

@@ -61,13 +61,16 @@ def wind_from_components(rows: DataFrame) -> DataFrame:
 
 
 def _percentile_forecast(values: DataFrame, station_cells: DataFrame, element: str) -> DataFrame:
+    """One row per station and file, dated by the file's first message.  Every message
+    covers every cell, so the first one is among the station's own rows."""
     rule = rules.PERCENTILE_COLUMNS[element]
-    points = extract_points(values.where("percentile is not null"), station_cells)
-    # A file's rows share the valid time of its first message.
-    times = values.groupBy("file").agg(first_of_file("valid_time").alias("_file_time"))
-    points = points.join(times, "file").withColumn("valid_time", F.col("_file_time")).drop("_file_time")
-    keys = ["file", *RUN_KEYS]
-    return percentile_columns(with_init_time(points), rule, keys).drop("file")
+    rows = percentile_columns(
+        extract_points(values, station_cells),
+        rule,
+        ["station_id", "file"],
+        also=[first_of_file("valid_time").alias("valid_time"), first_of_file("forecast_hour").alias("forecast_hour")],
+    )
+    return with_init_time(rows).select(*RUN_KEYS, *[f"{rule.column}_p{p}" for p in rules.PERCENTILES])
 
 
 def pair_files(speed: DataFrame, direction: DataFrame, tolerance: timedelta = timedelta(minutes=2)) -> DataFrame:

@@ -6,13 +6,14 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import date, datetime, timedelta
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.times import parse_utc
+from ..functions.times import months_between, parse_utc
 from ..functions.units import ms_to_knots
 from ..operators.asof import asof_nearest
-from ..sources.archive import apply_filters, project
+from ..operators.metrics import common_metrics
+from ..sources.archive import apply_filters, project, read_months
 
 DEFAULT_TOLERANCE = timedelta(minutes=30)
 
@@ -30,6 +31,32 @@ class DatasetSpec:
         return list(dict.fromkeys([self.time, self.station, *self.values.values()]))
 
 
+@dataclass(frozen=True)
+class MonthlyArchive:
+    """Where the monthly files of a dataset lie and what their columns are called."""
+
+    root: str
+    token: str
+    spec: DatasetSpec
+    pattern: str = "{YYYY}_{MM}_{model}_{element}_archive.parquet"
+    case: str = "lower"
+
+    def read(self, spark: SparkSession, element: str, first: date, last: date) -> DataFrame:
+        """The months from ``first`` to ``last`` that have a file."""
+        _check_days(first, last)
+        return read_months(
+            spark,
+            self.root,
+            months_between(first, last),
+            self.token,
+            element,
+            pattern=self.pattern,
+            case=self.case,
+            columns=self.spec.needed(),
+            times=[self.spec.time],
+        )
+
+
 @dataclass(frozen=True)
 class Units:
     """Units of an element on both sides, and whether to convert observations."""
@@ -53,10 +80,14 @@ def standardise(df: DataFrame, spec: DatasetSpec, role: str, time: str, keep: Se
     return renamed.dropna(subset=[time, "station_id"])
 
 
-def within_days(df: DataFrame, time: str, first: date, last: date) -> DataFrame:
-    """Times from 00Z of ``first`` up to, not including, 00Z after ``last``."""
+def _check_days(first: date, last: date) -> None:
     if first > last:
         raise ValueError("the first day is after the last")
+
+
+def within_days(df: DataFrame, time: str, first: date, last: date) -> DataFrame:
+    """Times from 00Z of ``first`` up to, not including, 00Z after ``last``."""
+    _check_days(first, last)
     start = datetime(first.year, first.month, first.day)
     end = datetime(last.year, last.month, last.day) + timedelta(days=1)
     kind = df.schema[time].dataType
@@ -109,3 +140,33 @@ def align(
     wide = convert_observed(matched, units)
     values = [c for c in wide.columns if c.startswith(("forecast_", "observed_")) and c != "observed_time"]
     return wide.select("valid_time", "station_id", *values)
+
+
+def verify(
+    spark: SparkSession,
+    forecasts: MonthlyArchive,
+    observations: MonthlyArchive,
+    element: str,
+    *,
+    first: date,
+    last: date,
+    **options,
+) -> DataFrame:
+    """Aligned rows of an element between two days, read from two monthly archives."""
+    return align(
+        forecasts.read(spark, element, first, last),
+        observations.read(spark, element, first, last),
+        forecasts.spec,
+        observations.spec,
+        first=first,
+        last=last,
+        **options,
+    )
+
+
+def choose_metric(wide: DataFrame, preferred: str | None = None) -> str:
+    """The preferred metric if both sides have it, else the first that both have."""
+    metrics = common_metrics(wide.columns)
+    if not metrics:
+        raise ValueError("forecasts and observations have no metric in common")
+    return preferred if preferred in metrics else metrics[0]

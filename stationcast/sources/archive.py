@@ -118,6 +118,11 @@ def _read_if_any(spark: SparkSession, paths: Sequence[str], schema: T.StructType
 # -- writing -------------------------------------------------------------------
 
 
+def archive_path(root: str, source: str, element: str) -> str:
+    """Folder of a source's element, the same wherever archives are kept."""
+    return f"{root.rstrip('/')}/{source.lower()}/{element.lower()}"
+
+
 def with_month(df: DataFrame, time: str = "valid_time") -> DataFrame:
     return df.withColumns({"year": F.year(time), "month": F.month(time)})
 
@@ -169,8 +174,11 @@ def append_archive(
 
 
 def peek(spark: SparkSession, path: str, rows: int = 10) -> DataFrame:
-    """The first rows of an archive."""
-    return read_archive(spark, path).limit(rows)
+    """A few rows of the archive's first file in path order, for a look at its
+    contents and schema."""
+    archive = read_archive(spark, path)
+    files = archive.inputFiles()
+    return read_archive(spark, min(files)).limit(rows) if files else archive
 
 
 def month_summary(df: DataFrame, time: str = "valid_time") -> DataFrame:

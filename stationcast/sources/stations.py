@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,7 +48,11 @@ def parse_attributes(payloads: DataFrame) -> DataFrame:
 
 
 def with_attributes(rows: DataFrame, attributes: DataFrame) -> DataFrame:
-    """Add NWSZONE and NWSCWA by station; unknown stations get nulls."""
+    """Add NWSZONE and NWSCWA by station; unknown stations get nulls.
+
+    Pass ``attributes`` as a table on disk: its known size lets Spark broadcast it
+    when it is small, and the observations then stay where they are.
+    """
     looked_up = attributes.select("stid", F.col("zone").alias("NWSZONE"), F.col("cwa").alias("NWSCWA"))
     return rows.join(looked_up, "stid", "left").select(*rows.columns, "NWSZONE", "NWSCWA")
 
@@ -79,3 +84,14 @@ def read_stations(spark: SparkSession, path: str) -> DataFrame:
 
 def write_stations(stations: DataFrame, path: str, mode: str = "errorifexists") -> None:
     stations.write.mode(mode).csv(path, header=True)
+
+
+def ensure_stations(spark: SparkSession, path: str, payloads: DataFrame) -> DataFrame:
+    """The station table at ``path``, written from metadata JSON first if there is none."""
+    try:
+        return read_stations(spark, path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+    write_stations(parse_stations(payloads), path)
+    return read_stations(spark, path)

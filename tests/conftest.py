@@ -7,5 +7,6 @@ from stationcast.session import local_session
 def spark(tmp_path_factory):
     session = local_session("4", "stationcast-tests")
     session.sparkContext.setLogLevel("ERROR")
+    session.conf.set("spark.sql.shuffle.partitions", "3")
     yield session
     session.stop()

@@ -63,8 +63,9 @@ def test_column_clash_is_refused(spark):
         asof_nearest(l, l, by=["stid"], left_time="valid", right_time="valid", tolerance=HALF_HOUR)
 
 
-@pytest.mark.parametrize("slice_minutes", [1, 7, 60, 100_000])
-@pytest.mark.parametrize("tolerance_minutes", [3, 45, 600])
+@pytest.mark.parametrize(
+    "slice_minutes, tolerance_minutes", [(1, 3), (7, 45), (60, 45), (45, 45), (60, 600), (100_000, 600)]
+)
 def test_equals_pandas_for_any_slice_width(spark, slice_minutes, tolerance_minutes):
     rng = np.random.default_rng(7)
     start = pd.Timestamp("2025-01-01")
