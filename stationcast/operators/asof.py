@@ -27,19 +27,17 @@ def asof_nearest(
     """Every left row with the nearest right row of the same ``by`` key, or nulls.
 
     The tolerance is inclusive.  At equal distance ``tie`` says whether the "earlier"
-    or the "later" right row wins.  Of right rows at the same time, the last (by
-    ``seq``, or by content where no ``seq`` is given) serves left rows at or after
-    it; left rows before it get the ``after_duplicates`` one.  All left rows are
-    kept, repeated ones too; a right row may serve many.
-
-    How it scales: the match depends on the key and the time only, so both sides are
-    first reduced to one row per (key, time), map-side where rows repeat.  Timelines
-    are cut into slices of ``slice_width`` and sorted per (key, slice), never per
-    key; the closest right rows outside a slice are carried in.  No pairs are formed.
-    A slice holds at most its width divided by the clock's resolution rows per side
-    (3,600 for an hour of seconds); choose narrower slices for finer clocks.  The
-    match joins back to the left rows on (key, time), where it is unique, so a skewed
-    left side can be split freely.
+    or the "later" right row wins.  Of right rows at the same time, the last by
+    ``seq`` serves left rows at or after it; left rows before it get the
+    ``after_duplicates`` one.  Without ``seq`` one of them is picked by its content,
+    always the same.  All left rows are kept, repeated ones too; a right row may
+    serve many.
+
+    How it scales: which time matches which depends on the key and the time only, so
+    that is settled first, on the distinct (key, time) pairs of both sides; rows that
+    repeat a pair are combined map-side.  No pairs of rows are formed.  The matched
+    right rows, one per (key, time), are then fetched and joined to the left rows on
+    (key, time), where they are unique, so a skewed left side can be split freely.
     """
     if tie not in ("earlier", "later") or after_duplicates not in ("first", "last"):
         raise ValueError("tie is 'earlier' or 'later', after_duplicates is 'first' or 'last'")
@@ -48,96 +46,123 @@ def asof_nearest(
     clash = sorted(set(carried) & set(left.columns))
     if clash:
         raise ValueError(f"columns on both sides: {clash}")
-    tol, width = as_micros(tolerance), as_micros(slice_width)
 
-    # _hi serves left rows at or after it, _lo serves left rows before it.
-    payload = F.struct(*([F.col(seq).alias("_seq")] if seq else []), *carried)
-    first_or_last = F.min if after_duplicates == "first" else F.max
-    right_keys = (
+    matches = nearest_times(
+        _distinct_times(left, by, left_time),
+        _distinct_times(right, by, right_time),
+        by,
+        tolerance=tolerance,
+        tie=tie,
+        slice_width=slice_width,
+    )
+
+    # One right row per (key, time); first and last differ only where times repeat.
+    # Picking column by column lets numbers be aggregated by hash.
+    values = [c for c in carried if c != right_time]
+    order = F.col(seq) if seq else F.xxhash64(*carried)
+    picks = [F.max_by(c, "_order").alias(f"_last_{c}") for c in values]
+    if after_duplicates == "first":
+        picks += [F.min_by(c, "_order").alias(f"_first_{c}") for c in values]
+    rows = (
         right.dropna(subset=[*by, right_time])
-        .select(*by, micros(F.col(right_time)).alias("_t"), payload.alias("_row"))
-        .groupBy(*by, "_t")
-        .agg(first_or_last("_row").alias("_first"), F.max("_row").alias("_last"))
-        .select(
-            *by,
-            "_t",
-            F.lit(False).alias("_wanted"),
-            F.struct("_t", F.col("_first").alias("row")).alias("_lo"),
-            F.struct("_t", F.col("_last").alias("row")).alias("_hi"),
-        )
+        .select(*by, *carried, micros(F.col(right_time)).alias("_to"), order.alias("_order"))
+        .groupBy(*by, "_to")
+        .agg(F.max(right_time).alias(right_time), *picks)
     )
-    nothing = F.lit(None).cast(right_keys.schema["_hi"].dataType)
-    left_keys = (
-        left.dropna(subset=[*by, left_time])
-        .select(*by, micros(F.col(left_time)).alias("_t"))
-        .distinct()
-        .select(*by, "_t", F.lit(True).alias("_wanted"), nothing.alias("_lo"), nothing.alias("_hi"))
+
+    def value(c: str) -> Column:
+        if c == right_time:
+            return F.col(c)
+        if after_duplicates == "last":
+            return F.col(f"_last_{c}").alias(c)
+        return F.when(F.col("_later"), F.col(f"_first_{c}")).otherwise(F.col(f"_last_{c}")).alias(c)
+
+    found = matches.join(rows, [*by, "_to"]).select(*by, "_t", *[value(c) for c in carried])
+    return (
+        left.withColumn("_t", micros(F.col(left_time)))
+        .join(found, [*by, "_t"], "left")
+        .select(*left.columns, *carried)
     )
-    timeline = left_keys.unionByName(right_keys).withColumn("_slice", slice_start(F.col("_t"), width))
 
-    carried_in = _carry(timeline, by, tol, width)
 
+def nearest_times(
+    wanted: DataFrame,
+    offered: DataFrame,
+    by: list[str],
+    *,
+    tolerance: timedelta,
+    tie: str = "earlier",
+    slice_width: timedelta = timedelta(hours=1),
+) -> DataFrame:
+    """For each wanted time of a key the nearest offered one within the tolerance.
+
+    Both frames hold distinct (key, ``_t`` in micros).  The result has the matched
+    time ``_to`` and whether it is ``_later``; times without a match are left out.
+
+    Timelines are cut into slices and sorted per (key, slice), never per key; the
+    closest offers outside a slice are carried in.  A slice holds at most its width
+    divided by the clock's resolution rows per side (3,600 for an hour of seconds);
+    choose narrower slices for finer clocks.
+    """
+    tol, width = as_micros(tolerance), as_micros(slice_width)
+    slice_ = slice_start(F.col("_t"), width)
+    timeline = (
+        wanted.select(*by, "_t", F.lit(True).alias("_wanted"))
+        .unionByName(offered.select(*by, "_t", F.lit(False).alias("_wanted")))
+        .withColumn("_slice", slice_)
+    )
     in_slice = Window.partitionBy(*by, "_slice").orderBy("_t", "_wanted")
+    so_far = in_slice.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     scan = (
-        timeline.unionByName(carried_in)
-        .withColumn(
-            "_before",
-            F.last("_hi", ignorenulls=True).over(in_slice.rowsBetween(Window.unboundedPreceding, Window.currentRow)),
-        )
-        .withColumn("_after", _next_present("_lo", [*by, "_slice"], ["_t", "_wanted"]))
+        timeline.unionByName(_carried_in(timeline, by, tol, width))
+        .withColumn("_offer", F.when(~F.col("_wanted"), F.col("_t")))
+        .withColumn("_before", F.max("_offer").over(so_far))
+        .withColumn("_after", _next_present("_offer", [*by, "_slice"], ["_t", "_wanted"]))
     )
-
-    gap_before = F.coalesce(F.col("_t") - F.col("_before._t"), F.lit(tol + 1))
-    gap_after = F.coalesce(F.col("_after._t") - F.col("_t"), F.lit(tol + 1))
-    take_before = gap_before <= gap_after if tie == "earlier" else gap_before < gap_after
-    matches = (
+    too_far = F.lit(tol + 1)
+    gap_before = F.coalesce(F.col("_t") - F.col("_before"), too_far)
+    gap_after = F.coalesce(F.col("_after") - F.col("_t"), too_far)
+    later = gap_after < gap_before if tie == "earlier" else gap_after <= gap_before
+    return (
         scan.where("_wanted")
         .where(F.least(gap_before, gap_after) <= tol)
-        .withColumn("_row", F.when(take_before, F.col("_before.row")).otherwise(F.col("_after.row")))
-        .select(*by, "_t", *[F.col("_row").getField(c).alias(c) for c in carried])
-    )
-    return (
-        left.withColumn("_t", micros(F.col(left_time)))
-        .join(matches, [*by, "_t"], "left")
-        .select(*left.columns, *carried)
+        .select(
+            *by, "_t", F.when(later, F.col("_after")).otherwise(F.col("_before")).alias("_to"), later.alias("_later")
+        )
     )
 
 
-def _carry(timeline: DataFrame, by: list[str], tol: int, width: int) -> DataFrame:
-    """Right rows that slices need from outside: the closest before and after.
+def _distinct_times(df: DataFrame, by: list[str], time: str) -> DataFrame:
+    return df.dropna(subset=[*by, time]).select(*by, micros(F.col(time)).alias("_t")).distinct()
 
-    Each slice offers its last row to later slices and its first row to earlier ones.
-    If the tolerance spans no more than a slice, the offer goes to the neighbours and
-    nothing else is needed.  Otherwise the slices of a key, one small row each, are
-    lined up, and every slice that has left rows takes the closest offers.
-    """
-    nothing = F.lit(None).cast(timeline.schema["_hi"].dataType)
-    slice_ = F.col("_slice")
 
-    def taken(start: Column, low: Column, high: Column) -> Column:
-        return F.struct(start.alias("_slice"), low.alias("_lo"), high.alias("_hi"))
+def _carried_in(timeline: DataFrame, by: list[str], tol: int, width: int) -> DataFrame:
+    """Offers that slices need from outside: the closest before and after.
 
+    Each slice offers its last time to later slices and its first to earlier ones.  If
+    the tolerance spans no more than a slice, the offer goes to the neighbours and
+    nothing else is needed.  Otherwise the slices of a key, one small row each, are
+    lined up, and every slice that wants times takes the closest offers.
+    """
+    slice_, offer = F.col("_slice"), F.when(~F.col("_wanted"), F.col("_t"))
+    edges = timeline.groupBy(*by, "_slice").agg(
+        F.min(offer).alias("_lo"), F.max(offer).alias("_hi"), F.max("_wanted").alias("_wanted")
+    )
     if tol <= width:
-        edges = (
-            timeline.where("not _wanted").groupBy(*by, "_slice").agg(F.min("_lo").alias("_lo"), F.max("_hi").alias("_hi"))
-        )
-        offers = [taken(slice_ + width, nothing, F.col("_hi")), taken(slice_ - width, F.col("_lo"), nothing)]
+        gifts = [(slice_ + width, F.col("_hi")), (slice_ - width, F.col("_lo"))]
     else:
         slices = Window.partitionBy(*by).orderBy("_slice")
         edges = (
-            timeline.groupBy(*by, "_slice")
-            .agg(F.min("_lo").alias("_lo"), F.max("_hi").alias("_hi"), F.max("_wanted").alias("_wanted"))
-            .withColumn("_prev", F.last("_hi", ignorenulls=True).over(slices.rowsBetween(Window.unboundedPreceding, -1)))
+            edges.withColumn("_prev", F.max("_hi").over(slices.rowsBetween(Window.unboundedPreceding, -1)))
             .withColumn("_next", _next_present("_lo", by, ["_slice"]))
             .where("_wanted")
         )
-        offers = [taken(slice_, nothing, F.col("_prev")), taken(slice_, F.col("_next"), nothing)]
-    # What lies beyond the tolerance of the whole slice helps no row in it.
-    point = F.coalesce("_hi._t", "_lo._t")
+        gifts = [(slice_, F.col("_prev")), (slice_, F.col("_next"))]
+    rows = F.array(*[F.struct(to.alias("_slice"), t.alias("_t")) for to, t in gifts])
+    # What lies beyond the tolerance of the whole slice helps no time in it.
     return (
-        edges.select(*by, F.inline(F.array(*offers)))
-        .withColumn("_t", point)
-        .where((point >= slice_ - tol) & (point < slice_ + width + tol))
+        edges.select(*by, F.inline(rows))
+        .where((F.col("_t") >= slice_ - tol) & (F.col("_t") < slice_ + width + tol))
         .withColumn("_wanted", F.lit(False))
     )
 

@@ -74,7 +74,11 @@ def complete_files(
     exclude: Sequence[str] = (),
     require: Sequence[str] = (),
 ) -> DataFrame:
-    """Files in which every search string is found on some eligible line."""
+    """Files in which every search string is found on some eligible line.
+
+    Written as an explode of one or no array: as a plain filter the test would move
+    below the splitting of the text and repeat that for each search string.
+    """
 
     def found(text: str) -> Column:
         return F.exists(
@@ -85,7 +89,8 @@ def complete_files(
     complete = F.lit(True)
     for text in search:
         complete = complete & found(text)
-    return inventories.where(complete)
+    others = [c for c in inventories.columns if c != "lines"]
+    return inventories.select(*others, F.explode(F.when(complete, F.array("lines"))).alias("lines"))
 
 
 def select_messages(

@@ -25,6 +25,7 @@ from ..operators.points import (
     variable_columns,
     with_init_time,
 )
+from ..session import written
 
 RUN_KEYS = ["station_id", "init_time", "valid_time", "forecast_hour"]
 
@@ -44,8 +45,9 @@ def model_forecast(values: DataFrame, station_cells: DataFrame, model: str, elem
     if model == "hrrr" and element == "Wind":
         rows = wind_from_components(rows)
     if (model, element) in rules.INTERVALS:
+        # The difference reads its input twice; the fields must not be.
         total, interval, span = rules.INTERVALS[model, element]
-        rows = interval_from_total(rows, total=total, out=interval, interval_hours=span)
+        rows = interval_from_total(written(rows, "totals"), total=total, out=interval, interval_hours=span)
     return rows
 
 
@@ -83,6 +85,7 @@ def pair_files(speed: DataFrame, direction: DataFrame, tolerance: timedelta = ti
         left_time="stamp",
         right_time="direction_stamp",
         tolerance=tolerance,
+        seq="direction_file",
         tie="later",
         after_duplicates="last",
         slice_width=timedelta(hours=6),

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from .. import rules
 from ..operators.accumulate import rolling_total
 from ..operators.extremes import TMAX_12_TO_06, TMIN_00_TO_18, daily_extreme
+from ..session import written
 from ..sources.observations import parse_precipitation, parse_temperatures, parse_timeseries
 from ..sources.stations import with_attributes
 
@@ -21,10 +22,11 @@ def wind_observations(payloads: DataFrame, attributes: DataFrame) -> DataFrame:
 
 
 def precipitation_totals(payloads: DataFrame, attributes: DataFrame, element: str) -> DataFrame:
-    """Rolling totals; the lookup comes last, on the rows that remain."""
+    """Rolling totals.  The totals read their input twice, so the parsed reports are
+    written to shared scratch first; the lookup comes last, on the rows that remain."""
     accum, step = rules.PRECIP_SPANS[element]
     rows = rolling_total(
-        parse_precipitation(payloads),
+        written(parse_precipitation(payloads), "intervals"),
         accum_hours=accum,
         step_hours=step,
         tiebreak=["interval_precip", "lat", "lon", "elev"],
