@@ -22,7 +22,7 @@ def asof_nearest(
     seq: str | None = None,
     tie: str = "earlier",
     after_duplicates: str = "first",
-    slice_width: timedelta = timedelta(hours=1),
+    slice_width: timedelta = timedelta(days=1),
 ) -> DataFrame:
     """Every left row with the nearest right row of the same ``by`` key, or nulls.
 
@@ -92,41 +92,41 @@ def nearest_times(
     *,
     tolerance: timedelta,
     tie: str = "earlier",
-    slice_width: timedelta = timedelta(hours=1),
+    slice_width: timedelta = timedelta(days=1),
 ) -> DataFrame:
     """For each wanted time of a key the nearest offered one within the tolerance.
 
     Both frames hold distinct (key, ``_t`` in micros).  The result has the matched
     time ``_to`` and whether it is ``_later``; times without a match are left out.
 
-    Timelines are cut into slices and sorted per (key, slice), never per key; the
-    closest offers outside a slice are carried in.  A slice holds at most its width
-    divided by the clock's resolution rows per side (3,600 for an hour of seconds);
-    choose narrower slices for finer clocks.
+    Timelines are cut into slices and sorted per (key, slice), never per key.  An offer
+    stands in every slice it can serve: its own, and a neighbour where it lies within
+    the tolerance of the border.  A slice holds at most its width (plus, for offers,
+    the tolerance on both sides) divided by the clock's resolution, 86,400 rows for a
+    day of seconds; choose narrower slices for finer clocks.
     """
     tol, width = as_micros(tolerance), as_micros(slice_width)
-    slice_ = slice_start(F.col("_t"), width)
-    timeline = (
-        wanted.select(*by, "_t", F.lit(True).alias("_wanted"))
-        .unionByName(offered.select(*by, "_t", F.lit(False).alias("_wanted")))
-        .withColumn("_slice", slice_)
-    )
-    in_slice = Window.partitionBy(*by, "_slice").orderBy("_t", "_wanted")
-    so_far = in_slice.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    scan = (
-        timeline.unionByName(_carried_in(timeline, by, tol, width))
-        .withColumn("_offer", F.when(~F.col("_wanted"), F.col("_t")))
-        .withColumn("_before", F.max("_offer").over(so_far))
-        .withColumn("_after", _next_present("_offer", [*by, "_slice"], ["_t", "_wanted"]))
-    )
+    time = F.col("_t")
+    serves = F.sequence(slice_start(time - tol, width), slice_start(time + tol, width), F.lit(width))
+    timeline = wanted.select(
+        *by, "_t", slice_start(time, width).alias("_slice"), F.lit(None).cast("long").alias("_offer")
+    ).unionByName(offered.select(*by, "_t", F.explode(serves).alias("_slice"), time.alias("_offer")))
+
+    # At equal times the offer, being non-null, comes first.
+    order = [F.col("_t").asc(), F.col("_offer").asc_nulls_last()]
+    so_far = Window.partitionBy(*by, "_slice").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    scan = timeline.withColumns(
+        {
+            "_before": F.max("_offer").over(so_far),
+            "_after": _next_present("_offer", [*by, "_slice"], "_t, _offer NULLS LAST"),
+        }
+    ).where("_offer is null")
     too_far = F.lit(tol + 1)
     gap_before = F.coalesce(F.col("_t") - F.col("_before"), too_far)
     gap_after = F.coalesce(F.col("_after") - F.col("_t"), too_far)
     later = gap_after < gap_before if tie == "earlier" else gap_after <= gap_before
     return (
-        scan.where("_wanted")
-        .where(F.least(gap_before, gap_after) <= tol)
-        .select(
+        scan.where(F.least(gap_before, gap_after) <= tol).select(
             *by, "_t", F.when(later, F.col("_after")).otherwise(F.col("_before")).alias("_to"), later.alias("_later")
         )
     )
@@ -136,39 +136,8 @@ def _distinct_times(df: DataFrame, by: list[str], time: str) -> DataFrame:
     return df.dropna(subset=[*by, time]).select(*by, micros(F.col(time)).alias("_t")).distinct()
 
 
-def _carried_in(timeline: DataFrame, by: list[str], tol: int, width: int) -> DataFrame:
-    """Offers that slices need from outside: the closest before and after.
-
-    Each slice offers its last time to later slices and its first to earlier ones.  If
-    the tolerance spans no more than a slice, the offer goes to the neighbours and
-    nothing else is needed.  Otherwise the slices of a key, one small row each, are
-    lined up, and every slice that wants times takes the closest offers.
-    """
-    slice_, offer = F.col("_slice"), F.when(~F.col("_wanted"), F.col("_t"))
-    edges = timeline.groupBy(*by, "_slice").agg(
-        F.min(offer).alias("_lo"), F.max(offer).alias("_hi"), F.max("_wanted").alias("_wanted")
-    )
-    if tol <= width:
-        gifts = [(slice_ + width, F.col("_hi")), (slice_ - width, F.col("_lo"))]
-    else:
-        slices = Window.partitionBy(*by).orderBy("_slice")
-        edges = (
-            edges.withColumn("_prev", F.max("_hi").over(slices.rowsBetween(Window.unboundedPreceding, -1)))
-            .withColumn("_next", _next_present("_lo", by, ["_slice"]))
-            .where("_wanted")
-        )
-        gifts = [(slice_, F.col("_prev")), (slice_, F.col("_next"))]
-    rows = F.array(*[F.struct(to.alias("_slice"), t.alias("_t")) for to, t in gifts])
-    # What lies beyond the tolerance of the whole slice helps no time in it.
-    return (
-        edges.select(*by, F.inline(rows))
-        .where((F.col("_t") >= slice_ - tol) & (F.col("_t") < slice_ + width + tol))
-        .withColumn("_wanted", F.lit(False))
-    )
-
-
-def _next_present(column: str, by: Sequence[str], order: Sequence[str]) -> Column:
-    """Next non-null value of a column.  Unlike ``first`` over the following rows,
+def _next_present(column: str, by: Sequence[str], order: str) -> Column:
+    """Next non-null value of a column below.  Unlike ``first`` over the following rows,
     which Spark evaluates anew for each row, this is a single pass."""
     partition = f"PARTITION BY {', '.join(f'`{c}`' for c in by)}" if by else ""
-    return F.expr(f"lead(`{column}`) IGNORE NULLS OVER ({partition} ORDER BY {', '.join(order)})")
+    return F.expr(f"lead(`{column}`) IGNORE NULLS OVER ({partition} ORDER BY {order})")
