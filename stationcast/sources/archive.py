@@ -98,17 +98,17 @@ def read_months(
 
 
 def in_months(df: DataFrame, months: Sequence[tuple[int, int]]) -> DataFrame:
-    """Rows of the named month partitions; prunes directories on a partitioned table."""
-    keep = [(F.col("year") == y) & (F.col("month") == m) for y, m in months]
+    """Rows of the named month partitions; prunes directories on a partitioned table.
+    Rows without a time are in the month (None, None)."""
+    keep = [F.col("year").eqNullSafe(y) & F.col("month").eqNullSafe(m) for y, m in months]
     return df.where(reduce(lambda a, b: a | b, keep, F.lit(False)))
 
 
-def _read_if_any(spark: SparkSession, paths: Sequence[str], schema: T.StructType | None = None) -> DataFrame | None:
+def _read_if_any(spark: SparkSession, paths: Sequence[str]) -> DataFrame | None:
     if not paths:
         return None
-    reader = spark.read.schema(schema) if schema else spark.read
     try:
-        return reader.parquet(*paths)
+        return spark.read.parquet(*paths)
     except AnalysisException as error:
         if error.getCondition() in _NO_FILES:
             return None
@@ -145,29 +145,25 @@ def append_archive(
 
     Whole rows are compared, or ``keys``, where the archived row wins and among new
     rows the first by ``order``.  Running the same batch again adds nothing, so a
-    failed run is simply repeated.  The batch is written to shared scratch once; of
-    the archive only the months the batch touches are read, and nothing in it is
-    rewritten.  One writer per archive at a time.
+    failed run is simply repeated.  The batch is computed once and written to shared
+    scratch; of the archive only the months the batch touches are read, and nothing in
+    it is rewritten.  One writer per archive at a time.
     """
     spark = configure(df.sparkSession)
     batch = first_per_key(df, keys, order) if keys else df.distinct()
-    batch = written(with_month(batch, time), "append")
-    columns = [c for c in batch.columns if c not in ("year", "month")]
-
     held = _read_if_any(spark, [path])
-    if held is not None:
-        # Columns only one side has are null on the other.
-        for field in held.schema:
-            if field.name not in batch.columns:
-                batch = batch.withColumn(field.name, F.lit(None).cast(field.dataType))
-        held = _read_if_any(spark, [path], batch.schema)
-        months = [(r.year, r.month) for r in batch.select("year", "month").distinct().collect()]
-        touched = in_months(held, [m for m in months if None not in m])
-        if any(None in m for m in months):
-            touched = touched.unionByName(held.where("year is null or month is null"))
-        batch = rows_not_in(batch, touched, keys)
-        columns = [c for c in batch.columns if c not in ("year", "month")]
-    write_partitioned(batch.select(*columns), path, time=time)
+    if held is None:
+        write_partitioned(batch, path, time=time)
+        return
+
+    batch = written(with_month(batch, time), "append")
+    # Columns only one side has are null on the other.
+    lacking = [f for f in held.schema if f.name not in batch.columns]
+    batch = batch.withColumns({f.name: F.lit(None).cast(f.dataType) for f in lacking})
+    held = spark.read.schema(batch.schema).parquet(path)
+    months = batch.select("year", "month").distinct().collect()
+    fresh = rows_not_in(batch, in_months(held, [(r.year, r.month) for r in months]), keys)
+    write_partitioned(fresh.drop("year", "month"), path, time=time)
 
 
 # -- looking -------------------------------------------------------------------

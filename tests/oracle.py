@@ -18,6 +18,15 @@ TABLES = (
     "pages benchmark labels conversations"
 ).split()
 
+SQL_TYPES = {
+    "int": "INTEGER",
+    "bigint": "BIGINT",
+    "double": "DOUBLE",
+    "string": "VARCHAR",
+    "date": "DATE",
+    "timestamp_ntz": "TIMESTAMP",
+}
+
 
 def connect(folder):
     con = duckdb.connect()
@@ -54,14 +63,9 @@ def compare(name, build, sql, spark, con, folder):
         return f"columns {sorted(got_columns)} != {sorted(want_columns)}", len(got)
     got_rows, want_rows = rows_of(got_columns, got), rows_of(want_columns, want)
     if got_rows == want_rows:
-        kinds = [
-            (c, a, b)
-            for (c, a), (_, b) in zip(
-                sorted((c, _kind(got, i)) for i, c in enumerate(got_columns)),
-                sorted((c, _kind(want, i)) for i, c in enumerate(want_columns)),
-            )
-            if a != b
-        ]
+        ours = {f.name: SQL_TYPES.get(f.dataType.simpleString()) for f in df.schema}
+        theirs = {d[0]: str(d[1]) for d in result.description}
+        kinds = {c: (ours[c], theirs[c]) for c in ours if ours[c] != theirs[c]}
         return (f"types differ: {kinds}" if kinds else None), len(got)
     extra, lacking = got_rows - want_rows, want_rows - got_rows
     return (
@@ -70,10 +74,6 @@ def compare(name, build, sql, spark, con, folder):
     ), len(got)
 
 
-def _kind(rows, i):
-    return next((type(r[i]).__name__ for r in rows if r[i] is not None), "NoneType")
-
-
 if __name__ == "__main__":
     sys.path.insert(0, str(Path(__file__).parent.parent))
     import __spark_entry__ as entry

@@ -179,6 +179,13 @@ def test_appending_twice_changes_nothing(spark, tmp_path):
     assert sorted((r.year, r.month, r["rows"]) for r in summary) == [(2025, 1, 4), (2025, 2, 1)]
 
 
+def test_rows_without_a_time_are_kept_once(spark, tmp_path):
+    path = str(tmp_path / "a")
+    for _ in range(3):
+        archive.append_archive(rows(spark, ("A", None, 1.0), ("A", DAY, 1.0)), path)
+    assert archive.read_archive(spark, path).count() == 2
+
+
 def test_appending_by_key_keeps_the_archived_row(spark, tmp_path):
     path = str(tmp_path / "a")
     keys = ["stid", "valid_time"]
