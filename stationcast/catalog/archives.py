@@ -1,11 +1,22 @@
 """Appending without repeats, partitioned writing and reading back."""
 
+from datetime import date
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.dedup import append_by_key, append_distinct
+from ..plans.verification import within_days
 from ..session import scratch_folder
-from ..sources.archive import append_archive, in_months, month_summary, peek, read_archive, write_partitioned
+from ..sources.archive import (
+    append_archive,
+    in_months,
+    month_summary,
+    peek,
+    read_archive,
+    read_between,
+    write_partitioned,
+)
 from . import query, table
 
 
@@ -97,6 +108,20 @@ def partitioned(spark: SparkSession, folder: str) -> DataFrame:
     return in_months(archive, [(1996, 2), (1996, 3), (1997, 1)])
 
 
+@query(
+    "archive_days",
+    """SELECT o_orderkey, o_orderdate, o_totalprice FROM orders
+WHERE o_orderdate >= TIMESTAMP '1996-12-20' AND o_orderdate < TIMESTAMP '1997-02-11'""",
+)
+def days(spark: SparkSession, folder: str) -> DataFrame:
+    """Some weeks of a partitioned archive, across a year's end."""
+    path = scratch_folder(spark, "partitioned")
+    write_partitioned(table(spark, folder, "orders"), path, time="o_orderdate")
+    first, last = date(1996, 12, 20), date(1997, 2, 10)
+    months = read_between(spark, path, first, last, columns=["o_orderkey", "o_orderdate", "o_totalprice"])
+    return within_days(months, "o_orderdate", first, last)
+
+
 @query("archive_peek", "SELECT count(*) AS rows FROM (SELECT * FROM nation LIMIT 10)")
 def archive_peek(spark: SparkSession, folder: str) -> DataFrame:
     """How many rows a first look shows; which ones is up to the file."""

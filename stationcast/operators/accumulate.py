@@ -24,9 +24,12 @@ def with_position(
     """Number each key's rows 0, 1, 2, … in time order, without sorting a whole key.
 
     Rows are numbered per (key, time slice); the counts of the earlier slices, one
-    small row each, give the slice its offset.  Rows without key or time are dropped.
+    small row each, give the slice its offset.  Rows at the same time are ordered by
+    ``tiebreak``, then by their content, so that a task that runs again numbers them
+    as before.  Rows without key or time are dropped.
     """
     by = list(by)
+    content = F.xxhash64(*df.columns)
     in_slice = [*by, "_slice"]
     sliced = df.dropna(subset=[*by, time]).withColumn(
         "_slice", slice_start(micros(F.col(time)), as_micros(slice_width))
@@ -37,7 +40,7 @@ def with_position(
         .agg(F.count(F.lit(1)).alias("_n"))
         .select(*in_slice, F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_offset"))
     )
-    rank = F.row_number().over(Window.partitionBy(*in_slice).orderBy(time, *tiebreak))
+    rank = F.row_number().over(Window.partitionBy(*in_slice).orderBy(time, *tiebreak, content))
     return (
         sliced.withColumn("_rank", rank)
         .join(offsets, in_slice)

@@ -48,12 +48,12 @@ def expected_files(
 
 
 def _held(listing: DataFrame, index_suffix: str) -> DataFrame:
-    """URLs whose file, or whose index, is listed."""
+    """URLs whose file, or whose index, is listed, each once."""
     path = F.col("path")
     if index_suffix:
         listing = listing.where(path.endswith(index_suffix))
         path = F.expr(f"left(path, length(path) - {len(index_suffix)})")
-    return listing.select(path.alias("url"))
+    return listing.select(path.alias("url")).distinct()
 
 
 def available_files(expected: DataFrame, listing: DataFrame, index_suffix: str = ".idx") -> DataFrame:
@@ -66,7 +66,7 @@ def missing_files(expected: DataFrame, listing: DataFrame, index_suffix: str = "
 
 def availability(expected: DataFrame, listing: DataFrame, by: Sequence[str] = (), index_suffix: str = ".idx") -> DataFrame:
     """Numbers of files found and missing."""
-    held = _held(listing, index_suffix).distinct().withColumn("_held", F.lit(True))
+    held = _held(listing, index_suffix).withColumn("_held", F.lit(True))
     found = F.coalesce(F.col("_held"), F.lit(False))
     return (
         expected.join(held, "url", "left")

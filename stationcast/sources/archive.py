@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import names
+from ..functions.times import months_between
 from ..operators.dedup import first_per_key, rows_not_in
 from ..session import configure, written
 
@@ -104,6 +106,14 @@ def in_months(df: DataFrame, months: Sequence[tuple[int, int]]) -> DataFrame:
     return df.where(reduce(lambda a, b: a | b, keep, F.lit(False)))
 
 
+def read_between(spark: SparkSession, path: str, first: date, last: date, **read_options) -> DataFrame:
+    """The months of a partitioned archive that hold the days ``first`` to ``last``;
+    other folders are not read."""
+    columns = read_options.pop("columns", None)
+    months = in_months(read_archive(spark, path, **read_options), months_between(first, last))
+    return project(months.drop("year", "month"), columns)
+
+
 def _read_if_any(spark: SparkSession, paths: Sequence[str]) -> DataFrame | None:
     if not paths:
         return None
