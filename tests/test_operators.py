@@ -105,6 +105,29 @@ def test_rolling_total_is_the_same_for_any_block(spark, block_rows, slice_hours)
     assert (out.end_time - out.start_time == pd.Timedelta(hours=18)).all()
 
 
+@pytest.mark.parametrize("k, block_rows", [(1, 9), (2, 3), (4, 5), (4, 1000)])
+def test_rolling_total_over_copies(spark, monkeypatch, k, block_rows):
+    monkeypatch.setattr(accumulate, "COPIES_PER_RUN", 4)
+    rng = np.random.default_rng(11)
+    df = pd.DataFrame(
+        {
+            "stid": rng.choice(["A", "B"], 40),
+            "end_time": (pd.Timestamp(DAY) + pd.to_timedelta(rng.integers(0, 30, 40), "h")).astype("datetime64[us]"),
+            "interval_precip": np.where(rng.random(40) < 0.1, np.nan, rng.integers(0, 3, 40)),
+        }
+    )
+    df = df.loc[df.index.repeat(rng.integers(1, 14, 40))]
+    out = accumulate.rolling_total(
+        spark.createDataFrame(df), accum_hours=6 * k, step_hours=6, tiebreak=["interval_precip"], block_rows=block_rows
+    ).toPandas()
+    df = df.sort_values(["stid", "end_time", "interval_precip"], na_position="first")
+    df["total"] = df.groupby("stid")["interval_precip"].transform(lambda s: s.rolling(k, min_periods=k).sum())
+    expected = df.dropna(subset=["total"])
+    assert sorted(zip(out.stid, out.end_time, out.precip_total)) == sorted(
+        zip(expected.stid, expected.end_time, expected.total)
+    )
+
+
 def intervals(spark, rows, **kw):
     df = spark.createDataFrame(
         [("A", DAY, hour(h), t) for h, t in rows],
