@@ -129,10 +129,11 @@ def select_messages(
     )
 
 
-def select_element(inventories: DataFrame, model: str, element: str) -> DataFrame:
+def select_element(inventories: DataFrame, model: str, element: str, *, required: bool = False) -> DataFrame:
     """Messages of one element of a model, by the rules of that model's inventories.
 
-    Files whose name carries no lead hour are dropped.
+    Files whose name carries no lead hour are dropped.  ``required`` also applies the
+    phrases that all plainly searched lines should carry; archives were made without.
     """
     rules.validate(model, element)
     search = rules.SEARCH[model, element]
@@ -152,16 +153,16 @@ def select_element(inventories: DataFrame, model: str, element: str) -> DataFram
             "mint": names.span_label(lead - 18, lead, "hour min fcst"),
         }.get(element, F.concat(lead.cast("string"), F.lit(" hour fcst")))
         return select_messages(files.where("_lead is not null"), search, label=label, percentiles=rules.PERCENTILES)
-    if element in ("precip6hr", "snow6hr"):  # only hrrr; nbm snow comes as percentiles
-        if model == "hrrr":
-            label = names.run_total_label(lead)
-            return select_messages(files.where("_lead is not null"), search, exclude=exclude, label=label)
+    if model == "hrrr" and element in ("precip6hr", "snow6hr"):
+        label = names.run_total_label(lead)
+        return select_messages(files.where("_lead is not null"), search, exclude=exclude, label=label)
     if rules.is_percentile(model, element):
         interval = int(element.removeprefix("snow").removesuffix("hr"))
         pattern = names.annotated_accumulation_pattern(lead, interval)
         return select_messages(
             files.where("_lead is not null"), search, exclude=exclude, pattern=pattern, percentiles=rules.PERCENTILES
         )
-    if model != "hrrr" and model != "urma":
+    if model not in ("hrrr", "urma"):
         files = files.where("_lead is not null")
-    return select_messages(files, search, exclude=exclude, all_found=True)
+    require = rules.REQUIRE.get((model, element), []) if required else []
+    return select_messages(files, search, exclude=exclude, require=require, all_found=True)

@@ -252,6 +252,14 @@ def test_byte_ranges_follow_the_whole_file(spark):
     assert [(r.byte_range, r.line_no) for r in chosen] == [("0-99", 1), ("250-", 3)]
 
 
+def test_required_phrases_are_optional(spark):
+    lines = ["1:0:x:UGRD:10 m above ground:", "2:9:x:VGRD:10 m above ground:", "3:20:x:GUST:surface:"]
+    df = spark.createDataFrame([("hrrr.t00z.wrfsfcf12.ak.grib2", lines)], "file string, lines array<string>")
+    assert select_element(df, "hrrr", "Wind").count() == 3
+    # The gust lies at the surface, so asking for ten metres leaves the file incomplete.
+    assert select_element(df, "hrrr", "Wind", required=True).count() == 0
+
+
 def test_lines_that_share_a_range_count_once(spark):
     lines = ["1.1:0:a", "1.2:0:a", "1.3:0:a", "2:9:b"]
     df = spark.createDataFrame([("f", lines)], "file string, lines array<string>")
