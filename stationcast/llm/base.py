@@ -37,10 +37,10 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-_BYTE_VALUES = mixed((np.arange(256, dtype=np.uint64) + np.uint64(1)) * _ODD)
+BYTE_VALUES = mixed((np.arange(256, dtype=np.uint64) + np.uint64(1)) * _ODD)
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
-_LOWER_VALUES = _BYTE_VALUES[LOWER]
+_LOWER_VALUES = BYTE_VALUES[LOWER]
 
 
 def word_bytes(*gaps: tuple[int, int]) -> np.ndarray:
@@ -102,6 +102,20 @@ def row_blocks(offsets: np.ndarray, limit: int = BLOCK_BYTES) -> Iterator[tuple[
         i = min(j, n)
 
 
+def gathered(rows: Iterator[tuple], schema: pa.Schema, limit: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
+    """Arrow batches of rows, each of about so many bytes of strings and binaries at most."""
+    held: list[tuple] = []
+    size = 0
+    for row in rows:
+        held.append(row)
+        size += 64 + sum(len(x) for x in row if isinstance(x, bytes | str))
+        if size >= limit:
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*held, strict=True), schema.types, strict=True)], schema=schema)
+            held, size = [], 0
+    if held:
+        yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*held, strict=True), schema.types, strict=True)], schema=schema)
+
+
 def word_hashes(data: np.ndarray, bounds: np.ndarray, inside: np.ndarray) -> tuple[np.ndarray, ...]:
     """Hash, row, start and end of each word; bounds are where rows begin and the last ends.
 

@@ -96,15 +96,21 @@ def gram_rows(documents: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
     def grow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         press = zstandard.ZstdDecompressor()
         for batch in batches:
-            for i in range(0, batch.num_rows, 128):
-                part = batch.slice(i, 128)
+            for i in range(0, batch.num_rows, 256):
+                part = batch.slice(i, 256)
                 texts = pa.array([press.decompress(b).decode() if (b := x.as_py()) else "" for x in part.column("text")], pa.large_string())
-                for grams, sig in zip(sets_of(texts, n), part.column("sig").to_pylist(), strict=True):
-                    if signature(grams) == sig:  # rows of one doc_id may differ
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array(np.full(len(grams), sig)), pa.array(np.full(len(grams), len(grams))), pa.array(grams.astype(np.int64))],
-                            names=["sig", "size", "gram"],
-                        )
+                # Rows of one doc_id may differ.
+                found = [(s, g) for g, s in zip(sets_of(texts, n), part.column("sig").to_pylist(), strict=True) if signature(g) == s]
+                if found:
+                    sizes = [len(g) for _, g in found]
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array(np.repeat([s for s, _ in found], sizes)),
+                            pa.array(np.repeat(sizes, sizes)),
+                            pa.array(np.concatenate([g for _, g in found]).astype(np.int64)),
+                        ],
+                        names=["sig", "size", "gram"],
+                    )
 
     small = documents.where("text is not null").mapInArrow(shrink, "doc_id long, text binary")
     found = small.join(wanted, small["doc_id"].eqNullSafe(wanted["rep"]))

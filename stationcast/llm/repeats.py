@@ -20,13 +20,14 @@ from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stationcast.session import written
 
-from .base import _BYTE_VALUES, BLOCK_BYTES, part_hashes, prefix_sums, row_blocks, table, text_buffer
+from .base import BLOCK_BYTES, BYTE_VALUES, gathered, part_hashes, prefix_sums, row_blocks, table, text_buffer
 from .decontamination import merged
 
 LENGTH = 100
@@ -61,7 +62,7 @@ def anchors(data: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
     for at in range(0, len(data) - length + 1, BLOCK_BYTES):
         part = data[at : at + BLOCK_BYTES + length - 1]
         n = len(part) - length + 1
-        sums = prefix_sums(part, _BYTE_VALUES)
+        sums = prefix_sums(part, BYTE_VALUES)
         grams = np.arange(len(part) - GRAM + 1)
         hashes = part_hashes(sums, grams, grams + GRAM)
         # Equal hashes within a string: the first place wins.
@@ -76,8 +77,7 @@ def anchors(data: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
 
 
 def anchor_rows(documents: DataFrame, buckets: int, length: int) -> DataFrame:
-    """Anchors of all texts, and (with a negative segment count, ``high`` < 0 never occurring)
-    ranges known to be repeats: rows whose hash is null hold a range of starts.
+    """Anchors of all texts, and ranges known to be repeats: rows whose hash is null.
 
     Within a batch, only the first of equal segments goes on; others are repeats at once, so
     a passage that many documents share meets in a bucket once a batch at most.
@@ -100,15 +100,14 @@ def anchor_rows(documents: DataFrame, buckets: int, length: int) -> DataFrame:
 
     def rows(ids, docs, marks, hashes, segments, low, high) -> pa.RecordBatch:
         own = ids.fill_null(-(1 << 63)).to_numpy(zero_copy_only=False)[docs]
-        by = np.lexsort((low, marks, own, segments, hashes))
+        by = np.lexsort((low, own, segments, hashes))
         again = np.zeros(len(by), dtype=bool)
-        # A repeat if an equal segment comes earlier; rows of one doc_id with other texts don't count as earlier.
         h, s = hashes[by], segments[by]
         same = (h[1:] == h[:-1]) & (s[1:] == s[:-1])
         again[1:] = same
         first = np.maximum.accumulate(np.where(again, 0, np.arange(len(by))))
         o, m, lo = own[by], marks[by], low[by]
-        again &= (o[first] < o) | ((m[first] == m) & (lo[first] < lo))
+        again &= (o[first] < o) | (lo[first] < lo)
         bucket = (h % np.uint64(buckets)).astype(np.int32)
         return pa.RecordBatch.from_arrays(
             [
@@ -131,20 +130,20 @@ def decide(rows: pa.Table) -> pa.Table:
 
     Column ``group`` is null for a range; else the segment's anchor hash.
     """
-    ranged = rows.filter(pa.compute.is_null(rows["hash"]))
-    rows = rows.filter(pa.compute.is_valid(rows["hash"]))
+    ranged = rows.filter(pc.is_null(rows["hash"]))
+    rows = rows.filter(pc.is_valid(rows["hash"]))
     h, s = rows["hash"].to_numpy(), rows["segment"].to_numpy()
     own = rows["doc_id"].fill_null(-(1 << 63)).to_numpy()
-    mark, low = rows["mark"].to_numpy(), rows["low"].to_numpy()
-    by = np.lexsort((low, mark, own, s, h))
-    h, s, own, mark, low = h[by], s[by], own[by], mark[by], low[by]
+    low = rows["low"].to_numpy()
+    by = np.lexsort((low, own, s, h))
+    h, s, own, low = h[by], s[by], own[by], low[by]
     n = len(by)
     new_hash = np.ones(n, dtype=bool)
     new_hash[1:] = h[1:] != h[:-1]
     new = new_hash.copy()
     new[1:] |= s[1:] != s[:-1]
     first = np.maximum.accumulate(np.where(new, np.arange(n), 0))
-    again = ~new & ((own[first] < own) | ((mark[first] == mark) & (low[first] < low)))
+    again = ~new & ((own[first] < own) | (low[first] < low))
     # Segments of an anchor that has several.
     group = np.cumsum(new_hash) - 1
     several = np.bincount(group, weights=new, minlength=1)[group] > 1 if n else np.zeros(0, bool)
@@ -234,11 +233,8 @@ def compare(rows: pa.Table, length: int) -> pa.Table:
     places = (offsets[:-1] - offsets[0])[owner] + within
     own = rows["doc_id"].fill_null(-(1 << 63)).to_numpy()
     start = rows["low"].to_numpy().astype(np.int64)[owner] + within
-    # Equal ranks: rows of one doc_id with other texts, none of which is the earlier.
-    mark = rows["mark"].to_numpy()
     docs = np.unique(own, return_inverse=True)[1][owner]
-    alone = len(np.unique(np.stack([own, mark]), axis=1)[0]) == len(np.unique(own))
-    by = np.lexsort((start if alone else start, docs))
+    by = np.lexsort((start, docs))
     ranks = np.empty(len(by), np.int64)
     new = np.ones(len(by), dtype=bool)
     new[1:] = (docs[by][1:] != docs[by][:-1]) | (start[by][1:] != start[by][:-1])
@@ -299,27 +295,19 @@ def repeated_ranges(documents: DataFrame, length: int = LENGTH) -> DataFrame:
     wanted = asked.groupBy("doc_id", "mark").agg(F.collect_set(F.struct("group", "low", "high")).alias("wanted"))
     number = max(4 * least, asked.count() // BUCKET_SEGMENTS)
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    schema = pa.schema([("bucket", pa.int32()), ("doc_id", pa.int64()), ("mark", pa.int32()), ("low", pa.int32()), ("bytes", pa.binary())])
+
+    def segments_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         press = zstandard.ZstdDecompressor()
         for batch in batches:
-            for i in range(batch.num_rows):
-                row = batch.slice(i, 1)
-                text = press.decompress(row.column("packed")[0].as_py())
-                places = row.column("wanted").flatten()
-                group, low, high = (places.field(k).to_numpy() for k in range(3))
-                for a in range(0, len(group), 100_000):
-                    part = [text[p : q + length] for p, q in zip(low[a : a + 100_000], high[a : a + 100_000], strict=True)]
-                    n = len(part)
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array((group[a : a + n] % number).astype(np.int32)),
-                            pa.array(row.column("doc_id").to_pylist() * n, pa.int64()),
-                            pa.array(row.column("mark").to_pylist() * n, pa.int32()),
-                            pa.array(low[a : a + n]),
-                            pa.array(part, pa.binary()),
-                        ],
-                        names=["bucket", "doc_id", "mark", "low", "bytes"],
-                    )
+            for doc, mark, packed, places in zip(*(batch.column(c) for c in ("doc_id", "mark", "packed", "wanted")), strict=True):
+                doc, mark, text = doc.as_py(), mark.as_py(), press.decompress(packed.as_py())
+                group, low, high = (places.values.field(k).to_numpy() for k in range(3))
+                for g, p, q in zip((group % number).tolist(), low.tolist(), high.tolist(), strict=True):
+                    yield g, doc, mark, p, text[p : q + length]
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return gathered(segments_of(batches), schema)
 
     segments = of_document(shrunk(documents), wanted, "inner").mapInArrow(cut, f"bucket int, {KEY}, low int, bytes binary")
     segments = segments.distinct()
@@ -331,39 +319,42 @@ def without_repeats(documents: DataFrame, length: int = LENGTH) -> DataFrame:
     """Per document: doc_id, n_bytes, n_removed, n_spans, spans (start, length) and kept (its remaining bytes).
 
     Every row gives a row; null counts as empty.  Texts shorter than ``length`` keep all.
-    Repeated rows have the same outcome; of different texts with one doc_id none is the
-    earlier at equal starts.  Null doc_ids come before all others.  Other columns are ignored.
+    Rows that share a doc_id have their earlier starts count as earlier; repeated rows
+    have the same outcome.  Null doc_ids come before all others.  Other columns are ignored.
     """
     documents = documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     ranges = repeated_ranges(documents, length)
     ranges = ranges.groupBy("doc_id", "mark").agg(F.collect_list(F.struct("low", "high")).alias("ranges"))
 
-    def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    schema = pa.schema(
+        [
+            ("doc_id", pa.int64()),
+            ("n_bytes", pa.int64()),
+            ("n_removed", pa.int64()),
+            ("n_spans", pa.int64()),
+            ("spans", pa.list_(pa.struct([("start", pa.int64()), ("length", pa.int64())]))),
+            ("kept", pa.binary()),
+        ]
+    )
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         press = zstandard.ZstdDecompressor()
         for batch in batches:
-            for i in range(batch.num_rows):
-                row = batch.slice(i, 1)
-                text = press.decompress(row.column("packed")[0].as_py())
-                spans, kept = [], text
-                if row.column("ranges")[0].is_valid:
-                    places = row.column("ranges").flatten()
-                    spans = merged(places.field(0).to_numpy().astype(np.int64), places.field(1).to_numpy().astype(np.int64) + length)
+            for doc, packed, places in zip(*(batch.column(c) for c in ("doc_id", "packed", "ranges")), strict=True):
+                text = kept = press.decompress(packed.as_py())
+                spans = []
+                if places.is_valid:
+                    low, high = (places.values.field(k).to_numpy().astype(np.int64) for k in range(2))
+                    spans = merged(low, high + length)
                     edges = [0, *(x for span in spans for x in span), len(text)]
-                    kept = b"".join(text[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        row.column("doc_id"),
-                        pa.array([len(text)], pa.int64()),
-                        pa.array([len(text) - len(kept)], pa.int64()),
-                        pa.array([len(spans)], pa.int64()),
-                        pa.array([[{"start": a, "length": b - a} for a, b in spans]], pa.list_(pa.struct([("start", pa.int64()), ("length", pa.int64())]))),
-                        pa.array([kept], pa.binary()),
-                    ],
-                    names=["doc_id", "n_bytes", "n_removed", "n_spans", "spans", "kept"],
-                )
-
-    schema = "doc_id long, n_bytes long, n_removed long, n_spans long, spans array<struct<start:long,length:long>>, kept binary"
-    return of_document(shrunk(documents), ranges, "left").mapInArrow(remove, schema)
+                    kept = b"".join([text[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True)])
+                yield doc.as_py(), len(text), len(text) - len(kept), len(spans), [{"start": a, "length": b - a} for a, b in spans], kept
+
+    def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return gathered(rows(batches), schema)
+
+    out = "doc_id long, n_bytes long, n_removed long, n_spans long, spans array<struct<start:long,length:long>>, kept binary"
+    return of_document(shrunk(documents), ranges, "left").mapInArrow(remove, out)
 
 
 def op10_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
