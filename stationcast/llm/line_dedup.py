@@ -59,9 +59,11 @@ def maybe(found: tuple[bytes, int], *key: str) -> Column:
 
 def lines_of(documents: DataFrame) -> DataFrame:
     """(doc_id, mark, line, words, class) of lines with words; mark is a hash of the document."""
-    found = documents.where("text is not null").select("doc_id", F.xxhash64("text").alias("mark"), F.posexplode(F.split("text", "\n")).alias("line", "s"))
-    found = found.withColumn("words", F.array_remove(F.split(F.lower("s"), "[ \\t\\x0B\\f\\r]+"), ""))
-    return found.where(F.size("words") > 0).select("doc_id", "mark", "line", "words", F.xxhash64("words").alias("class"))
+    lower, other = F.lower("text"), "\t\x0b\f\r"
+    spaced = F.when(F.greatest(*[F.instr(lower, c) for c in other]) > 0, F.translate(lower, other, " " * len(other))).otherwise(lower)
+    found = documents.where("text is not null").select("doc_id", F.xxhash64("text").alias("mark"), F.posexplode(F.split(spaced, "\n")).alias("line", "s"))
+    found = found.where(F.trim("s") != "").withColumn("words", F.array_remove(F.split("s", " "), ""))
+    return found.select("doc_id", "mark", "line", "words", F.xxhash64("words").alias("class"))
 
 
 def tokens(words: str) -> Column:
@@ -78,12 +80,12 @@ def late_classes(documents: DataFrame, firsts: DataFrame, percent: int) -> DataF
     shared = rows.groupBy("token").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo <> hi").select("token")
     some = rows.join(shared.hint("shuffle_hash"), "token", "left_semi").groupBy("id").agg(F.count("*").alias("n"), F.min("need").alias("need"))
     some = some.where("n >= need").select("id")
-    kept = written(firsts.join(some, "id", "left_semi").select("class", "doc_id", "mark", "line"), "lines")
+    kept = written(firsts.join(some, "id", "left_semi").select("class", "size", "doc_id", "mark", "line"), "lines")
 
     wanted = lines_of(documents).where(maybe(members(kept, "class"), "class"))
     wanted = wanted.join(kept.withColumnRenamed("doc_id", "doc"), ["class", "mark", "line"]).where(F.col("doc_id").eqNullSafe(F.col("doc")))
-    held = wanted.select("class", tokens("words").alias("t")).select(F.col("class").alias("sig"), F.size("t").cast("long").alias("size"), "t")
-    grams = held.select("sig", "size", F.explode("t").alias("gram")).distinct()
+    wanted = wanted.dropDuplicates(["class"])  # of repeated rows
+    grams = wanted.select(F.col("class").alias("sig"), "size", F.explode(tokens("words")).alias("gram"))
     frags, heads = ranked_sets(grams, percent)
 
     at = kept.select(F.col("class").alias("sig"), F.struct("doc_id", "line", "mark").alias("first"))
@@ -158,8 +160,8 @@ firsts AS (SELECT class, min((doc_id, line)) AS f, any_value(g) AS g FROM sets G
 grams AS (SELECT class, f, len(g) AS n, unnest(g) AS gram FROM firsts),
 late AS (
   SELECT DISTINCT class FROM (
-    SELECT a.class FROM grams a JOIN grams b ON a.gram = b.gram AND b.f < a.f
-    GROUP BY a.class, b.class, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*)))),
+    SELECT a.class, a.f AS f, b.f AS g, a.n AS m, b.n AS n, count(*) AS k FROM grams a JOIN grams b ON a.gram = b.gram
+    GROUP BY ALL) WHERE g < f AND 100 * k >= 80 * (m + n - k)),
 gone AS (
   SELECT s.doc_id, s.line FROM sets s JOIN firsts f ON s.class = f.class LEFT JOIN late l ON s.class = l.class
   WHERE l.class IS NOT NULL OR f.f <> (s.doc_id, s.line)),
