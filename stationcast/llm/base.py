@@ -6,7 +6,9 @@ of bounded size.  Words and windows are compared by 64-bit hashes of their bytes
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +30,17 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def findable(spark: SparkSession) -> None:
+    """Let Python workers of a local session import this package from where it lies.
+
+    On a cluster the package is installed, or given to spark-submit by --py-files.
+    """
+    root = str(Path(__file__).resolve().parents[2])
+    known = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if root not in known.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(x for x in (root, known) if x)
+
+
 def mixed(x: np.ndarray) -> np.ndarray:
     """Spread 64-bit values evenly (a bijection)."""
     x = x ^ (x >> np.uint64(30))
