@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -41,16 +40,14 @@ def local_session(cores: str = "*", name: str = "stationcast") -> SparkSession:
 
 
 def scratch_folder(spark: SparkSession, name: str) -> str:
-    """A new folder below the shared folder the cluster names.
+    """A new folder that driver and executors share.
 
-    Only a local session may fall back to this machine's temporary folder, because
-    executors elsewhere could not read it.
+    It lies below ``spark.checkpoint.dir``; where that is unset, below the warehouse, which
+    every executor of a session writes to as well.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="stationcast-")
+        root = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
     return f"{root.rstrip('/')}/stationcast/{name}-{uuid.uuid4().hex}"
 
 

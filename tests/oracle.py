@@ -19,6 +19,7 @@ TABLES = (
 ).split()
 
 SQL_TYPES = {
+    "boolean": "BOOLEAN",
     "int": "INTEGER",
     "bigint": "BIGINT",
     "double": "DOUBLE",
@@ -85,7 +86,7 @@ if __name__ == "__main__":
     con = connect(folder)
     queries, oracles = entry.queries(), entry.oracle_sql()
     bad = 0
-    for name in sys.argv[2:] or queries:
+    for name in sys.argv[2:] or oracles:
         began = time.time()
         try:
             problem, n = compare(name, queries[name], oracles[name], spark, con, folder)

