@@ -20,14 +20,13 @@ from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stationcast.session import written
 
-from .base import BLOCK_BYTES, BYTE_VALUES, gathered, part_hashes, prefix_sums, row_blocks, table, text_buffer
+from .base import BLOCK_BYTES, BYTE_VALUES, gathered, mixed, part_hashes, prefix_sums, row_blocks, table, text_buffer
 from .decontamination import merged
 
 LENGTH = 100
@@ -39,7 +38,9 @@ BUCKET_ROWS = 400_000
 BUCKET_SEGMENTS = 20_000
 
 KEY = "doc_id long, mark int"  # a document: its id, and a checksum should rows share one
-ANCHORS = f"bucket int, {KEY}, hash long, segment long, low int, high int"
+#: ``place`` is low * 2**16 + mark; ``rest`` the segment's hash and width, or where a range ends.
+ANCHORS = "bucket int, doc_id long, place long, hash long, rest long"
+WIDTH = 8  # bits
 RANGES = f"{KEY}, low int, high int"
 
 
@@ -94,32 +95,39 @@ def anchor_rows(documents: DataFrame, buckets: int, length: int) -> DataFrame:
                     if len(text) >= length:
                         found.append(anchors(text, length))
                         docs.append(np.full(len(found[-1][0]), r))
-                        marks.append(np.full(len(found[-1][0]), crc32(text) - (1 << 31), dtype=np.int64))
+                        marks.append(np.full(len(found[-1][0]), crc32(text) & 0xFFFF))
                 if found:
                     yield rows(ids, np.concatenate(docs), np.concatenate(marks), *(np.concatenate(x) for x in zip(*found, strict=True)))
 
     def rows(ids, docs, marks, hashes, segments, low, high) -> pa.RecordBatch:
         own = ids.fill_null(-(1 << 63)).to_numpy(zero_copy_only=False)[docs]
         by = np.lexsort((low, own, segments, hashes))
+        h, s, o, lo = hashes[by], segments[by], own[by], low[by]
         again = np.zeros(len(by), dtype=bool)
-        h, s = hashes[by], segments[by]
-        same = (h[1:] == h[:-1]) & (s[1:] == s[:-1])
-        again[1:] = same
+        again[1:] = (h[1:] == h[:-1]) & (s[1:] == s[:-1])
         first = np.maximum.accumulate(np.where(again, 0, np.arange(len(by))))
-        o, m, lo = own[by], marks[by], low[by]
         again &= (o[first] < o) | (lo[first] < lo)
-        bucket = (h % np.uint64(buckets)).astype(np.int32)
+        once, known = by[~again], np.sort(by[again])
+        # Known ranges that follow each other are one; they go anywhere.
+        new = np.ones(len(known), dtype=bool)
+        new[1:] = (docs[known[1:]] != docs[known[:-1]]) | (low[known[1:]] != high[known[:-1]] + 1)
+        start = np.flatnonzero(new)
+        end = np.append(start[1:], len(known)) - 1 if len(known) else start
+        begins, ends = known[start], known[end]
+        taken = np.concatenate([once, begins])
+        width = (high - low)[once].astype(np.uint64)
+        rest = np.concatenate([((segments[once] >> np.uint64(WIDTH)) << np.uint64(WIDTH) | width).astype(np.int64), high[ends]])
+        spread = mixed(docs[begins].astype(np.uint64) + hashes[begins])
+        bucket = np.concatenate([hashes[once], spread]) % np.uint64(buckets)
         return pa.RecordBatch.from_arrays(
             [
-                pa.array(bucket),
-                ids.take(pa.array(docs[by])),
-                pa.array(m.astype(np.int32)),
-                pa.array(h.astype(np.int64), mask=again),
-                pa.array(s.astype(np.int64), mask=again),
-                pa.array(lo.astype(np.int32)),
-                pa.array(high[by].astype(np.int32)),
+                pa.array(bucket.astype(np.int32)),
+                ids.take(pa.array(docs[taken])),
+                pa.array(low[taken] << 16 | marks[taken]),
+                pa.array(hashes[taken].astype(np.int64), mask=np.arange(len(taken)) >= len(once)),
+                pa.array(rest),
             ],
-            names=["bucket", "doc_id", "mark", "hash", "segment", "low", "high"],
+            names=["bucket", "doc_id", "place", "hash", "rest"],
         )
 
     return documents.mapInArrow(find, ANCHORS)
@@ -130,13 +138,14 @@ def decide(rows: pa.Table) -> pa.Table:
 
     Column ``group`` is null for a range; else the segment's anchor hash.
     """
-    ranged = rows.filter(pc.is_null(rows["hash"]))
-    rows = rows.filter(pc.is_valid(rows["hash"]))
-    h, s = rows["hash"].to_numpy(), rows["segment"].to_numpy()
-    own = rows["doc_id"].fill_null(-(1 << 63)).to_numpy()
-    low = rows["low"].to_numpy()
+    place, rest = rows["place"].to_numpy(), rows["rest"].to_numpy()
+    whole = rows["hash"].combine_chunks()
+    known = whole.is_null().to_numpy(zero_copy_only=False)
+    at = np.flatnonzero(~known)
+    h, s = whole.fill_null(0).to_numpy()[at], rest[at] >> WIDTH
+    own, low = rows["doc_id"].fill_null(-(1 << 63)).to_numpy()[at], place[at] >> 16
     by = np.lexsort((low, own, s, h))
-    h, s, own, low = h[by], s[by], own[by], low[by]
+    h, s, own, low, at = h[by], s[by], own[by], low[by], at[by]
     n = len(by)
     new_hash = np.ones(n, dtype=bool)
     new_hash[1:] = h[1:] != h[:-1]
@@ -149,13 +158,20 @@ def decide(rows: pa.Table) -> pa.Table:
     several = np.bincount(group, weights=new, minlength=1)[group] > 1 if n else np.zeros(0, bool)
     compared = several & ~again
     take = np.flatnonzero(again | compared)
-    out = rows.select(["doc_id", "mark", "low", "high"]).take(pa.array(by[take]))
-    out = out.append_column("group", pa.array(h[take], mask=again[take]))
-    ranged = ranged.select(["doc_id", "mark", "low", "high"]).append_column("group", pa.nulls(ranged.num_rows, pa.int64()))
-    return pa.concat_tables([out, ranged]).cast(pa.schema(GROUPED))
-
-
-GROUPED = [("doc_id", pa.int64()), ("mark", pa.int32()), ("low", pa.int32()), ("high", pa.int32()), ("group", pa.int64())]
+    row = np.concatenate([at[take], np.flatnonzero(known)])
+    low = place[row] >> 16
+    high = np.where(known[row], rest[row], low + (rest[row] & ((1 << WIDTH) - 1)))
+    asked = np.zeros(len(row), dtype=bool)
+    asked[: len(take)] = compared[take]
+    return pa.table(
+        {
+            "doc_id": rows["doc_id"].take(pa.array(row)),
+            "mark": pa.array((place[row] & 0xFFFF).astype(np.int32)),
+            "low": pa.array(low.astype(np.int32)),
+            "high": pa.array(high.astype(np.int32)),
+            "group": pa.array(whole.fill_null(0).to_numpy()[row], mask=~asked),
+        }
+    )
 
 
 def suffix_array(data: np.ndarray, places: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
@@ -270,7 +286,7 @@ def shrunk(documents: DataFrame) -> DataFrame:
         for batch in batches:
             texts = [(x.as_py() or "").encode() for x in batch.column("text")]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array([crc32(t) - (1 << 31) for t in texts], pa.int32()), pa.array([press.compress(t) for t in texts], pa.binary())],
+                [batch.column("doc_id"), pa.array([crc32(t) & 0xFFFF for t in texts], pa.int32()), pa.array([press.compress(t) for t in texts], pa.binary())],
                 names=["doc_id", "mark", "packed"],
             )
 
