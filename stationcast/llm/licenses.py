@@ -40,7 +40,6 @@ TEMPLATES = [
 #: Share of a template's distinct words, in hundredths, that a block must hold.
 PERCENT = 85
 
-WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 GAP = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 CAPITALS, SMALL = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -49,11 +48,14 @@ def lowered(text: str | Column) -> Column:
     return F.translate(text, CAPITALS, SMALL)
 
 
+def words(text: str | Column) -> Column:
+    return F.array_remove(F.split(text, GAP), "")
+
+
 def blocks(documents: DataFrame, vocabulary: list[str]) -> DataFrame:
     """(doc_id, mark, block, held): lines, and the words of the vocabulary that each has."""
     lines = documents.where("text is not null").select("doc_id", F.xxhash64("text").alias("mark"), F.posexplode(F.split(lowered("text"), "\n")).alias("block", "s"))
-    words = F.regexp_extract_all("s", F.lit(WORD), F.lit(0))
-    held = F.array_intersect(words, F.array(*map(F.lit, vocabulary)))
+    held = F.array_intersect(words("s"), F.array(*map(F.lit, vocabulary)))
     # As a generated column, so that filters on it don't compute it again.
     return lines.select("doc_id", "mark", "block", F.explode(F.array(held)).alias("held"))
 
@@ -62,8 +64,8 @@ def template_matches(documents: DataFrame, templates: list[tuple[str, str]] = TE
     """(doc_id, mark, block, label, containment) for every block and template that meet."""
     spark = documents.sparkSession
     sets = [(sorted(set(text.split())), label) for text, label in templates]
-    vocabulary = sorted({w for words, _ in sets for w in words})
-    least = min(-(-percent * len(words) // 100) for words, _ in sets)
+    vocabulary = sorted({w for own, _ in sets for w in own})
+    least = min(-(-percent * len(own) // 100) for own, _ in sets)
     held = written(blocks(documents, vocabulary).where(F.size("held") >= least), "blocks")
     counts = {r["w"]: r["n"] for r in held.select(F.explode("held").alias("w")).groupBy("w").agg(F.count("*").alias("n")).collect()}
     order = sorted(vocabulary, key=lambda w: (counts.get(w, 0), w))
@@ -71,8 +73,8 @@ def template_matches(documents: DataFrame, templates: list[tuple[str, str]] = TE
     ranks = F.create_map(*[F.lit(x) for pair in rank.items() for x in pair])
     ordered = held.select("doc_id", "mark", "block", F.sort_array(F.transform("held", lambda w: F.get(F.array(*map(F.lit, range(len(order)))), ranks[w]))).alias("held"))
     heads, whole = [], []
-    for k, (words, label) in enumerate(sets):
-        mine = sorted(rank[w] for w in words)
+    for k, (own, label) in enumerate(sets):
+        mine = sorted(rank[w] for w in own)
         need = -(-percent * len(mine) // 100)
         whole.append((k, label, need, mine))
         heads += [(r, k, at) for at, r in enumerate(mine[: len(mine) - need + 1])]
@@ -91,19 +93,19 @@ def phrase_places(documents: DataFrame, phrases: dict[str, str]) -> DataFrame:
     some = "|".join("(?:" + GAP.join(p.split()) + ")" for p in phrases)
     has = F.coalesce(F.col("text").rlike("(?i)" + some), F.lit(False))
     # Each word stands between spaces of its own, so that places next to each other both count.
-    row = F.concat(F.lit(" "), F.array_join(F.regexp_extract_all(lowered("text"), F.lit(WORD), F.lit(0)), "  "), F.lit(" "))
-    out = documents.withColumn("n_words", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long"))
+    row = F.concat(F.lit(" "), F.array_join(words(lowered("text")), "  "), F.lit(" "))
+    out = documents.withColumn("n_words", F.when(F.col("text").isNull(), 0).otherwise(F.size(words("text"))).cast("long"))
     out = out.withColumn("_row", F.when(has, row))
     # The words before a place: each has two spaces.
     before = lambda s: F.length(s) - F.length(F.replace(s, F.lit(" "), F.lit("")))
     counts, firsts, lasts, labels = [], [], [], []
     for phrase, label in phrases.items():
-        words = " " + "  ".join(phrase.split()) + " "
-        times = (F.length("_row") - F.length(F.replace("_row", F.lit(words), F.lit("")))) / len(words)
+        spaced = " " + "  ".join(phrase.split()) + " "
+        times = (F.length("_row") - F.length(F.replace("_row", F.lit(spaced), F.lit("")))) / len(spaced)
         n = F.coalesce(times.cast("long"), F.lit(0).cast("long"))
         counts.append(n)
-        firsts.append(F.when(n > 0, (before(F.substring_index("_row", words, 1)) / 2).cast("long")))
-        lasts.append(F.when(n > 0, F.col("n_words") - len(phrase.split()) - (before(F.substring_index("_row", words, -1)) / 2).cast("long")))
+        firsts.append(F.when(n > 0, (before(F.substring_index("_row", spaced, 1)) / 2).cast("long")))
+        lasts.append(F.when(n > 0, F.col("n_words") - len(phrase.split()) - (before(F.substring_index("_row", spaced, -1)) / 2).cast("long")))
         labels.append(F.when(n > 0, F.lit(label)))
     total = counts[0]
     for n in counts[1:]:
