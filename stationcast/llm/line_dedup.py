@@ -59,9 +59,11 @@ def maybe(found: tuple[bytes, int], *key: str) -> Column:
 
 def lines_of(documents: DataFrame) -> DataFrame:
     """(doc_id, mark, line, words, class) of lines with words; mark is a hash of the document."""
-    lower, other = F.lower("text"), "\t\x0b\f\r"
-    spaced = F.when(F.greatest(*[F.instr(lower, c) for c in other]) > 0, F.translate(lower, other, " " * len(other))).otherwise(lower)
-    found = documents.where("text is not null").select("doc_id", F.xxhash64("text").alias("mark"), F.posexplode(F.split(spaced, "\n")).alias("line", "s"))
+    other = "\t\x0b\f\r"
+    has = F.greatest(*[F.instr("text", c) for c in other]) > 0
+    spaced = F.lower(F.when(has, F.translate("text", other, " " * len(other))).otherwise(F.col("text")))
+    found = documents.where("text is not null").select("doc_id", F.xxhash64("text").alias("mark"), spaced.alias("spaced"))
+    found = found.select("doc_id", "mark", F.posexplode(F.split("spaced", "\n")).alias("line", "s"))
     found = found.where(F.trim("s") != "").withColumn("words", F.array_remove(F.split("s", " "), ""))
     return found.select("doc_id", "mark", "line", "words", F.xxhash64("words").alias("class"))
 

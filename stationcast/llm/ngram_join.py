@@ -135,7 +135,7 @@ def ranked_sets(grams: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     grams = grams.repartition("gram")
     shared = grams.groupBy("gram").agg(F.count("*").alias("df")).where("df > 1")
     rank = F.struct(F.least(F.floor(F.log2("df")).cast("int"), F.lit(CLASSES)).alias("rank"), "gram")
-    held = grams.join(shared, "gram").groupBy("sig", "size").agg(F.sort_array(F.collect_list(rank)).alias("held"))
+    held = grams.join(shared, "gram").groupBy("sig", "size").agg(F.sort_array(F.collect_set(rank)).alias("held"))
     held = held.where(100 * F.size("held") >= percent * F.col("size"))
     held = written(held, "ranked")
     # Fragments are ranges of the order: each class, halved by hash.
