@@ -25,7 +25,7 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def local_session(cores: str = "*", name: str = "stationcast") -> SparkSession:
+def local_session(cores: str = "*", name: str = "stationcast", settings: dict[str, str] | None = None) -> SparkSession:
     """Session for one machine: tests, the benchmark, trying things out."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
@@ -34,7 +34,7 @@ def local_session(cores: str = "*", name: str = "stationcast") -> SparkSession:
         .config("spark.driver.memory", "12g")
         .config("spark.sql.shuffle.partitions", "8")
     )
-    for key, value in ENGINE_SETTINGS.items():
+    for key, value in (ENGINE_SETTINGS | (settings or {})).items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
