@@ -122,8 +122,9 @@ def chunk_table(spark: SparkSession, chunks: Sequence[tuple[datetime, datetime]]
 def assign_chunks(df: DataFrame, chunks: DataFrame, time: str) -> DataFrame:
     """Each row with the chunk that holds its time; rows in no chunk are dropped.
 
-    An equi-join on the calendar month, then the exact bounds; a month meets at most
-    a handful of chunks.
+    A chunk's last minute belongs to it whole, so that chunks that follow each other leave
+    no gap.  An equi-join on the calendar month, then the exact bounds; a month meets at
+    most a handful of chunks.
     """
     months = chunks.withColumn(
         "_month",
@@ -136,6 +137,6 @@ def assign_chunks(df: DataFrame, chunks: DataFrame, time: str) -> DataFrame:
     return (
         df.withColumn("_month", F.trunc(time, "month"))
         .join(months, "_month")
-        .where(F.col(time).between(F.col("chunk_start"), F.col("chunk_end")))
+        .where((F.col(time) >= F.col("chunk_start")) & (F.col(time) < F.col("chunk_end") + F.expr("INTERVAL 1 MINUTE")))
         .drop("_month")
     )

@@ -49,70 +49,96 @@ NDFD_PREFIXES = {
 }
 NDFD_RUN_HOURS = [11, 23]
 
-# Inventory text that marks the wanted messages.
-_WIND_10M = [":WIND:10 m above", ":WDIR:10 m above", ":GUST:10 m above"]
+# Inventory text that marks the wanted messages, by model and element.
 SEARCH = {
-    ("nbm", "Wind"): _WIND_10M,
-    ("nbm_exp", "Wind"): _WIND_10M,
+    ("nbm", "Wind"): [":WIND:10 m above", ":WDIR:10 m above", ":GUST:10 m above"],
+    ("nbm", "snow6hr"): [":ASNOW:surface:"],
+    ("nbm", "snow24hr"): [":ASNOW:surface:"],
+    ("nbm", "snow48hr"): [":ASNOW:surface:"],
+    ("nbm", "snow72hr"): [":ASNOW:surface:"],
+    ("nbm_exp", "Wind"): [":WIND:10 m above", ":WDIR:10 m above", ":GUST:10 m above"],
+    ("nbm_exp", "snow6hr"): [":ASNOW:surface:"],
+    ("nbm_exp", "snow24hr"): [":ASNOW:surface:"],
+    ("nbm_exp", "snow48hr"): [":ASNOW:surface:"],
+    ("nbm_exp", "snow72hr"): [":ASNOW:surface:"],
+    ("nbmqmd", "precip24hr"): [":APCP:surface:"],
+    ("nbmqmd", "precip6hr"): [":APCP:surface:"],
+    ("nbmqmd", "maxt"): [":TMP:2 m above ground:"],
+    ("nbmqmd", "mint"): [":TMP:2 m above ground:"],
     ("nbmqmd_exp", "Wind"): [":WIND:10 m above"],
     ("nbmqmd_exp", "Gust"): [":GUST:10 m above"],
+    ("nbmqmd_exp", "precip24hr"): [":APCP:surface:"],
+    ("nbmqmd_exp", "precip6hr"): [":APCP:surface:"],
+    ("nbmqmd_exp", "maxt"): [":TMP:2 m above ground:"],
+    ("nbmqmd_exp", "mint"): [":TMP:2 m above ground:"],
     ("hrrr", "Wind"): [":UGRD:10 m above", ":VGRD:10 m above", ":GUST:surface"],
     ("hrrr", "precip6hr"): [":APCP:surface"],
     ("hrrr", "snow6hr"): [":ASNOW:surface"],
     ("urma", "Wind"): [],
 }
-SEARCH |= {(m, e): [":APCP:surface:"] for m in ("nbmqmd", "nbmqmd_exp") for e in ("precip24hr", "precip6hr")}
-SEARCH |= {(m, e): [":TMP:2 m above ground:"] for m in ("nbmqmd", "nbmqmd_exp") for e in ("maxt", "mint")}
-SEARCH |= {(m, f"snow{h}hr"): [":ASNOW:surface:"] for m in ("nbm", "nbm_exp") for h in (6, 24, 48, 72)}
-
-# Inventory text that rules a message out, and text all messages must carry.
-EXCLUDE = {("nbm", "Wind"): ["ens std dev"], ("nbm_exp", "Wind"): ["ens std dev"]}
-EXCLUDE |= {("hrrr", e): ["ens std dev"] for e in ("Wind", "precip6hr", "snow6hr")}
-EXCLUDE |= {(m, f"snow{h}hr"): ["prob"] for m in ("nbm", "nbm_exp") for h in (6, 24, 48, 72)}
-REQUIRE = {(m, "Wind"): ["10 m above ground"] for m in ("nbm", "nbm_exp", "hrrr")}
-
-# Factors applied per source.  The gust factor of the hrrr rows differs in the third
-# decimal from the wind factor; archived gusts were made with it.
-HRRR_GUST_FACTOR = 1.9484
 
+# Inventory text that rules a message out.
+EXCLUDE = {
+    ("nbm", "Wind"): ["ens std dev"],
+    ("nbm", "snow6hr"): ["prob"],
+    ("nbm", "snow24hr"): ["prob"],
+    ("nbm", "snow48hr"): ["prob"],
+    ("nbm", "snow72hr"): ["prob"],
+    ("nbm_exp", "Wind"): ["ens std dev"],
+    ("nbm_exp", "snow6hr"): ["prob"],
+    ("nbm_exp", "snow24hr"): ["prob"],
+    ("nbm_exp", "snow48hr"): ["prob"],
+    ("nbm_exp", "snow72hr"): ["prob"],
+    ("hrrr", "Wind"): ["ens std dev"],
+    ("hrrr", "precip6hr"): ["ens std dev"],
+    ("hrrr", "snow6hr"): ["ens std dev"],
+}
 
-def _leads(*spans: tuple[int, int, int]) -> list[int]:
-    """Lead hours from (first, last, step) spans."""
-    return [h for first, last, step in spans for h in range(first, last + 1, step)]
+# Inventory text that all messages must carry.
+REQUIRE = {
+    ("nbm", "Wind"): ["10 m above ground"],
+    ("nbm_exp", "Wind"): ["10 m above ground"],
+    ("hrrr", "Wind"): ["10 m above ground"],
+}
 
+# Factors applied per source.  The gust factor of the hrrr rows differs in the
+# third decimal from the wind factor; archived gusts were made with it.
+HRRR_GUST_FACTOR = 1.9484
 
-def _snow_leads(first: int) -> list[int]:
-    """Six-hourly snow leads up to 161 h; none is issued for 77 h."""
-    return [h for h in _leads((first, 161, 6)) if h != 77]
+# fmt: off
+# Lead hours archived for each model and element.
+LEADS = {
+    ("nbm", "Wind"): [5, 11, 17, 23, 29, 35, 41, 47, 53, 59, 65, 71, 83, 95, 107, 119, 131, 143, 155, 167],
+    ("nbm", "snow6hr"): [11, 17, 23, 29, 35, 41, 47, 53, 59, 65, 71, 83, 89, 95, 101, 107, 113, 119, 125, 131, 137, 143, 149, 155, 161],
+    ("nbm", "snow24hr"): [29, 35, 41, 47, 53, 59, 65, 71, 83, 89, 95, 101, 107, 113, 119, 125, 131, 137, 143, 149, 155, 161],
+    ("nbm", "snow48hr"): [53, 59, 65, 71, 83, 89, 95, 101, 107, 113, 119, 125, 131, 137, 143, 149, 155, 161],
+    ("nbm", "snow72hr"): [83, 89, 95, 101, 107, 113, 119, 125, 131, 137, 143, 149, 155, 161],
+    ("nbm_exp", "Wind"): [5, 11, 17, 23, 29, 35, 41, 47, 53, 59, 65, 71, 83, 95, 107, 119, 131, 143, 155, 167],
+    ("nbm_exp", "snow6hr"): [11, 17, 23, 29, 35, 41, 47, 53, 59, 65, 71, 83, 89, 95, 101, 107, 113, 119, 125, 131, 137, 143, 149, 155, 161],
+    ("nbm_exp", "snow24hr"): [29, 35, 41, 47, 53, 59, 65, 71, 83, 89, 95, 101, 107, 113, 119, 125, 131, 137, 143, 149, 155, 161],
+    ("nbm_exp", "snow48hr"): [53, 59, 65, 71, 83, 89, 95, 101, 107, 113, 119, 125, 131, 137, 143, 149, 155, 161],
+    ("nbm_exp", "snow72hr"): [83, 89, 95, 101, 107, 113, 119, 125, 131, 137, 143, 149, 155, 161],
+    ("nbmqmd", "precip24hr"): [24, 30, 36, 48, 60, 72, 84, 96, 108, 120, 132, 144, 156, 168],
+    ("nbmqmd", "precip6hr"): [6, 12, 18, 24, 30, 36, 42, 48, 54, 60, 66, 72, 78, 84, 90, 96, 102, 108, 114, 120],
+    ("nbmqmd", "maxt"): [18, 30, 42, 54, 66, 78, 90, 102, 114, 126, 138, 150, 162, 174],
+    ("nbmqmd", "mint"): [18, 30, 42, 54, 66, 78, 90, 102, 114, 126, 138, 150, 162, 174],
+    ("nbmqmd_exp", "precip24hr"): [24, 30, 36, 48, 60, 72, 84, 96, 108, 120, 132, 144, 156, 168],
+    ("nbmqmd_exp", "precip6hr"): [6, 12, 18, 24, 30, 36, 42, 48, 54, 60, 66, 72, 78, 84, 90, 96, 102, 108, 114, 120],
+    ("nbmqmd_exp", "maxt"): [18, 30, 42, 54, 66, 78, 90, 102, 114, 126, 138, 150, 162, 174],
+    ("nbmqmd_exp", "mint"): [18, 30, 42, 54, 66, 78, 90, 102, 114, 126, 138, 150, 162, 174],
+    ("nbmqmd_exp", "Wind"): [12, 18, 24, 30, 36, 42, 48, 54, 60, 66, 72, 84, 96, 108, 120, 132, 144, 156, 168],
+    ("nbmqmd_exp", "Gust"): [12, 18, 24, 30, 36, 42, 48, 54, 60, 66, 72, 84, 96, 108, 120, 132, 144, 156, 168],
+    ("hrrr", "Wind"): [12, 18, 24, 30, 36, 42, 48],
+    ("hrrr", "precip6hr"): [0, 6, 12, 18, 24, 30, 36, 42, 48],
+    ("hrrr", "snow6hr"): [0, 6, 12, 18, 24, 30, 36, 42, 48],
+    ("urma", "Wind"): [0],
+}
+# fmt: on
 
 
 def leads(model: str, element: str) -> list[int]:
     """Lead hours archived for a model and element."""
-    table = {
-        "nbm": {
-            "Wind": _leads((5, 71, 6), (83, 167, 12)),
-            "snow6hr": _snow_leads(11),
-            "snow24hr": _snow_leads(29),
-            "snow48hr": _snow_leads(53),
-            "snow72hr": _snow_leads(83),
-        },
-        "nbmqmd": {
-            "precip24hr": _leads((24, 36, 6), (48, 168, 12)),
-            "precip6hr": _leads((6, 120, 6)),
-            "maxt": _leads((18, 174, 12)),
-            "mint": _leads((18, 174, 12)),
-        },
-        "hrrr": {
-            "Wind": _leads((12, 48, 6)),
-            "precip6hr": _leads((0, 48, 6)),
-            "snow6hr": _leads((0, 48, 6)),
-        },
-        "urma": {"Wind": [0]},
-    }
-    table["nbm_exp"] = table["nbm"]
-    percentile_wind = _leads((12, 72, 6), (84, 168, 12))
-    table["nbmqmd_exp"] = table["nbmqmd"] | {"Wind": percentile_wind, "Gust": percentile_wind}
-    return table[model][element]
+    return LEADS[model, element]
 
 
 # ---------------------------------------------------------------------------
@@ -143,7 +169,7 @@ _SPEED_DIRECTION_GUST = [
     ColumnRule("i10fg", "wind_gust_kt", factor=_KT),
 ]
 
-# Columns read straight from one variable each.
+# Columns read straight from one variable each.
 COLUMNS: dict[tuple[str, str], list[ColumnRule]] = {
     ("ndfd", "Wind"): _SPEED_DIRECTION_GUST[:2],
     ("ndfd", "Gust"): _SPEED_DIRECTION_GUST[2:],
@@ -164,13 +190,13 @@ COLUMNS: dict[tuple[str, str], list[ColumnRule]] = {
     ("hrrr", "snow6hr"): [ColumnRule("unknown", "snow_accum", factor=_M, digits=1)],
 }
 
-# Run totals that are also differenced into interval amounts: (total, interval, hours).
+# Run totals that are also differenced into interval amounts: (total, interval, hours).
 INTERVALS = {
     ("hrrr", "precip6hr"): ("precip_accum", "precip_6h", 6),
     ("hrrr", "snow6hr"): ("snow_accum", "snow_6h", 6),
 }
 
-# Percentile elements: column prefix and conversion; one column per percentile.
+# Percentile elements, column prefix and conversion; one column per percentile.
 PERCENTILE_COLUMNS = {
     "precip24hr": ColumnRule("percentile", "qpf", factor=_MM),
     "precip6hr": ColumnRule("percentile", "qpf", factor=_MM),
@@ -178,12 +204,13 @@ PERCENTILE_COLUMNS = {
     "mint": ColumnRule("percentile", "mint", "fahrenheit"),
     "Wind": ColumnRule("percentile", "wind", factor=_KT),
     "Gust": ColumnRule("percentile", "gust", factor=_KT),
-}
-PERCENTILE_COLUMNS |= {
-    f"snow{h}hr": ColumnRule("percentile", "snow", factor=_M, digits=1) for h in (6, 24, 48, 72)
+    "snow6hr": ColumnRule("percentile", "snow", factor=_M, digits=1),
+    "snow24hr": ColumnRule("percentile", "snow", factor=_M, digits=1),
+    "snow48hr": ColumnRule("percentile", "snow", factor=_M, digits=1),
+    "snow72hr": ColumnRule("percentile", "snow", factor=_M, digits=1),
 }
 
-# Observation elements: reported variable to archived column, and precipitation spans
+# Observation elements, reported variable to archived column, and precipitation spans
 # as (hours accumulated, hours per report).
 OBSERVATION_COLUMNS = {
     "wind_direction_set_1": "obs_wind_dir_deg",
