@@ -99,6 +99,55 @@ def duplicate_times(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query(
+    "asof_equal_order",
+    """
+WITH f AS (SELECT event_id, user_id, date_trunc('hour', ts) + INTERVAL 20 MINUTES AS valid_time FROM events),
+o AS (SELECT user_id, date_trunc('hour', ts) AS observed_time,
+             CASE WHEN event_type <> 'error' THEN length(event_type) // 6 END AS seq FROM events),
+ranked AS (
+  SELECT f.event_id, o.observed_time, o.seq,
+         row_number() OVER (PARTITION BY f.event_id
+           ORDER BY abs(epoch_us(f.valid_time) - epoch_us(o.observed_time)), o.observed_time,
+                    CASE WHEN o.observed_time <= f.valid_time THEN -coalesce(o.seq, -1) ELSE coalesce(o.seq, -1) END) AS rn
+  FROM f JOIN o ON o.user_id = f.user_id
+   AND o.observed_time BETWEEN f.valid_time - INTERVAL 90 MINUTES AND f.valid_time + INTERVAL 90 MINUTES)
+SELECT f.event_id, f.user_id, f.valid_time, r.observed_time, CAST(r.seq AS BIGINT) AS seq,
+       CAST(10 * coalesce(r.seq, -1) AS BIGINT) AS observed, r.observed_time IS NOT NULL AS same_report
+FROM f LEFT JOIN ranked r ON r.event_id = f.event_id AND r.rn = 1
+""",
+)
+def equal_order(spark: SparkSession, folder: str) -> DataFrame:
+    """Reports that share time and order, some without an order.  Which of equal ones is
+    taken is up to its content; all its columns are those of one report."""
+    events = table(spark, folder, "events")
+    hour = F.date_trunc("hour", "ts")
+    seq = F.when(F.col("event_type") != "error", F.expr("length(event_type) div 6"))
+    reports = events.select(
+        "user_id",
+        hour.alias("observed_time"),
+        seq.alias("seq"),
+        F.coalesce(seq * 10, F.lit(-10)).alias("observed"),
+        F.col("event_id").alias("report"),
+        (F.col("event_id") * 7).alias("check"),
+    )
+    found = asof_nearest(
+        events.select("event_id", "user_id", (hour + F.expr("INTERVAL 20 MINUTES")).alias("valid_time")),
+        reports,
+        by=["user_id"],
+        left_time="valid_time",
+        right_time="observed_time",
+        tolerance=timedelta(minutes=90),
+        seq="seq",
+        slice_width=timedelta(hours=1),
+    )
+    one = F.coalesce(F.col("check") == F.col("report") * 7, F.lit(False))
+    return found.select(
+        "event_id", "user_id", "valid_time", "observed_time", "seq",
+        F.coalesce("observed", F.lit(-10)).cast("long").alias("observed"), one.alias("same_report"),
+    )
+
+
 @query(
     "file_pairs",
     """

@@ -5,16 +5,19 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.names import archive_name
 from ..operators.dedup import append_by_key, append_distinct
 from ..plans.verification import within_days
 from ..session import scratch_folder
 from ..sources.archive import (
     append_archive,
+    compact_months,
     in_months,
     month_summary,
     peek,
     read_archive,
     read_between,
+    read_months,
     write_partitioned,
 )
 from . import query, table
@@ -76,6 +79,69 @@ def months(spark: SparkSession, folder: str) -> DataFrame:
     return month_summary(read_archive(spark, path), "o_orderdate")
 
 
+NARROW = ["o_custkey", "o_orderdate", "o_orderstatus"]
+WIDE = [*NARROW, "o_orderpriority"]
+OTHER = ["o_custkey", "o_orderdate", "o_totalprice"]
+
+GROWING_SQL = """SELECT DISTINCT * FROM (
+  SELECT o_custkey, o_orderdate, o_orderstatus FROM orders
+  UNION ALL BY NAME SELECT o_custkey, o_orderdate, o_orderstatus, o_orderpriority FROM orders WHERE o_orderstatus <> 'P'
+  UNION ALL BY NAME SELECT o_custkey, o_orderdate, o_totalprice FROM orders WHERE o_orderstatus <> 'O')"""
+
+
+def growing(spark: SparkSession, folder: str, *steps: int) -> DataFrame:
+    """An archive after batches whose columns differ, in this order and then once more."""
+    path = scratch_folder(spark, "archive")
+    orders = table(spark, folder, "orders")
+    old, new = halves(spark, folder)
+    batches = [orders.select(*NARROW), old.select(*WIDE), new.select(*OTHER)]
+    for k in (*steps, steps[0]):
+        append_archive(batches[k], path, time="o_orderdate")
+    return read_archive(spark, path).drop("year", "month")
+
+
+@query("archive_columns_added", GROWING_SQL)
+def columns_added(spark: SparkSession, folder: str) -> DataFrame:
+    """A batch of fewer columns first; rows that differ by a missing value stay apart."""
+    return growing(spark, folder, 0, 1, 2)
+
+
+@query("archive_columns_missing", GROWING_SQL)
+def columns_missing(spark: SparkSession, folder: str) -> DataFrame:
+    """A batch of more columns first."""
+    return growing(spark, folder, 1, 2, 0)
+
+
+@query(
+    "archive_month_files",
+    """SELECT o_orderkey, o_orderdate, o_totalprice, CASE WHEN year(o_orderdate) >= 1995 THEN o_orderpriority END AS o_orderpriority
+FROM orders WHERE o_orderdate >= TIMESTAMP '1994-11-01' AND o_orderdate < TIMESTAMP '1995-03-01'""",
+)
+def month_files_read(spark: SparkSession, folder: str) -> DataFrame:
+    """Monthly files found by their names, the later ones with a column more; a month
+    without a file adds nothing."""
+    root = scratch_folder(spark, "months")
+    columns = ["o_orderkey", "o_orderdate", "o_totalprice"]
+    pattern = "{YYYY}_{MM}_{model}_{element}_archive.parquet"
+    wanted = [(1994, 11), (1994, 12), (1995, 1), (1995, 2)]
+    for year, month in wanted:
+        own = table(spark, folder, "orders").where((F.year("o_orderdate") == year) & (F.month("o_orderdate") == month))
+        rows = own.select(*columns, *(["o_orderpriority"] if year >= 1995 else []))
+        rows.write.parquet(f"{root}/{archive_name(year, month, 'nbm', 'wind', pattern)}")
+    read = read_months(spark, root, [*wanted, (1899, 12)], "nbm", "wind", pattern=pattern)
+    return read.select(*columns, "o_orderpriority")
+
+
+@query("archive_compacted", "SELECT DISTINCT o_orderkey, o_orderdate, o_totalprice FROM orders")
+def compacted(spark: SparkSession, folder: str) -> DataFrame:
+    """An archive of two appends with some months rewritten."""
+    path = scratch_folder(spark, "archive")
+    for batch in halves(spark, folder):
+        append_archive(batch.select("o_orderkey", "o_orderdate", "o_totalprice"), path, time="o_orderdate")
+    compact_months(spark, path, [(1996, 2), (1996, 3), (1899, 1)])
+    return read_archive(spark, path).drop("year", "month")
+
+
 @query(
     "archive_by_key",
     """SELECT o_custkey, o_orderpriority, o_orderdate, o_orderkey FROM (
@@ -122,7 +188,7 @@ def days(spark: SparkSession, folder: str) -> DataFrame:
     return within_days(months, "o_orderdate", first, last)
 
 
-@query("archive_peek", "SELECT count(*) AS rows FROM (SELECT * FROM nation LIMIT 10)")
+@query("archive_peek", "SELECT * FROM nation LIMIT 10")
 def archive_peek(spark: SparkSession, folder: str) -> DataFrame:
-    """How many rows a first look shows; which ones is up to the file."""
-    return peek(spark, f"{folder}/nation.parquet").agg(F.count(F.lit(1)).alias("rows"))
+    """The first rows of a file, with all its columns."""
+    return peek(spark, f"{folder}/nation.parquet")

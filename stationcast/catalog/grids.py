@@ -278,29 +278,47 @@ def percentiles_snow(spark: SparkSession, folder: str) -> DataFrame:
     return model_forecast(percentile_values(spark, folder), station_cells(spark, folder), "nbm", "snow24hr")
 
 
+@query("model_percentiles_mint", model_percentile_sql("1.8::DOUBLE * (value - 273) + 32", "mint"))
+def percentiles_mint(spark: SparkSession, folder: str) -> DataFrame:
+    return model_forecast(percentile_values(spark, folder), station_cells(spark, folder), "nbmqmd", "mint")
+
+
+@query("model_percentiles_precip6hr", model_percentile_sql("value * 0.0393701::DOUBLE", "qpf"))
+def percentiles_precip6hr(spark: SparkSession, folder: str) -> DataFrame:
+    return model_forecast(percentile_values(spark, folder), station_cells(spark, folder), "nbmqmd", "precip6hr")
+
+
+@query("model_percentiles_wind", model_percentile_sql("value * 1.94384::DOUBLE", "wind"))
+def percentiles_wind(spark: SparkSession, folder: str) -> DataFrame:
+    return model_forecast(percentile_values(spark, folder), station_cells(spark, folder), "nbmqmd_exp", "Wind")
+
+
+@query("model_percentiles_gust", model_percentile_sql("value * 1.94384::DOUBLE", "gust"))
+def percentiles_gust(spark: SparkSession, folder: str) -> DataFrame:
+    return model_forecast(percentile_values(spark, folder), station_cells(spark, folder), "nbmqmd_exp", "Gust")
+
+
 def database_values(spark: SparkSession, folder: str) -> DataFrame:
-    """Speed messages from accepted lines, direction messages from returned ones; a
-    file is a component and an order, a step is a line number."""
-    speed = F.col("l_returnflag") == "A"
-    return (
-        table(spark, folder, "lineitem")
-        .where("l_returnflag in ('A', 'R')")
-        .select(
-            F.concat(F.when(speed, "wspd/").otherwise("wdir/"), F.col("l_orderkey").cast("string")).alias("file"),
-            grid_of(F.col("l_partkey")).alias("grid_id"),
-            F.col("l_partkey").alias("flat"),
-            F.col("l_linenumber").alias("step_idx"),
-            (F.col("l_linenumber") * 6).alias("forecast_hour"),
-            F.col("l_shipdate").alias("valid_time"),
-            F.when(speed, "si10").otherwise("wdir10").alias("var"),
-            F.col("l_quantity").alias("value"),
-        )
+    """Speed messages from accepted lines, direction messages from returned ones, gusts
+    from the others; a file is a component and an order, a step is a line number."""
+    flag = F.col("l_returnflag")
+    component = F.when(flag == "A", "wspd/").when(flag == "R", "wdir/").otherwise("wgust/")
+    return table(spark, folder, "lineitem").select(
+        F.concat(component, F.col("l_orderkey").cast("string")).alias("file"),
+        grid_of(F.col("l_partkey")).alias("grid_id"),
+        F.col("l_partkey").alias("flat"),
+        F.col("l_linenumber").alias("step_idx"),
+        (F.col("l_linenumber") * 6).alias("forecast_hour"),
+        F.col("l_shipdate").alias("valid_time"),
+        F.when(flag == "A", "si10").when(flag == "R", "wdir10").otherwise("i10fg").alias("var"),
+        F.col("l_quantity").alias("value"),
     )
 
 
 DATABASE_SQL = f"""{CELLS}, points AS (
   SELECT l_orderkey, l_returnflag, l_linenumber, l_shipdate, l_quantity, c.station_id
-  FROM lineitem JOIN cells c ON c.flat = l_partkey WHERE l_returnflag IN ('A', 'R')),
+  FROM lineitem JOIN cells c ON c.flat = l_partkey),
+gusts AS (SELECT * FROM points WHERE l_returnflag NOT IN ('A', 'R')),
 spd AS (SELECT * FROM points WHERE l_returnflag = 'A'),
 dir AS (SELECT l_orderkey, l_linenumber, station_id, round_even(l_quantity, 0) AS wind_dir_deg
         FROM points WHERE l_returnflag = 'R')"""
@@ -317,7 +335,7 @@ pairs AS (
   FROM orders_of s JOIN orders_of d
     ON d.stamp BETWEEN s.stamp - INTERVAL 2 MINUTES AND s.stamp + INTERVAL 2 MINUTES
   WHERE s.o_orderkey % 2 = 0 AND d.o_orderkey % 2 = 1)
-SELECT s.station_id, s.l_shipdate - 6 * s.l_linenumber * INTERVAL 1 HOUR AS init_time, s.l_shipdate AS valid_time,
+SELECT s.station_id, s.l_shipdate AS valid_time,
        CAST(6 * s.l_linenumber AS INTEGER) AS forecast_hour,
        round_even(s.l_quantity * 1.94384::DOUBLE, 2) AS wind_speed_kt, d.wind_dir_deg
 FROM spd s LEFT JOIN pairs p ON p.speed_order = s.l_orderkey AND p.rn = 1
@@ -345,13 +363,45 @@ def database_wind(spark: SparkSession, folder: str) -> DataFrame:
 @query(
     "database_gust",
     f"""WITH {DATABASE_SQL}
-SELECT station_id, l_shipdate - 6 * l_linenumber * INTERVAL 1 HOUR AS init_time, l_shipdate AS valid_time,
+SELECT station_id, l_shipdate AS valid_time,
        CAST(6 * l_linenumber AS INTEGER) AS forecast_hour, round_even(l_quantity * 1.94384::DOUBLE, 2) AS wind_gust_kt
-FROM spd""",
+FROM gusts""",
 )
 def database_gust(spark: SparkSession, folder: str) -> DataFrame:
-    gusts = database_values(spark, folder).withColumn("var", F.when(F.col("var") == "si10", "i10fg").otherwise("x"))
-    return ndfd_forecast(gusts, station_cells(spark, folder), "Gust")
+    return ndfd_forecast(database_values(spark, folder), station_cells(spark, folder), "Gust")
+
+
+def database_series(spark: SparkSession, folder: str, element: str, variable: str) -> DataFrame:
+    """A database element of one variable, every line item a step of it."""
+    values = database_values(spark, folder).withColumns({"var": F.lit(variable), "value": F.col("value") + 250})
+    return ndfd_forecast(values, station_cells(spark, folder), element)
+
+
+def database_series_sql(value: str, column: str, digits: int = 2) -> str:
+    return f"""WITH {CELLS}, points AS (
+  SELECT c.station_id, l_shipdate, l_linenumber, l_quantity + 250 AS value FROM lineitem JOIN cells c ON c.flat = l_partkey)
+SELECT station_id, l_shipdate AS valid_time, CAST(6 * l_linenumber AS INTEGER) AS forecast_hour,
+       round_even({value}, {digits}) AS {column} FROM points"""
+
+
+@query("database_maxt", database_series_sql("1.8::DOUBLE * (value - 273) + 32", "maxt"))
+def database_maxt(spark: SparkSession, folder: str) -> DataFrame:
+    return database_series(spark, folder, "maxt", "tmax")
+
+
+@query("database_mint", database_series_sql("1.8::DOUBLE * (value - 273) + 32", "mint"))
+def database_mint(spark: SparkSession, folder: str) -> DataFrame:
+    return database_series(spark, folder, "mint", "tmin")
+
+
+@query("database_precip", database_series_sql("value * 0.0393701::DOUBLE", "precip6hr"))
+def database_precip(spark: SparkSession, folder: str) -> DataFrame:
+    return database_series(spark, folder, "precip6hr", "unknown")
+
+
+@query("database_snow", database_series_sql("value * 39.3701::DOUBLE", "snow6hr", 1))
+def database_snow(spark: SparkSession, folder: str) -> DataFrame:
+    return database_series(spark, folder, "snow6hr", "unknown")
 
 
 @query(

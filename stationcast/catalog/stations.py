@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..operators.accumulate import interval_from_total, rolling_total, with_exact_lag
 from ..operators.extremes import TMAX_12_TO_06, TMIN_00_TO_18, daily_extreme
 from ..plans.observations import observations
-from ..session import written
+from ..session import scratch_folder, written
 from ..sources import stations as dim
 from ..sources.observations import parse_precipitation, parse_temperatures, parse_timeseries
 from . import query, table
@@ -167,6 +167,38 @@ def exact_lag(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+REPEATED_SQL = "repeated AS (SELECT event_id, user_id, date_trunc('hour', ts) AS hour, value FROM events)"
+
+
+def repeated(spark: SparkSession, folder: str, fan_out: bool) -> DataFrame:
+    """Each event with what its user had exactly a day before, by the hour; hours repeat."""
+    events = table(spark, folder, "events").select("event_id", "user_id", F.date_trunc("hour", "ts").alias("hour"), "value")
+    return with_exact_lag(events, by=["user_id"], time="hour", value="value", lag_hours=24, out="value_before", fan_out=fan_out)
+
+
+@query(
+    "exact_lag_repeated",
+    f"""WITH {REPEATED_SQL},
+earlier AS (SELECT user_id, hour, max(value) AS value FROM repeated GROUP BY ALL)
+SELECT r.*, e.value AS value_before FROM repeated r
+LEFT JOIN earlier e ON e.user_id = r.user_id AND e.hour = r.hour - INTERVAL 24 HOURS""",
+)
+def exact_lag_repeated(spark: SparkSession, folder: str) -> DataFrame:
+    """The largest of several earlier values."""
+    return repeated(spark, folder, fan_out=False)
+
+
+@query(
+    "exact_lag_fan_out",
+    f"""WITH {REPEATED_SQL}
+SELECT r.*, e.value AS value_before FROM repeated r
+LEFT JOIN repeated e ON e.user_id = r.user_id AND e.hour = r.hour - INTERVAL 24 HOURS""",
+)
+def exact_lag_fan_out(spark: SparkSession, folder: str) -> DataFrame:
+    """A row for each of several earlier values."""
+    return repeated(spark, folder, fan_out=True)
+
+
 # -- observation JSON ------------------------------------------------------------
 
 
@@ -292,20 +324,21 @@ def json_precipitation(spark: SparkSession, folder: str) -> DataFrame:
 
 def attributes(spark: SparkSession, folder: str) -> DataFrame:
     """Attributes from responses, as a written table of known size.  Users are
-    customers, and one segment has no attributes."""
+    customers; those of one segment stand under other names, so that some users are unknown."""
+    letter = F.when(F.col("c_mktsegment") == "MACHINERY", "X").otherwise("U")
     station = F.struct(
-        F.concat(F.lit("U"), text(F.col("c_custkey"))).alias("STID"),
+        F.concat(letter, text(F.col("c_custkey"))).alias("STID"),
         F.col("c_mktsegment").alias("NWSZONE"),
         F.concat(F.lit("CWA"), text(F.col("c_nationkey"))).alias("CWA"),
     )
-    customers = table(spark, folder, "customer").where("c_mktsegment <> 'MACHINERY'")
+    customers = table(spark, folder, "customer")
     responses = customers.select(F.to_json(F.struct(F.array(station).alias("STATION"))).alias("payload"))
     return written(dim.parse_attributes(responses), "attributes")
 
 
 ATTRIBUTES_SQL = """
-attributes AS (SELECT 'U' || c_custkey AS stid, c_mktsegment AS zone, 'CWA' || c_nationkey AS cwa
-               FROM customer WHERE c_mktsegment <> 'MACHINERY')
+attributes AS (SELECT CASE c_mktsegment WHEN 'MACHINERY' THEN 'X' ELSE 'U' END || c_custkey AS stid,
+                      c_mktsegment AS zone, 'CWA' || c_nationkey AS cwa FROM customer)
 """
 
 
@@ -367,14 +400,13 @@ def observed_maxt(spark: SparkSession, folder: str) -> DataFrame:
     return observations(temperature_responses(spark, folder), attributes(spark, folder), "maxt")
 
 
-@query(
-    "station_table",
-    """SELECT s_name AS stid, n_name AS name, CAST(50 + s_suppkey / 8.0 AS DOUBLE) AS latitude,
+STATIONS_SQL = """SELECT s_name AS stid, n_name AS name, CAST(50 + s_suppkey / 8.0 AS DOUBLE) AS latitude,
        CASE WHEN s_nationkey < 20 THEN s_acctbal END AS longitude, CAST(NULL AS DOUBLE) AS elevation
-FROM supplier JOIN nation ON n_nationkey = s_nationkey""",
-)
-def station_table(spark: SparkSession, folder: str) -> DataFrame:
-    """Stations from metadata responses; some coordinates are not numbers."""
+FROM supplier JOIN nation ON n_nationkey = s_nationkey"""
+
+
+def metadata(spark: SparkSession, folder: str) -> DataFrame:
+    """Metadata responses of one station each; some coordinates are not numbers."""
     suppliers = table(spark, folder, "supplier")
     nations = table(spark, folder, "nation")
     station = F.struct(
@@ -384,8 +416,20 @@ def station_table(spark: SparkSession, folder: str) -> DataFrame:
         F.when(F.col("s_nationkey") < 20, text(F.col("s_acctbal"))).otherwise("unknown").alias("LONGITUDE"),
     )
     joined = suppliers.join(nations, F.col("n_nationkey") == F.col("s_nationkey"))
-    payloads = joined.select(F.to_json(F.struct(F.array(station).alias("STATION"))).alias("payload"))
-    return dim.parse_stations(payloads)
+    return joined.select(F.to_json(F.struct(F.array(station).alias("STATION"))).alias("payload"))
+
+
+@query("station_table", STATIONS_SQL)
+def station_table(spark: SparkSession, folder: str) -> DataFrame:
+    return dim.parse_stations(metadata(spark, folder))
+
+
+@query("station_csv", STATIONS_SQL)
+def station_csv(spark: SparkSession, folder: str) -> DataFrame:
+    """The station table by way of a CSV file: written at first, then found."""
+    path = f"{scratch_folder(spark, 'stations')}/stations.csv"
+    dim.ensure_stations(spark, path, metadata(spark, folder))
+    return dim.ensure_stations(spark, path, metadata(spark, folder).where(F.lit(False)))
 
 
 @query(

@@ -7,6 +7,7 @@ from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.times import as_micros, micros, slice_start
 
@@ -29,9 +30,9 @@ def asof_nearest(
     The tolerance is inclusive.  At equal distance ``tie`` says whether the "earlier"
     or the "later" right row wins.  Of right rows at the same time, the last by
     ``seq`` serves left rows at or after it; left rows before it get the
-    ``after_duplicates`` one.  Without ``seq`` one of them is picked by its content,
-    always the same.  All left rows are kept, repeated ones too; a right row may
-    serve many.
+    ``after_duplicates`` one.  Rows without a ``seq`` come before all others.  Among
+    equal ones, or without ``seq``, one is picked by its content, always the same.
+    All left rows are kept, repeated ones too; a right row may serve many.
 
     How it scales: which time matches which depends on the key and the time only, so
     that is settled first, on the distinct (key, time) pairs of both sides; rows that
@@ -59,7 +60,7 @@ def asof_nearest(
     # One right row per (key, time); first and last differ only where times repeat.
     # Picking column by column lets numbers be aggregated by hash.
     values = [c for c in carried if c != right_time]
-    order = F.col(seq) if seq else F.xxhash64(*carried)
+    order = _total_order(right, seq, carried)
     picks = [F.max_by(c, "_order").alias(f"_last_{c}") for c in values]
     if after_duplicates == "first":
         picks += [F.min_by(c, "_order").alias(f"_first_{c}") for c in values]
@@ -101,11 +102,13 @@ def nearest_times(
 
     Timelines are cut into slices and sorted per (key, slice), never per key.  An offer
     stands in every slice it can serve: its own, and a neighbour where it lies within
-    the tolerance of the border.  A slice holds at most its width (plus, for offers,
+    the tolerance of the border; slices are never narrower than the tolerance, so three
+    at most.  A slice holds at most its width (plus, for offers,
     the tolerance on both sides) divided by the clock's resolution, 86,400 rows for a
     day of seconds; choose narrower slices for finer clocks.
     """
-    tol, width = as_micros(tolerance), as_micros(slice_width)
+    tol = as_micros(tolerance)
+    width = max(as_micros(slice_width), tol)
     time = F.col("_t")
     serves = F.sequence(slice_start(time - tol, width), slice_start(time + tol, width), F.lit(width))
     timeline = wanted.select(
@@ -132,6 +135,23 @@ def nearest_times(
     )
 
 
+def _total_order(df: DataFrame, seq: str | None, columns: Sequence[str]) -> Column:
+    """Never null: by ``seq``, rows without one first, then by a hash of the content.
+
+    Whole numbers become one decimal, 60 bits of the hash below the number, which keeps
+    aggregates by hash; other types are ordered as a struct.
+    """
+    content = F.xxhash64(*columns)
+    if seq is None:
+        return content
+    kind = df.schema[seq].dataType
+    if not isinstance(kind, T.IntegralType):
+        return F.struct(F.col(seq).isNotNull(), F.col(seq), content)
+    wide, lowest = "decimal(38,0)", F.lit(str(-(2**63) - 1)).cast("decimal(20,0)")
+    number = F.coalesce(F.col(seq).cast("decimal(20,0)"), lowest) * F.lit(2**60).cast("decimal(19,0)")
+    return (number.cast(wide) + F.shiftrightunsigned(content, 4).cast(wide)).cast(wide)
+
+
 def _distinct_times(df: DataFrame, by: list[str], time: str) -> DataFrame:
     return df.dropna(subset=[*by, time]).select(*by, micros(F.col(time)).alias("_t")).distinct()
 

@@ -40,10 +40,14 @@ def append_by_key(
 def rows_not_in(new: DataFrame, existing: DataFrame, keys: Sequence[str] | None = None) -> DataFrame:
     """Distinct new rows that the existing rows do not hold (by ``keys`` or whole).
 
-    Missing equals missing.  Pass ``new`` already reduced to one row per key.
+    Missing equals missing.  Whole rows are compared on the columns of both frames, of
+    which one may lack some; the result has the columns of both.  Pass ``new`` already
+    reduced to one row per key.
     """
     if keys is None:
-        return new.distinct().subtract(existing.select(*new.columns))
+        nothing = existing.where(F.lit(False)).unionByName(new.where(F.lit(False)), allowMissingColumns=True)
+        alike = [nothing.unionByName(df, allowMissingColumns=True) for df in (new, existing)]
+        return alike[0].distinct().subtract(alike[1])
     held = existing.select(*[F.col(k).alias(f"_held_{k}") for k in keys]).distinct()
     same = [F.col(k).eqNullSafe(F.col(f"_held_{k}")) for k in keys]
     return new.join(held, same, "left_anti")

@@ -47,29 +47,32 @@ def expected_files(
     )
 
 
-def _held(listing: DataFrame, index_suffix: str) -> DataFrame:
-    """URLs whose file, or whose index, is listed, each once."""
-    path = F.col("path")
-    if index_suffix:
-        listing = listing.where(path.endswith(index_suffix))
-        path = F.expr(f"left(path, length(path) - {len(index_suffix)})")
-    return listing.select(path.alias("url")).distinct()
+def probe_path(url: Column, index_suffix: str | None = None) -> Column:
+    """What must be listed for a file to count as there: its index, or the file itself
+    for analyses (``.grb2``), which have none.  ``index_suffix`` sets one suffix for all."""
+    if index_suffix is not None:
+        return F.concat(url, F.lit(index_suffix))
+    return F.when(url.endswith(".grb2"), url).otherwise(F.concat(url, F.lit(".idx")))
 
 
-def available_files(expected: DataFrame, listing: DataFrame, index_suffix: str = ".idx") -> DataFrame:
-    return expected.join(_held(listing, index_suffix), "url", "left_semi")
+def _same_path(listing: DataFrame, index_suffix: str | None) -> tuple[DataFrame, Column]:
+    """Listed paths, each once, and when an expected file is among them."""
+    return listing.select(F.col("path").alias("_listed")).distinct(), probe_path(F.col("url"), index_suffix) == F.col("_listed")
 
 
-def missing_files(expected: DataFrame, listing: DataFrame, index_suffix: str = ".idx") -> DataFrame:
-    return expected.join(_held(listing, index_suffix), "url", "left_anti")
+def available_files(expected: DataFrame, listing: DataFrame, index_suffix: str | None = None) -> DataFrame:
+    return expected.join(*_same_path(listing, index_suffix), "left_semi")
 
 
-def availability(expected: DataFrame, listing: DataFrame, by: Sequence[str] = (), index_suffix: str = ".idx") -> DataFrame:
+def missing_files(expected: DataFrame, listing: DataFrame, index_suffix: str | None = None) -> DataFrame:
+    return expected.join(*_same_path(listing, index_suffix), "left_anti")
+
+
+def availability(expected: DataFrame, listing: DataFrame, by: Sequence[str] = (), index_suffix: str | None = None) -> DataFrame:
     """Numbers of files found and missing."""
-    held = _held(listing, index_suffix).withColumn("_held", F.lit(True))
-    found = F.coalesce(F.col("_held"), F.lit(False))
+    found = F.col("_listed").isNotNull()
     return (
-        expected.join(held, "url", "left")
+        expected.join(*_same_path(listing, index_suffix), "left")
         .groupBy(*by)
         .agg(
             F.count(F.when(found, 1)).alias("found"),
@@ -78,6 +81,25 @@ def availability(expected: DataFrame, listing: DataFrame, by: Sequence[str] = ()
     )
 
 
+def _searched_days(start: datetime, end: datetime) -> tuple[datetime, datetime]:
+    """First and last day whose folders are searched for runs that cover a window."""
+    first = start - timedelta(days=3)
+    return first, first + timedelta(days=(end - first).days)
+
+
+def ndfd_glob(root: str, element: str, start: datetime, end: datetime) -> str:
+    """Path matching an element's files in the folders of the searched days, and no other folder."""
+    first, last = _searched_days(start, end)
+    days = [first + timedelta(days=i) for i in range((last - first).days + 1)]
+    wanted = [
+        f"{component}/{day:%Y/%m/%d}/{prefix}_*"
+        for component, many in rules.NDFD_PREFIXES[element].items()
+        for prefix in many
+        for day in days
+    ]
+    return f"{root.rstrip('/')}/{{{','.join(wanted)}}}"
+
+
 def ndfd_files(listing: DataFrame, element: str, start: datetime, end: datetime) -> DataFrame:
     """Listed database files of an element: path, component, stamp.
 
@@ -85,8 +107,7 @@ def ndfd_files(listing: DataFrame, element: str, start: datetime, end: datetime)
     for the element's file prefixes.  Only runs stamped 11Z or 23Z count, and names
     without a proper stamp are passed over.
     """
-    first = start - timedelta(days=3)
-    last = first + timedelta(days=(end - first).days)
+    first, last = _searched_days(start, end)
     prefixes = [
         (component, prefix) for component, many in rules.NDFD_PREFIXES[element].items() for prefix in many
     ]

@@ -106,14 +106,15 @@ def select_messages(
 ) -> DataFrame:
     """Lines and byte ranges of the wanted messages.
 
-    A line is wanted if it contains any ``search`` string and all ``require`` ones,
-    none of ``exclude``, the ``label`` (anywhere in the line), a match of ``pattern``
+    A line is wanted if it contains any ``search`` string (an empty list takes every
+    line) and all ``require`` ones, none of ``exclude``, the ``label`` (anywhere in the line), a match of ``pattern``
     and one of ``percentiles`` in its last field.  ``all_found`` drops files that lack
     one of the search strings.  Lines that share a byte range count once, the last.
     """
     files = complete_files(inventories, search, exclude=exclude, require=require) if all_found else inventories
     line = F.col("line")
-    wanted = contains_any(line, search) & ~contains_any(line, exclude) & contains_all(line, require)
+    found = contains_any(line, search) if search else F.lit(True)
+    wanted = found & ~contains_any(line, exclude) & contains_all(line, require)
     if label is not None:
         wanted = wanted & F.contains(line, label)
     if pattern is not None:

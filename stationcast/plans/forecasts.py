@@ -95,14 +95,20 @@ def pair_files(speed: DataFrame, direction: DataFrame, tolerance: timedelta = ti
 def ndfd_forecast(
     values: DataFrame, station_cells: DataFrame, element: str, pairs: DataFrame | None = None
 ) -> DataFrame:
-    """Archive rows of the gridded forecast database.
+    """Archive rows of the gridded forecast database: station_id, valid_time,
+    forecast_hour and the element's columns.
 
     Wind takes its direction from the paired file (``pairs`` from ``pair_files``),
-    step by step; speed rows without a paired file keep a null direction.
+    step by step; speed rows without a paired file keep a null direction.  Both series
+    come from one pass over the fields: the stations' values are written to shared
+    scratch while the plan is built.
     """
     rules.validate("ndfd", element)
     primary, *secondary = rules.COLUMNS["ndfd", element]
-    points = extract_points(values, station_cells)
+    wanted = values.where(F.col("var").isin([r.variable for r in (primary, *secondary)]))
+    points = extract_points(wanted, station_cells)
+    if secondary:
+        points = written(points, "points")
     keys = ["station_id", "step_idx"]
 
     def series(rule: rules.ColumnRule) -> DataFrame:
@@ -118,4 +124,4 @@ def ndfd_forecast(
             rows.join(pairs, "file", "left"), beside, ["direction_file", *keys], rule.column, "direction_file"
         )
     columns = [r.column for r in (primary, *secondary)]
-    return with_init_time(rows).select(*RUN_KEYS, *columns)
+    return rows.select("station_id", "valid_time", "forecast_hour", *columns)

@@ -58,15 +58,17 @@ def read_archive(
     filters: Sequence[tuple[str, str, object]] | None = None,
     times: Sequence[str] = (),
     schema: T.StructType | None = None,
+    base: str | None = None,
 ) -> DataFrame:
     """Several Parquet files or a partitioned table as one lazy frame.
 
-    Filters and projection reach the scan.  No paths, or none that exist, give an
-    empty frame with ``schema`` (required for that case).
+    Files may differ in their columns: the frame has those of all files, null where a
+    file lacks one.  Filters and projection reach the scan.  No paths, or none that
+    exist, give an empty frame with ``schema`` (required for that case).
     """
     configure(spark)
     paths = [paths] if isinstance(paths, str) else list(paths)
-    df = _read_if_any(spark, paths)
+    df = _read_if_any(spark, paths, base)
     if df is None:
         if schema is None:
             raise FileNotFoundError(f"no archive at {paths} and no schema given")
@@ -108,17 +110,29 @@ def in_months(df: DataFrame, months: Sequence[tuple[int, int]]) -> DataFrame:
 
 def read_between(spark: SparkSession, path: str, first: date, last: date, **read_options) -> DataFrame:
     """The months of a partitioned archive that hold the days ``first`` to ``last``;
-    other folders are not read."""
-    columns = read_options.pop("columns", None)
-    months = in_months(read_archive(spark, path, **read_options), months_between(first, last))
-    return project(months.drop("year", "month"), columns)
+    other folders are neither listed nor read."""
+    months = month_folders(path, months_between(first, last))
+    return read_archive(spark, months, base=path, **read_options).drop("year", "month")
 
 
-def _read_if_any(spark: SparkSession, paths: Sequence[str]) -> DataFrame | None:
+def month_folders(path: str, months: Sequence[tuple[int | None, int | None]]) -> str:
+    """Path matching the folders of these months that exist in a partitioned archive.
+    Rows without a time are in the month (None, None)."""
+
+    def name(value: int | None) -> str:
+        return "__HIVE_DEFAULT_PARTITION__" if value is None else str(value)
+
+    wanted = ",".join(f"year={name(y)}/month={name(m)}" for y, m in months)
+    return f"{path.rstrip('/')}/{{{wanted}}}"
+
+
+def _read_if_any(spark: SparkSession, paths: Sequence[str], base: str | None = None) -> DataFrame | None:
+    """The files' rows with the columns of all of them, or None if there are no files."""
     if not paths:
         return None
+    reader = spark.read.option("mergeSchema", "true")
     try:
-        return spark.read.parquet(*paths)
+        return (reader.option("basePath", base) if base else reader).parquet(*paths)
     except AnalysisException as error:
         if error.getCondition() in _NO_FILES:
             return None
@@ -156,24 +170,37 @@ def append_archive(
     Whole rows are compared, or ``keys``, where the archived row wins and among new
     rows the first by ``order``.  Running the same batch again adds nothing, so a
     failed run is simply repeated.  The batch is computed once and written to shared
-    scratch; of the archive only the months the batch touches are read, and nothing in
-    it is rewritten.  One writer per archive at a time.
+    scratch; of the archive only the folders of its months are listed and read, and
+    nothing in it is rewritten.  A column that only one side has is null on the other.
+    One writer per archive at a time.
     """
     spark = configure(df.sparkSession)
     batch = first_per_key(df, keys, order) if keys else df.distinct()
-    held = _read_if_any(spark, [path])
-    if held is None:
-        write_partitioned(batch, path, time=time)
-        return
-
     batch = written(with_month(batch, time), "append")
-    # Columns only one side has are null on the other.
-    lacking = [f for f in held.schema if f.name not in batch.columns]
-    batch = batch.withColumns({f.name: F.lit(None).cast(f.dataType) for f in lacking})
-    held = spark.read.schema(batch.schema).parquet(path)
-    months = batch.select("year", "month").distinct().collect()
-    fresh = rows_not_in(batch, in_months(held, [(r.year, r.month) for r in months]), keys)
-    write_partitioned(fresh.drop("year", "month"), path, time=time)
+    months = [(r.year, r.month) for r in batch.select("year", "month").distinct().collect()]
+    held = _held_months(spark, path, months)
+    fresh = batch if held is None else rows_not_in(batch, held, keys)
+    write_partitioned(fresh.select(df.columns), path, time=time)
+
+
+def compact_months(spark: SparkSession, path: str, months: Sequence[tuple[int | None, int | None]]) -> None:
+    """Rewrite these months of an archive in as few files as their size asks for.
+
+    The rows are first written to shared scratch; then the months' folders, and no
+    others, are replaced.  Months without a folder stay without one.  One writer per
+    archive at a time.
+    """
+    held = _held_months(configure(spark), path, months)
+    if held is not None:
+        placed = written(held, "compact").hint("rebalance", F.col("year"), F.col("month"))
+        overwrite = placed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        overwrite.partitionBy("year", "month").parquet(path)
+
+
+def _held_months(spark: SparkSession, path: str, months: Sequence[tuple[int | None, int | None]]) -> DataFrame | None:
+    held = _read_if_any(spark, [month_folders(path, months)], path) if months else None
+    # Folder names alone don't say the type where all are of rows without a time.
+    return None if held is None else held.withColumns({c: F.col(c).cast("int") for c in ("year", "month")})
 
 
 # -- looking -------------------------------------------------------------------

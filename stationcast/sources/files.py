@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.manifest import ndfd_files, ndfd_glob
 from ..operators.messages import split_lines
 
 
@@ -26,3 +30,18 @@ def list_files(spark: SparkSession, root: str, glob: str = "*") -> DataFrame:
         .load(root)
         .select("path", "length", F.col("modificationTime").alias("modified"))
     )
+
+
+def list_ndfd(spark: SparkSession, root: str, element: str, start: datetime, end: datetime) -> DataFrame:
+    """Database files of an element for a window: path, component, stamp.
+
+    Only the folders of the days that count are listed.
+    """
+    found = spark.read.format("binaryFile")
+    try:
+        listing = found.load(ndfd_glob(root, element, start, end)).select("path")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        listing = spark.createDataFrame([], "path string")
+    return ndfd_files(listing, element, start, end)

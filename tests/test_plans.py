@@ -250,6 +250,14 @@ def test_expected_files_are_checked_against_a_listing(spark):
     assert manifest.availability(expected, listing).first()[:] == (4, 10)
 
 
+def test_analyses_are_probed_themselves(spark):
+    windows = spark.createDataFrame([(DAY, hour(6))], "start timestamp, end timestamp")
+    expected = manifest.expected_files(windows, "urma", "Wind", "https://x")
+    listing = expected.where("hour(init_time) = 3").select(F.col("url").alias("path"))
+    assert manifest.available_files(expected, listing).count() == 1
+    assert manifest.availability(expected, listing).first()[:] == (1, expected.count() - 1)
+
+
 def test_database_listing(spark):
     def listed(folder, component, prefix, stamp):
         return (f"s3://b/{component}/{folder}/{prefix}_KWBN_{stamp}",)

@@ -1,7 +1,7 @@
 """Readers and the archive sink, on small files."""
 
 import json
-from datetime import datetime, timedelta
+from datetime import date, datetime, timedelta
 
 import pandas as pd
 import pyarrow as pa
@@ -204,6 +204,34 @@ def test_appending_other_columns(spark, tmp_path):
     assert sorted((r.v or 0, r.gust or 0) for r in both.collect()) == [(0, 7.0), (1.0, 0)]
 
 
+@pytest.mark.parametrize("fewer_first", [True, False])
+def test_archive_keeps_columns_and_rows_that_differ_by_month(spark, tmp_path, fewer_first):
+    path = str(tmp_path / "a")
+    january = rows(spark, ("A", datetime(2025, 1, 5), 1.0))
+    wide = "stid string, valid_time timestamp, v double, gust double"
+    february = spark.createDataFrame([("A", datetime(2025, 2, 5), 2.0, 9.0)], wide)
+    for batch in (january, february) if fewer_first else (february, january):
+        archive.append_archive(batch, path)
+    archive.append_archive(rows(spark, ("A", datetime(2025, 2, 5), 2.0)), path)
+    held = archive.read_archive(spark, path)
+    assert sorted((r.v, r.gust or 0) for r in held.collect()) == [(1.0, 0), (2.0, 0), (2.0, 9.0)]
+    between = archive.read_between(spark, path, date(2025, 2, 1), date(2025, 2, 28), columns=["stid", "gust"])
+    assert between.columns == ["stid", "gust"] and between.count() == 2
+
+
+def test_compaction_keeps_rows_and_lowers_files(spark, tmp_path):
+    path = str(tmp_path / "a")
+    for value in (1.0, 2.0, 3.0):
+        archive.append_archive(rows(spark, ("A", DAY, value), ("B", None, value)), path)
+    before = sorted(map(str, archive.read_archive(spark, path).collect()))
+    many = len(archive.read_archive(spark, path).inputFiles())
+    archive.compact_months(spark, path, [(DAY.year, DAY.month), (1999, 1)])
+    assert sorted(map(str, archive.read_archive(spark, path).collect())) == before
+    assert len(archive.read_archive(spark, path).inputFiles()) == many - 2
+    archive.compact_months(spark, path, [(None, None)])
+    assert sorted(map(str, archive.read_archive(spark, path).collect())) == before
+
+
 def test_missing_equals_missing_when_appending(spark):
     old = spark.createDataFrame([("A", None, 1), (None, "x", 2)], "a string, b string, n int")
     new = spark.createDataFrame([("A", None, 1), (None, "x", 5)], "a string, b string, n int")
@@ -270,3 +298,21 @@ def test_lines_that_share_a_range_count_once(spark):
 def test_lines_without_bytes_do_not_break_the_file(spark):
     df = spark.createDataFrame([("f", ["1:0:a", "", "x:y:a"])], "file string, lines array<string>")
     assert [r.range_start for r in byte_ranges(df).orderBy("line_no").collect()] == [0, None, None]
+
+
+def test_only_dated_folders_are_listed(spark, tmp_path):
+    names = ["wspd/2025/01/02/YCRZ98_KWBN_202501021147", "wdir/2025/01/03/YBRZ97_KWBN_202501032347",
+             "wspd/2025/01/01/YCRZ98_KWBN_202501011147", "wspd/2025/01/02/YSRZ98_KWBN_202501021147"]
+    for name in names:
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_text("x")
+    window = datetime(2025, 1, 5), datetime(2025, 1, 6)
+    found = files.list_ndfd(spark, str(tmp_path), "Wind", *window)
+    assert sorted((r.component, r.stamp.day) for r in found.collect()) == [("wdir", 3), ("wspd", 2)]
+    assert files.list_ndfd(spark, str(tmp_path), "maxt", *window).count() == 0
+
+
+def test_all_messages_of_an_analysis_are_taken(spark):
+    lines = ["1:0:d=2025010100:UGRD:10 m above ground:anl:", "2:100:d=2025010100:TMP:2 m above ground:anl:"]
+    inventory = spark.createDataFrame([("akurma.t00z.2dvaranl_ndfd_3p0.grb2", lines)], "file string, lines array<string>")
+    assert sorted(r.byte_range for r in select_element(inventory, "urma", "Wind").collect()) == ["0-99", "100-"]
