@@ -9,8 +9,9 @@ earlier goes by doc_id, then line number.  All steps are DataFrame operations:
    one and leave; this moves a few 31-bit values per line.
 3. The tokens of the rest are ordered by rarity.  Similar lines share one among their first
    tokens (prefix filter), are of similar size (length filter), and have enough tokens
-   after it (positional filter).  Each line is compared with the first line of each of its
-   tokens, then, if that didn't settle it, with all earlier ones that share a token.
+   after it (positional filter).  Each line is compared with the earliest of the first lines
+   of its tokens, then, while that doesn't settle it, with the other first lines, then
+   with all earlier ones that share a token.
 4. Overlaps are counted, and later lines removed.
 """
 
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 from stationcast.session import written
 
 from .base import table
-from .ngram_join import near, ranked_sets, verified
+from .ngram_join import first_grams, near, ordered_sets
 
 WORDS = 5
 PERCENT = 80
@@ -74,6 +75,16 @@ def tokens(words: str) -> Column:
     return F.array_distinct(F.transform(places, lambda i: F.xxhash64(*[F.get(words, i + k) for k in range(WORDS)])))
 
 
+def similar(pairs: DataFrame, held: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of lines whose tokens have the Jaccard similarity; a line's tokens are one short row."""
+    tokens_of = F.transform("held", lambda x: x["gram"])
+    left = held.select(F.col("sig").alias("a"), F.col("size").alias("m"), tokens_of.alias("ours"))
+    right = held.select(F.col("sig").alias("b"), F.col("size").alias("n"), tokens_of.alias("theirs"))
+    both = pairs.select("a", "b").join(left, "a").join(right, "b")
+    both = both.select("a", "b", "m", "n", F.size(F.array_intersect("ours", "theirs")).alias("k"))
+    return both.where(100 * F.col("k") >= percent * (F.col("m") + F.col("n") - F.col("k"))).select("a", "b")
+
+
 def late_classes(documents: DataFrame, firsts: DataFrame, percent: int) -> DataFrame:
     """Classes (class) whose first line has a similar earlier line."""
     may_differ = F.col("size") - F.ceil(F.col("size") * percent / 100)
@@ -88,18 +99,23 @@ def late_classes(documents: DataFrame, firsts: DataFrame, percent: int) -> DataF
     wanted = wanted.join(kept.withColumnRenamed("doc_id", "doc"), ["class", "mark", "line"]).where(F.col("doc_id").eqNullSafe(F.col("doc")))
     wanted = wanted.dropDuplicates(["class"])  # of repeated rows
     grams = wanted.select(F.col("class").alias("sig"), "size", F.explode(tokens("words")).alias("gram"))
-    frags, heads = ranked_sets(grams, percent)
+    held = ordered_sets(grams, percent)
 
     at = kept.select(F.col("class").alias("sig"), F.struct("doc_id", "line", "mark").alias("first"))
-    heads = written(heads.join(at, "sig"), "heads")
+    heads = written(first_grams(held, percent).join(at, "sig"), "heads")
     least = heads.groupBy("gram").agg(F.min(F.struct("first", "sig", "size", "at")).alias("y"), F.count("*").alias("n")).where("n > 1")
     stars = heads.alias("x").join(least.select("gram", "y.*").alias("y"), "gram").where("x.sig <> y.sig").where(near(percent))
-    stars = written(stars.select(F.col("x.sig").alias("a"), F.col("y.sig").alias("b")).distinct(), "stars")
-    late = written(verified(stars, frags, percent).select(F.col("a").alias("sig")).distinct(), "late")
+    stars = stars.groupBy(F.col("x.sig").alias("a"), F.col("y.sig").alias("b")).agg(F.min("y.first").alias("first"))
+    stars = written(stars, "stars")
+    best = stars.groupBy("a").agg(F.min(F.struct("first", "b")).alias("y")).select("a", "y.b")
+    settled = written(similar(best, held, percent).select("a").distinct(), "settled")
+    other = stars.join(settled, "a", "left_anti").join(best, ["a", "b"], "left_anti")
+    late = settled.union(similar(other, held, percent).select("a").distinct()).withColumnRenamed("a", "sig")
+    late = written(late, "late")
     rest = heads.join(late, "sig", "left_anti").alias("x")
     pairs = rest.join(heads.alias("y"), "gram").where("y.first < x.first and x.sig <> y.sig").where(near(percent))
-    pairs = pairs.select(F.col("x.sig").alias("a"), F.col("y.sig").alias("b")).distinct().join(stars, ["a", "b"], "left_anti")
-    more = verified(pairs, frags, percent).select(F.col("a").alias("sig"))
+    pairs = pairs.select(F.col("x.sig").alias("a"), F.col("y.sig").alias("b")).distinct().join(stars.select("a", "b"), ["a", "b"], "left_anti")
+    more = similar(pairs, held, percent).select(F.col("a").alias("sig"))
     return late.union(more).distinct().withColumnRenamed("sig", "class")
 
 

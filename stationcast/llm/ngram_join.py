@@ -130,23 +130,34 @@ def possible(sets: DataFrame, percent: int) -> DataFrame:
     return sets.where("sig is not null").join(some, "sig", "left_semi").groupBy("sig").agg(F.min("doc_id").alias("rep"))
 
 
-def ranked_sets(grams: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
-    """Shared n-grams in global order as fragments (sig, size, frag, grams), and first ones (gram, sig, size, at)."""
+def ordered_sets(grams: DataFrame, percent: int) -> DataFrame:
+    """Sets that share enough n-grams with others: (sig, size, held), the shared ones in global order."""
     grams = grams.repartition("gram")
     shared = grams.groupBy("gram").agg(F.count("*").alias("df")).where("df > 1")
     rank = F.struct(F.least(F.floor(F.log2("df")).cast("int"), F.lit(CLASSES)).alias("rank"), "gram")
     held = grams.join(shared, "gram").groupBy("sig", "size").agg(F.sort_array(F.collect_set(rank)).alias("held"))
     held = held.where(100 * F.size("held") >= percent * F.col("size"))
-    held = written(held, "ranked")
+    return written(held, "ranked")
+
+
+def first_grams(held: DataFrame, percent: int) -> DataFrame:
+    """The sets' first n-grams (gram, sig, size, at), one of which any two that link share."""
+    # Of the whole set's first n-grams, those of this set alone come before all others.
+    alone = F.col("size") - F.size("held")
+    first = (F.col("size") - F.ceil(F.col("size") * percent / 100) + 1 - alone).cast("int")
+    heads = held.where(first > 0).select("sig", "size", alone.alias("alone"), F.posexplode(F.slice("held", 1, first)).alias("at", "x"))
+    return heads.select(F.col("x.gram").alias("gram"), "sig", "size", (F.col("at") + F.col("alone")).alias("at"))
+
+
+def ranked_sets(grams: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Shared n-grams in global order as fragments (sig, size, frag, grams), and first ones (gram, sig, size, at)."""
+    held = ordered_sets(grams, percent)
     # Fragments are ranges of the order: each class, halved by hash.
     part = lambda x: x["rank"] * 2 + (x["gram"] >= 0).cast("int")
     own = F.filter("held", lambda x: part(x) == F.col("frag"))
     frags = held.withColumn("frag", F.explode(F.array_distinct(F.transform("held", part))))
     frags = frags.select("sig", "size", "frag", F.transform(own, lambda x: x["gram"]).alias("grams"))
-    # Of the whole set's first n-grams, those of this set alone come before all others.
-    first = (F.col("size") - F.ceil(F.col("size") * percent / 100) + 1 - (F.col("size") - F.size("held"))).cast("int")
-    heads = held.where(first > 0).select("sig", "size", (F.col("size") - F.size("held")).alias("alone"), F.posexplode(F.slice("held", 1, first)).alias("at", "x"))
-    return frags, heads.select(F.col("x.gram").alias("gram"), "sig", "size", (F.col("at") + F.col("alone")).alias("at"))
+    return frags, first_grams(held, percent)
 
 
 def near(percent: int) -> F.Column:
