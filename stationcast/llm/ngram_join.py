@@ -9,8 +9,9 @@ at least ``percent`` * union.  Every step is exact:
    alone come first and can't be shared, so only the others are kept.
 3. Sets that link must share an n-gram among their first ones (prefix filter) and be of
    similar size (length filter); positions bound the overlap (positional filter).  First,
-   every set is compared with the least set of each of its first n-grams; then, only sets of
-   different classes that share one are, so large groups of near copies form no pairs within.
+   every set is compared with one set for each of its first n-grams: the one with the fewest
+   n-grams of its own, which is the text that near copies were made from if it is there.  Then,
+   only sets of different classes that share an n-gram are, so near copies form no pairs within.
 4. The order is cut into fragments.  Overlaps of candidate pairs are counted in each fragment
    apart and summed per pair.
 """
@@ -141,16 +142,19 @@ def ordered_sets(grams: DataFrame, percent: int) -> DataFrame:
 
 
 def first_grams(held: DataFrame, percent: int) -> DataFrame:
-    """The sets' first n-grams (gram, sig, size, at), one of which any two that link share."""
+    """The sets' first n-grams (gram, sig, size, at), one of which any two that link share.
+
+    ``alone`` tells how many of a set's n-grams no other set has.
+    """
     # Of the whole set's first n-grams, those of this set alone come before all others.
     alone = F.col("size") - F.size("held")
     first = (F.col("size") - F.ceil(F.col("size") * percent / 100) + 1 - alone).cast("int")
     heads = held.where(first > 0).select("sig", "size", alone.alias("alone"), F.posexplode(F.slice("held", 1, first)).alias("at", "x"))
-    return heads.select(F.col("x.gram").alias("gram"), "sig", "size", (F.col("at") + F.col("alone")).alias("at"))
+    return heads.select(F.col("x.gram").alias("gram"), "sig", "size", (F.col("at") + F.col("alone")).alias("at"), "alone")
 
 
 def ranked_sets(grams: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
-    """Shared n-grams in global order as fragments (sig, size, frag, grams), and first ones (gram, sig, size, at)."""
+    """Shared n-grams in global order as fragments (sig, size, frag, grams), and first ones (see first_grams)."""
     held = ordered_sets(grams, percent)
     # Fragments are ranges of the order: each class, halved by hash.
     part = lambda x: x["rank"] * 2 + (x["gram"] >= 0).cast("int")
@@ -180,9 +184,10 @@ def verified(pairs: DataFrame, frags: DataFrame, percent: int) -> DataFrame:
 def linked_classes(frags: DataFrame, heads: DataFrame, percent: int) -> DataFrame:
     """Classes (node, root) of all links, found from as many links as give the same classes."""
     heads = written(heads, "heads")
-    least = heads.groupBy("gram").agg(F.min_by(F.struct("sig", "size", "at"), "sig").alias("y"), F.count("*").alias("df")).where("df > 1")
-    stars = heads.alias("x").join(least.select("gram", "y.*").alias("y"), "gram").where(F.col("x.sig") > F.col("y.sig")).where(near(percent))
-    stars = written(stars.select(F.col("x.sig").alias("a"), F.col("y.sig").alias("b")).distinct(), "stars")
+    center = heads.groupBy("gram").agg(F.min(F.struct("alone", "sig", "size", "at")).alias("y"), F.count("*").alias("df")).where("df > 1")
+    stars = heads.alias("x").join(center.select("gram", "y.*").alias("y"), "gram").where("x.sig <> y.sig").where(near(percent))
+    stars = stars.select(F.greatest("x.sig", "y.sig").alias("a"), F.least("x.sig", "y.sig").alias("b")).distinct()
+    stars = written(stars, "stars")
     linked = written(verified(stars, frags, percent), "links")
     of = classes(linked)
     heads = heads.join(of.withColumnRenamed("node", "sig"), "sig", "left").withColumn("root", F.coalesce("root", "sig"))
