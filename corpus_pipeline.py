@@ -13,7 +13,7 @@ from stationcast.llm.base import findable, table
 from stationcast.llm.decontamination import clean
 from stationcast.llm.language import fit, held_out, identify
 from stationcast.llm.line_dedup import without_lines
-from stationcast.llm.ngram_join import jaccard_components
+from stationcast.llm.ngram_join import later_copies
 from stationcast.llm.packing import packed
 from stationcast.session import written
 
@@ -32,14 +32,16 @@ def distinct_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the least doc_id of each group of near copies, by word 5-grams at 80 hundredths.
+    """Keeps the first row of each group of near copies, by word 5-grams at 80 hundredths.
 
-    Repeated rows of that doc_id are one document.
+    Rows are decided one by one, by doc_id (nulls last) and hash of the text: different texts
+    under one doc_id, or under none, are documents of their own.  Only rows equal in both are one.
     """
     findable(spark)
-    found = jaccard_components(docs, n=5, percent=80)
-    first = found.where("not doc_id <=> component_id").select("doc_id").distinct()
-    return docs.join(first, docs["doc_id"].eqNullSafe(first["doc_id"]), "left_anti").dropDuplicates(["doc_id"])
+    gone = later_copies(docs, n=5, percent=80).withColumnsRenamed({"doc_id": "_doc", "mark": "_gone"})
+    rows = docs.withColumn("_mark", F.xxhash64("text"))
+    kept = rows.join(gone, rows["doc_id"].eqNullSafe(gone["_doc"]) & (rows["_mark"] == gone["_gone"]), "left_anti")
+    return kept.dropDuplicates(["doc_id", "_mark"]).drop("_mark")
 
 
 def no_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -59,11 +59,17 @@ def ahead(size: int, percent: int) -> tuple[int, int]:
     return min(size, may_differ + need), min(size, may_differ + need) - may_differ
 
 
+def row_name(columns: list[str]) -> F.Column:
+    """What rows are known by: the doc_id or, if there is a column ``mark``, both, null doc_ids last."""
+    return F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "mark") if "mark" in columns else F.col("doc_id")
+
+
 def set_table(documents: DataFrame, n: int, percent: int) -> DataFrame:
-    """Columns doc_id, size, sig (of the set; null if empty) and least (its least hashes).
+    """Columns of documents but text, size, sig (of the set; null if empty) and least (its least hashes).
 
     ``least`` is null where a batch has had the same set before.
     """
+    keys = [c for c in documents.columns if c != "text"]
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -76,23 +82,24 @@ def set_table(documents: DataFrame, n: int, percent: int) -> DataFrame:
                 least.append(None if sig is None or sig in seen else grams[: ahead(len(grams), percent)[0]].astype(np.int64))
                 seen.add(sig)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(sigs, pa.int64()), pa.array(least, pa.list_(pa.int64()))],
-                names=["doc_id", "size", "sig", "least"],
+                [*(batch.column(k) for k in keys), pa.array(sizes, pa.int64()), pa.array(sigs, pa.int64()), pa.array(least, pa.list_(pa.int64()))],
+                names=[*keys, "size", "sig", "least"],
             )
             if len(seen) > 500_000:
                 seen.clear()
 
-    return documents.mapInArrow(measure, "doc_id long, size long, sig long, least array<long>")
+    return documents.mapInArrow(measure, ", ".join(f"{k} long" for k in keys) + ", size long, sig long, least array<long>")
 
 
 def gram_rows(documents: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
     """(sig, size, gram) for the sets that are wanted; texts move compressed."""
+    keys = [c for c in documents.columns if c != "text"]
 
     def shrink(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         press = zstandard.ZstdCompressor(level=3)
         for batch in batches:
             texts = [press.compress(t.encode()) if (t := x.as_py()) else b"" for x in batch.column("text")]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(texts, pa.binary())], names=["doc_id", "text"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in keys), pa.array(texts, pa.binary())], names=[*keys, "text"])
 
     def grow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         press = zstandard.ZstdDecompressor()
@@ -113,13 +120,13 @@ def gram_rows(documents: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
                         names=["sig", "size", "gram"],
                     )
 
-    small = documents.where("text is not null").mapInArrow(shrink, "doc_id long, text binary")
-    found = small.join(wanted, small["doc_id"].eqNullSafe(wanted["rep"]))
+    small = documents.where("text is not null").mapInArrow(shrink, ", ".join(f"{k} long" for k in keys) + ", text binary")
+    found = small.join(wanted, row_name(keys).eqNullSafe(wanted["rep"]))
     return found.select("sig", "text").mapInArrow(grow, "sig long, size long, gram long")
 
 
 def possible(sets: DataFrame, percent: int) -> DataFrame:
-    """Distinct sets that may link with another: (sig, rep) with the least doc_id of each."""
+    """Distinct sets that may link with another: (sig, rep) with the least row of each."""
     may_differ = F.col("size") - F.ceil(F.col("size") * percent / 100)
     smallest = F.ceil(F.col("size") * percent / 100)  # partner, which looks less far ahead
     need = F.floor(smallest * AHEAD / 100) + 1
@@ -128,7 +135,7 @@ def possible(sets: DataFrame, percent: int) -> DataFrame:
     shared = grams.groupBy("gram").agg(F.min("sig").alias("lo"), F.max("sig").alias("hi")).where("lo <> hi").select("gram")
     some = grams.join(shared, "gram", "left_semi").groupBy("doc_id", "sig").agg(F.count("*").alias("n"), F.min("need").alias("need"))
     some = some.where("n >= need").select("sig").distinct()
-    return sets.where("sig is not null").join(some, "sig", "left_semi").groupBy("sig").agg(F.min("doc_id").alias("rep"))
+    return sets.where("sig is not null").join(some, "sig", "left_semi").groupBy("sig").agg(F.min(row_name(sets.columns)).alias("rep"))
 
 
 def ordered_sets(grams: DataFrame, percent: int) -> DataFrame:
@@ -203,27 +210,42 @@ def linked_classes(frags: DataFrame, heads: DataFrame, percent: int) -> DataFram
     return of if cross.isEmpty() else classes(linked.union(cross))
 
 
-def jaccard_components(documents: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
-    """Per document: doc_id, n_shingles, component_id (least doc_id reachable by links, itself included).
+def first_rows(documents: DataFrame, n: int, percent: int) -> DataFrame:
+    """Per document: its columns but text, size, and first, the least row of its component (see row_name).
 
-    Every row gives a row.  Null, empty and white-space texts have no n-grams and link with
-    nothing; texts of fewer words than n are one n-gram.  Equal sets link.  Rows that share a
-    doc_id are texts of their own.  A null doc_id reaches the least other doc_id of its
-    component, if there is one.  Other columns are ignored.
+    ``first`` is null if the text has no n-grams.
     """
-    documents = documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     sets = written(set_table(documents, n, percent), "sets")
     wanted = written(possible(sets, percent), "possible")
     frags, heads = ranked_sets(gram_rows(documents, wanted, n), percent)
     of = linked_classes(frags, heads, percent)
-    own = sets.where("sig is not null").groupBy("sig").agg(F.min("doc_id").alias("rep"))
+    own = sets.where("sig is not null").groupBy("sig").agg(F.min(row_name(sets.columns)).alias("rep"))
     own = own.join(of.withColumnRenamed("node", "sig"), "sig", "left").withColumn("root", F.coalesce("root", "sig"))
     own = written(own, "roots")
-    least = own.groupBy("root").agg(F.min("rep").alias("component_id"))
-    named = own.join(least, "root").select("sig", "component_id")
-    return sets.join(named, "sig", "left").select(
-        "doc_id", F.col("size").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")
-    )
+    least = own.groupBy("root").agg(F.min("rep").alias("first"))
+    named = own.join(least, "root").select("sig", "first")
+    return sets.join(named, "sig", "left").drop("sig", "least")
+
+
+def jaccard_components(documents: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
+    """Per document: doc_id, n_shingles, component_id (least doc_id reachable by links, itself included).
+
+    Every row gives a row.  Null, empty and white-space texts have no n-grams and link with
+    nothing; texts of fewer words than n are one n-gram.  Equal sets link.  Rows that share a
+    doc_id are texts of their own.  A null doc_id reaches the least other doc_id of its
+    component, if there is one.  Other columns are ignored.
+    """
+    found = first_rows(documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), n, percent)
+    return found.select("doc_id", F.col("size").alias("n_shingles"), F.coalesce("first", "doc_id").alias("component_id"))
+
+
+def later_copies(documents: DataFrame, n: int, percent: int) -> DataFrame:
+    """(doc_id, mark) of the rows whose component has an earlier row; mark is the hash of the text.
+
+    Rows are ordered by doc_id, nulls last, then mark, so rows that share a doc_id are decided apart.
+    """
+    found = first_rows(documents.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("mark"), F.col("text").cast("string")), n, percent)
+    return found.where(F.col("first").isNotNull() & (row_name(found.columns) != F.col("first"))).select("doc_id", "mark").distinct()
 
 
 def op3_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
