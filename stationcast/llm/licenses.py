@@ -1,6 +1,7 @@
 """License scans: license phrases by word, and blocks of text that contain license templates.
 
-Blocks are lines.  A block meets a template if it holds at least a given share of the
+Blocks are lines and, where a paragraph has several of them, overlapping runs of its words across the
+line breaks, so that each passage as long as the longest template stands whole in one.  A block meets a template if it holds at least a given share of the
 template's distinct words (containment).  The join is exact: the templates' words are ordered
 by how many blocks of the corpus have them, rarest first; a block that meets a template has
 one of the template's first words (prefix filter), enough of the templates' words at all
@@ -41,6 +42,8 @@ TEMPLATES = [
 PERCENT = 85
 
 GAP = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+#: Between paragraphs: lines without words.
+BLANK = r"\n" + GAP[:-1] + r"*\n"
 CAPITALS, SMALL = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -52,12 +55,22 @@ def words(text: str | Column) -> Column:
     return F.array_remove(F.split(text, GAP), "")
 
 
-def blocks(documents: DataFrame, vocabulary: list[str]) -> DataFrame:
-    """(doc_id, mark, block, held): lines, and the words of the vocabulary that each has."""
-    lines = documents.where("text is not null").select("doc_id", F.xxhash64("text").alias("mark"), F.posexplode(F.split(lowered("text"), "\n")).alias("block", "s"))
-    held = F.array_intersect(words("s"), F.array(*map(F.lit, vocabulary)))
+def blocks(documents: DataFrame, vocabulary: list[str], longest: int) -> DataFrame:
+    """(doc_id, mark, block, held): lines and runs of words, and the words of the vocabulary that each has.
+
+    Runs are of paragraphs of several lines: twice ``longest`` words, from every ``longest``-th on.
+    """
+    known = F.array(*map(F.lit, vocabulary))
+    texts = documents.where("text is not null").select("doc_id", F.xxhash64("text").alias("mark"), lowered("text").alias("t"))
+    lines = texts.select("doc_id", "mark", F.posexplode(F.split("t", "\n")).alias("n", "s"))
     # As a generated column, so that filters on it don't compute it again.
-    return lines.select("doc_id", "mark", "block", F.explode(F.array(held)).alias("held"))
+    lines = lines.select("doc_id", "mark", F.struct(F.lit(0).alias("paragraph"), "n").alias("block"), F.explode(F.array(F.array_intersect(words("s"), known))).alias("held"))
+    paragraphs = texts.select("doc_id", "mark", F.posexplode(F.split("t", BLANK)).alias("p", "s")).where(F.instr("s", "\n") > 0)
+    paragraphs = paragraphs.select("doc_id", "mark", (F.col("p") + 1).alias("paragraph"), F.explode(F.array(words("s"))).alias("w"))
+    starts = F.sequence(F.lit(0), F.greatest(F.size("w") - longest, F.lit(1)) - 1, F.lit(longest))
+    runs = F.transform(starts, lambda at: F.array_intersect(F.slice("w", at + 1, 2 * longest), known))
+    runs = paragraphs.select("doc_id", "mark", "paragraph", F.posexplode(runs).alias("n", "held"))
+    return lines.union(runs.select("doc_id", "mark", F.struct("paragraph", "n").alias("block"), "held"))
 
 
 def template_matches(documents: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, percent: int = PERCENT) -> DataFrame:
@@ -66,7 +79,7 @@ def template_matches(documents: DataFrame, templates: list[tuple[str, str]] = TE
     sets = [(sorted(set(text.split())), label) for text, label in templates]
     vocabulary = sorted({w for own, _ in sets for w in own})
     least = min(-(-percent * len(own) // 100) for own, _ in sets)
-    held = written(blocks(documents, vocabulary).where(F.size("held") >= least), "blocks")
+    held = written(blocks(documents, vocabulary, max(len(text.split()) for text, _ in templates)).where(F.size("held") >= least), "blocks")
     counts = {r["w"]: r["n"] for r in held.select(F.explode("held").alias("w")).groupBy("w").agg(F.count("*").alias("n")).collect()}
     order = sorted(vocabulary, key=lambda w: (counts.get(w, 0), w))
     rank = {w: k for k, w in enumerate(order)}
@@ -119,7 +132,7 @@ def licenses(documents: DataFrame, phrases: dict[str, str] = PHRASES, templates:
     """Per document: doc_id, n_words, n_base, first_word, last_word, base_labels, labels and score.
 
     The score is 1 where a phrase stands, else the highest containment of a template's words
-    in a line (0 if below the threshold).  Every row gives a row; null and empty texts have no
+    in a block (0 if below the threshold).  Every row gives a row; null and empty texts have no
     words.  Rows that share doc_id and text share what is found.  Other columns are ignored.
     """
     own = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
