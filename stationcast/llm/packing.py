@@ -34,7 +34,9 @@ ROUNDS = 60
 #: Characters that are encoded at once, about.
 PART = 1 << 18
 
-_BEFORE_WORD = re.compile(r"(?= \S)")
+#: Texts of up to so many characters are held against the library, in each task: of plain ones, those with
+#: added tokens, and those encoded in parts, the first few.
+PROVED = {"plain": (20_000, 3), "added": (20_000, 1), "parts": (4 * PART, 1)}
 
 
 def tokenize(documents: DataFrame, tokenizer: str, ranks: str, end_id: int = END_ID, capacity: int = CAPACITY) -> DataFrame:
@@ -49,8 +51,9 @@ def tokenize(documents: DataFrame, tokenizer: str, ranks: str, end_id: int = END
 
     The ids are those of the tokenizers library.  Its vocabulary is also given as ranks, by
     which tiktoken finds the same ids several times faster; each task holds the first texts
-    against the library.  Byte-level BPE never merges across the place before a space and a
-    following character, so long texts are encoded in parts cut there.
+    of each kind against the library.  The tokenizer's added tokens have their ids where their strings
+    stand in a text.  Byte-level BPE never merges across the place before a space and a following
+    character other than an added token's, so long texts are encoded in parts cut there.
     """
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -60,19 +63,21 @@ def tokenize(documents: DataFrame, tokenizer: str, ranks: str, end_id: int = END
 
         with open(ranks, "rb") as lines:
             vocabulary = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
-        fast = tiktoken.Encoding("bytes", pat_str=public_tokenizers.PATTERN, mergeable_ranks=vocabulary, special_tokens={})
         library = Tokenizer.from_file(tokenizer)
-        library.encode_special_tokens = True  # their strings in a text are ordinary text
-        end, unproved = np.array([end_id], dtype="<u4"), 3
+        added = {token.content: k for k, token in library.get_added_tokens_decoder().items()}
+        ranked = {token: rank for token, rank in vocabulary.items() if rank not in added.values()}
+        fast = tiktoken.Encoding("bytes", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranked, special_tokens=added)
+        before_word = re.compile("(?= " + "".join(f"(?!{re.escape(token)})" for token in added) + r"\S)")
+        end, unproved = np.array([end_id], dtype="<u4"), {kind: times for kind, (_, times) in PROVED.items()}
 
         def ids_of(texts: list[str | None]) -> list[bytes]:
-            nonlocal unproved
             out = []
             for text in texts:
-                parts = [fast.encode_to_numpy(x) for x in cut(text)] if text else []
+                parts = [fast.encode_to_numpy(x, allowed_special="all") for x in cut(text)] if text else []
                 found = np.concatenate([*parts, end]).astype("<u4")
-                if unproved and text and len(text) < 20_000:
-                    unproved -= 1
+                kind = "parts" if len(parts) > 1 else "added" if unproved["added"] and text and any(t in text for t in added) else "plain"
+                if unproved[kind] and text and len(text) < PROVED[kind][0]:
+                    unproved[kind] -= 1
                     if library.encode(text, add_special_tokens=False).ids != found[:-1].tolist():
                         raise ValueError("the ranks and the tokenizer differ")
                 out.append(found.tobytes())
@@ -81,7 +86,7 @@ def tokenize(documents: DataFrame, tokenizer: str, ranks: str, end_id: int = END
         def cut(text: str) -> list[str]:
             parts, at = [], 0
             while len(text) - at > PART:
-                place = _BEFORE_WORD.search(text, at + PART)
+                place = before_word.search(text, at + PART)
                 if place is None:
                     break
                 parts.append(text[at : place.start()])
