@@ -16,7 +16,7 @@ has several different segments are bytes fetched and suffixes sorted.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from zlib import crc32
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -37,13 +37,17 @@ BUCKET_ROWS = 400_000
 #: Segments that a bucket of the suffix sorting holds about.
 BUCKET_SEGMENTS = 20_000
 
-KEY = "doc_id long, mark int"  # a document: its id, and a checksum should rows share one
-#: ``place`` is low * 2**16 + mark; ``rest`` the segment's hash and width, or where a range ends.
-ANCHORS = "bucket int, doc_id long, place long, hash long, rest long"
+KEY = "doc_id long, mark long"  # a document: its id, and a hash of its text should rows share one
+#: ``rest`` is the segment's hash and width, or where a range ends.
+ANCHORS = f"bucket int, {KEY}, low int, hash long, rest long"
 WIDTH = 8  # bits
 RANGES = f"{KEY}, low int, high int"
 
 
+def mark_of(text: bytes | np.ndarray) -> int:
+    return int.from_bytes(blake2b(text, digest_size=8).digest(), "little", signed=True)
+
+
 def sliding_minimum(x: np.ndarray, width: int) -> np.ndarray:
     """Least value of every ``width`` consecutive ones, by doubling."""
     done = 1
@@ -95,7 +99,7 @@ def anchor_rows(documents: DataFrame, buckets: int, length: int) -> DataFrame:
                     if len(text) >= length:
                         found.append(anchors(text, length))
                         docs.append(np.full(len(found[-1][0]), r))
-                        marks.append(np.full(len(found[-1][0]), crc32(text) & 0xFFFF))
+                        marks.append(np.full(len(found[-1][0]), mark_of(text), np.int64))
                 if found:
                     yield rows(ids, np.concatenate(docs), np.concatenate(marks), *(np.concatenate(x) for x in zip(*found, strict=True)))
 
@@ -123,11 +127,12 @@ def anchor_rows(documents: DataFrame, buckets: int, length: int) -> DataFrame:
             [
                 pa.array(bucket.astype(np.int32)),
                 ids.take(pa.array(docs[taken])),
-                pa.array(low[taken] << 16 | marks[taken]),
+                pa.array(marks[taken]),
+                pa.array(low[taken].astype(np.int32)),
                 pa.array(hashes[taken].astype(np.int64), mask=np.arange(len(taken)) >= len(once)),
                 pa.array(rest),
             ],
-            names=["bucket", "doc_id", "place", "hash", "rest"],
+            names=["bucket", "doc_id", "mark", "low", "hash", "rest"],
         )
 
     return documents.mapInArrow(find, ANCHORS)
@@ -138,12 +143,12 @@ def decide(rows: pa.Table) -> pa.Table:
 
     Column ``group`` is null for a range; else the segment's anchor hash.
     """
-    place, rest = rows["place"].to_numpy(), rows["rest"].to_numpy()
+    place, rest = rows["low"].to_numpy().astype(np.int64), rows["rest"].to_numpy()
     whole = rows["hash"].combine_chunks()
     known = whole.is_null().to_numpy(zero_copy_only=False)
     at = np.flatnonzero(~known)
     h, s = whole.fill_null(0).to_numpy()[at], rest[at] >> WIDTH
-    own, low = rows["doc_id"].fill_null(-(1 << 63)).to_numpy()[at], place[at] >> 16
+    own, low = rows["doc_id"].fill_null(-(1 << 63)).to_numpy()[at], place[at]
     by = np.lexsort((low, own, s, h))
     h, s, own, low, at = h[by], s[by], own[by], low[by], at[by]
     n = len(by)
@@ -159,14 +164,14 @@ def decide(rows: pa.Table) -> pa.Table:
     compared = several & ~again
     take = np.flatnonzero(again | compared)
     row = np.concatenate([at[take], np.flatnonzero(known)])
-    low = place[row] >> 16
+    low = place[row]
     high = np.where(known[row], rest[row], low + (rest[row] & ((1 << WIDTH) - 1)))
     asked = np.zeros(len(row), dtype=bool)
     asked[: len(take)] = compared[take]
     return pa.table(
         {
             "doc_id": rows["doc_id"].take(pa.array(row)),
-            "mark": pa.array((place[row] & 0xFFFF).astype(np.int32)),
+            "mark": rows["mark"].take(pa.array(row)),
             "low": pa.array(low.astype(np.int32)),
             "high": pa.array(high.astype(np.int32)),
             "group": pa.array(whole.fill_null(0).to_numpy()[row], mask=~asked),
@@ -279,14 +284,14 @@ def text_buffer_binary(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]
 
 
 def shrunk(documents: DataFrame) -> DataFrame:
-    """Documents with their checksum and compressed bytes."""
+    """Documents with the hash of their text and compressed bytes."""
 
     def shrink(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         press = zstandard.ZstdCompressor(level=3)
         for batch in batches:
             texts = [(x.as_py() or "").encode() for x in batch.column("text")]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array([crc32(t) & 0xFFFF for t in texts], pa.int32()), pa.array([press.compress(t) for t in texts], pa.binary())],
+                [batch.column("doc_id"), pa.array([mark_of(t) for t in texts], pa.int64()), pa.array([press.compress(t) for t in texts], pa.binary())],
                 names=["doc_id", "mark", "packed"],
             )
 
@@ -311,7 +316,7 @@ def repeated_ranges(documents: DataFrame, length: int = LENGTH) -> DataFrame:
     wanted = asked.groupBy("doc_id", "mark").agg(F.collect_set(F.struct("group", "low", "high")).alias("wanted"))
     number = max(4 * least, asked.count() // BUCKET_SEGMENTS)
 
-    schema = pa.schema([("bucket", pa.int32()), ("doc_id", pa.int64()), ("mark", pa.int32()), ("low", pa.int32()), ("bytes", pa.binary())])
+    schema = pa.schema([("bucket", pa.int32()), ("doc_id", pa.int64()), ("mark", pa.int64()), ("low", pa.int32()), ("bytes", pa.binary())])
 
     def segments_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         press = zstandard.ZstdDecompressor()
