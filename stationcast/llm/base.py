@@ -129,10 +129,11 @@ def gathered(rows: Iterator[tuple], schema: pa.Schema, limit: int = BLOCK_BYTES)
         yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*held, strict=True), schema.types, strict=True)], schema=schema)
 
 
-def word_hashes(data: np.ndarray, bounds: np.ndarray, inside: np.ndarray) -> tuple[np.ndarray, ...]:
+def word_hashes(data: np.ndarray, bounds: np.ndarray, inside: np.ndarray, values: np.ndarray = _LOWER_VALUES) -> tuple[np.ndarray, ...]:
     """Hash, row, start and end of each word; bounds are where rows begin and the last ends.
 
-    ASCII capitals count as lower case.  Long texts are hashed in parts cut between words.
+    ASCII capitals count as lower case, unless the values of bytes are BYTE_VALUES.  Long texts
+    are hashed in parts cut between words.
     """
     first, last = int(bounds[0]), int(bounds[-1])
     data = data[first:last]
@@ -154,7 +155,7 @@ def word_hashes(data: np.ndarray, bounds: np.ndarray, inside: np.ndarray) -> tup
     while i < len(starts):
         j = max(i + 1, int(np.searchsorted(ends, starts[i] + BLOCK_BYTES, side="right")))
         at = starts[i]
-        sums = prefix_sums(data[at : ends[j - 1]], _LOWER_VALUES)
+        sums = prefix_sums(data[at : ends[j - 1]], values)
         hashes[i:j] = part_hashes(sums, starts[i:j] - at, ends[i:j] - at)
         i = j
     rows = np.searchsorted(bounds, starts, side="right") - 1

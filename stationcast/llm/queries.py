@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .base import findable
 from .decontamination import OP8_SQL, op8_benchmark_decontamination
+from .filter_audit import OP11_SQL, op11_filter_interaction_audit
 from .html_extraction import op2_html_extraction
 from .language import op6_language_id
 from .licenses import OP4_SQL, op4_license_scan
@@ -44,6 +45,7 @@ QUERIES: dict[str, Query] = {
         op8_benchmark_decontamination,
         op9_sharding,
         op10_suffix_array_dedup,
+        op11_filter_interaction_audit,
     )
 }
 
@@ -53,4 +55,5 @@ ORACLES = {
     "op5_line_dedup": OP5_SQL,
     "op7_exact_top_k": OP7_SQL,
     "op8_benchmark_decontamination": OP8_SQL,
+    "op11_filter_interaction_audit": OP11_SQL,
 }
