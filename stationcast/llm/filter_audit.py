@@ -13,7 +13,7 @@ The array of orders is a literal of the plan, which every task gets; with five f
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from hashlib import blake2b
 from itertools import permutations
 
@@ -122,6 +122,15 @@ def cells(documents: DataFrame, labels: DataFrame, conditions: dict[str, str | N
     return alike.groupBy("part", "mask").agg(F.sum("n").cast("long").alias("n"), weight("quality").alias("good"), weight("toxic").alias("toxic"))
 
 
+def literal_text(items: Iterable) -> str:
+    return f"array({','.join(map(str, items))})"
+
+
+def literal(items: Iterable) -> Column:
+    """An array literal, parsed at once."""
+    return F.expr(literal_text(items))
+
+
 def folded(orders: list[tuple[int, ...]]) -> Column:
     """What a cell gives: a struct of counts for each step of each order, one after the other."""
     zero = F.lit(0).cast("long")
@@ -141,7 +150,7 @@ def folded(orders: list[tuple[int, ...]]) -> Column:
         return F.struct((here & ~fails).alias("here"), F.concat(held["steps"], F.array(counts)).alias("steps"))
 
     start = F.struct(F.lit(True).alias("here"), empty.alias("steps"))
-    all_ = F.array(*[F.array(*map(F.lit, o)) for o in orders])
+    all_ = literal([literal_text(o) for o in orders])
     return F.flatten(F.transform(all_, lambda o: F.aggregate(o, start, step, lambda held: held["steps"])))
 
 
@@ -154,13 +163,13 @@ def interactions(found: DataFrame, names: list[str]) -> DataFrame:
     plus = lambda x, y: F.struct(*[(x[c] + y[c]).alias(c) for c in COUNTS])
     # A part has 2**n cells at most.
     merged = each.groupBy("part").agg(F.aggregate(F.collect_list("counts"), none, lambda a, b: F.zip_with(a, b, plus)).alias("counts"))
-    of = F.array(*[F.lit(k) for o in orders for k in o])
+    of = literal([str(k) for o in orders for k in o])
     removed = lambda k: F.aggregate(
         F.filter("counts", lambda _, at: F.get(of, at) == k), F.lit(0).cast("long"), lambda total, x: total + x["removed"]
     )
     merged = merged.withColumn("shapley", F.array(*[removed(k) for k in range(len(names))]))
     rows = merged.select("part", "shapley", F.posexplode("counts").alias("at", "x"))
-    spelled = F.array(*[F.lit("".join(names[k] for k in o)) for o in orders])
+    spelled = F.split(F.lit(" ".join("".join(names[k] for k in o) for o in orders)), " ")
     return rows.select(
         "part",
         F.get(spelled, F.floor(F.col("at") / len(names)).cast("int")).alias("filter_order"),
@@ -176,7 +185,7 @@ def audit(documents: DataFrame, labels: DataFrame, conditions: dict[str, str | N
     Filters are named by one letter each; there may be six at most, as their orders are listed.
     Without documents there are no rows.  Other columns are ignored.
     """
-    if not 0 < len(conditions) <= 6 or any(len(name) != 1 for name in conditions):
+    if not 0 < len(conditions) <= 6 or any(len(name) != 1 or name == " " for name in conditions):
         raise ValueError("one to six filters, each named by one letter")
     return interactions(cells(documents, labels, conditions), list(conditions))
 
