@@ -19,6 +19,7 @@ from .packing import op1_best_fit_packing
 from .repeats import op10_suffix_array_dedup
 from .search import OP7_SQL, op7_exact_top_k
 from .sharding import op9_sharding
+from .vector_codes import OP13_SQL, op13_vector_code_compression
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -46,6 +47,7 @@ QUERIES: dict[str, Query] = {
         op9_sharding,
         op10_suffix_array_dedup,
         op11_filter_interaction_audit,
+        op13_vector_code_compression,
     )
 }
 
@@ -56,4 +58,5 @@ ORACLES = {
     "op7_exact_top_k": OP7_SQL,
     "op8_benchmark_decontamination": OP8_SQL,
     "op11_filter_interaction_audit": OP11_SQL,
+    "op13_vector_code_compression": OP13_SQL,
 }
