@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .base import findable
 from .decontamination import OP8_SQL, op8_benchmark_decontamination
+from .embedding_dedup import OP12_SQL, op12_embedding_near_dedup
 from .filter_audit import OP11_SQL, op11_filter_interaction_audit
 from .html_extraction import op2_html_extraction
 from .language import op6_language_id
@@ -47,6 +48,7 @@ QUERIES: dict[str, Query] = {
         op9_sharding,
         op10_suffix_array_dedup,
         op11_filter_interaction_audit,
+        op12_embedding_near_dedup,
         op13_vector_code_compression,
     )
 }
@@ -58,5 +60,6 @@ ORACLES = {
     "op7_exact_top_k": OP7_SQL,
     "op8_benchmark_decontamination": OP8_SQL,
     "op11_filter_interaction_audit": OP11_SQL,
+    "op12_embedding_near_dedup": OP12_SQL,
     "op13_vector_code_compression": OP13_SQL,
 }
