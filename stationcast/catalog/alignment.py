@@ -148,6 +148,40 @@ def equal_order(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query(
+    "asof_any_distance",
+    """
+WITH e AS (SELECT event_id, CASE WHEN event_id % 3 = 0 THEN -1 ELSE user_id END AS station, ts, event_type FROM events),
+o AS (SELECT station, ts AS observed_time, min(event_id) AS first_report, max(event_id) AS last_report
+      FROM e WHERE event_type = 'purchase' GROUP BY station, ts),
+b AS (SELECT e.event_id, o.observed_time, o.last_report AS report FROM e ASOF JOIN o ON e.station = o.station AND e.ts >= o.observed_time),
+a AS (SELECT e.event_id, o.observed_time, o.first_report AS report FROM e ASOF JOIN o ON e.station = o.station AND e.ts <= o.observed_time),
+near AS (
+  SELECT e.event_id, e.station, e.ts, b.observed_time AS t0, b.report AS r0, a.observed_time AS t1, a.report AS r1,
+         t1 IS NOT NULL AND (t0 IS NULL OR epoch_us(t1) - epoch_us(ts) < epoch_us(ts) - epoch_us(t0)) AS later
+  FROM e LEFT JOIN b ON b.event_id = e.event_id LEFT JOIN a ON a.event_id = e.event_id)
+SELECT event_id, station, ts, CASE WHEN later THEN t1 ELSE t0 END AS observed_time, CASE WHEN later THEN r1 ELSE r0 END AS report FROM near
+""",
+)
+def any_distance(spark: SparkSession, folder: str) -> DataFrame:
+    """All events with the nearest purchase, however far; one station holds a third of them."""
+    events = table(spark, folder, "events").withColumn(
+        "station", F.when(F.col("event_id") % 3 == 0, F.lit(-1)).otherwise(F.col("user_id"))
+    )
+    reports = events.where("event_type = 'purchase'").select(
+        "station", F.col("ts").alias("observed_time"), F.col("event_id").alias("report")
+    )
+    return asof_nearest(
+        events.select("event_id", "station", "ts"),
+        reports,
+        by=["station"],
+        left_time="ts",
+        right_time="observed_time",
+        tolerance=None,
+        seq="report",
+    )
+
+
 @query(
     "file_pairs",
     """

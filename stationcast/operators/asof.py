@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import timedelta
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -19,7 +20,7 @@ def asof_nearest(
     by: Sequence[str],
     left_time: str,
     right_time: str,
-    tolerance: timedelta,
+    tolerance: timedelta | None,
     seq: str | None = None,
     tie: str = "earlier",
     after_duplicates: str = "first",
@@ -27,18 +28,19 @@ def asof_nearest(
 ) -> DataFrame:
     """Every left row with the nearest right row of the same ``by`` key, or nulls.
 
-    The tolerance is inclusive.  At equal distance ``tie`` says whether the "earlier"
-    or the "later" right row wins.  Of right rows at the same time, the last by
-    ``seq`` serves left rows at or after it; left rows before it get the
+    The tolerance is inclusive; None matches at any distance.  At equal distance ``tie``
+    says whether the "earlier" or the "later" right row wins.  Of right rows at the same
+    time, the last by ``seq`` serves left rows at or after it; left rows before it get the
     ``after_duplicates`` one.  Rows without a ``seq`` come before all others.  Among
     equal ones, or without ``seq``, one is picked by its content, always the same.
     All left rows are kept, repeated ones too; a right row may serve many.
 
-    How it scales: which time matches which depends on the key and the time only, so
-    that is settled first, on the distinct (key, time) pairs of both sides; rows that
-    repeat a pair are combined map-side.  No pairs of rows are formed.  The matched
-    right rows, one per (key, time), are then fetched and joined to the left rows on
-    (key, time), where they are unique, so a skewed left side can be split freely.
+    How it scales: which row matches which depends on the key and the time only, so
+    that is settled on the distinct (key, time) pairs of the left side, a scan of these
+    columns alone, and one right row per (key, time), aggregated map-side; see
+    ``nearest_offers``.  No pairs of rows are formed and no row is copied.  The matches,
+    unique per (key, time), are then joined to the left rows on (key, time), so a skewed
+    left side can be split freely.  The right side is read once.
     """
     if tie not in ("earlier", "later") or after_duplicates not in ("first", "last"):
         raise ValueError("tie is 'earlier' or 'later', after_duplicates is 'first' or 'last'")
@@ -48,15 +50,6 @@ def asof_nearest(
     if clash:
         raise ValueError(f"columns on both sides: {clash}")
 
-    matches = nearest_times(
-        _distinct_times(left, by, left_time),
-        _distinct_times(right, by, right_time),
-        by,
-        tolerance=tolerance,
-        tie=tie,
-        slice_width=slice_width,
-    )
-
     # One right row per (key, time); first and last differ only where times repeat.
     # Picking column by column lets numbers be aggregated by hash.
     values = [c for c in carried if c != right_time]
@@ -64,21 +57,24 @@ def asof_nearest(
     picks = [F.max_by(c, "_order").alias(f"_last_{c}") for c in values]
     if after_duplicates == "first":
         picks += [F.min_by(c, "_order").alias(f"_first_{c}") for c in values]
-    rows = (
-        right.dropna(subset=[*by, right_time])
-        .select(*by, *carried, micros(F.col(right_time)).alias("_to"), order.alias("_order"))
-        .groupBy(*by, "_to")
+    offers = (
+        _present(right, [*by, right_time])
+        .select(*by, *carried, micros(F.col(right_time)).alias("_t"), order.alias("_order"))
+        .groupBy(*by, "_t")
         .agg(F.max(right_time).alias(right_time), *picks)
     )
+    wanted = _present(left, [*by, left_time]).select(*by, micros(F.col(left_time)).alias("_t")).distinct()
+    matches = nearest_offers(wanted, offers, by, tolerance=tolerance, tie=tie, slice_width=slice_width)
 
     def value(c: str) -> Column:
         if c == right_time:
-            return F.col(c)
+            return F.col(f"_offer.{c}").alias(c)
+        last = F.col(f"_offer._last_{c}")
         if after_duplicates == "last":
-            return F.col(f"_last_{c}").alias(c)
-        return F.when(F.col("_later"), F.col(f"_first_{c}")).otherwise(F.col(f"_last_{c}")).alias(c)
+            return last.alias(c)
+        return F.when(F.col("_later"), F.col(f"_offer._first_{c}")).otherwise(last).alias(c)
 
-    found = matches.join(rows, [*by, "_to"]).select(*by, "_t", *[value(c) for c in carried])
+    found = matches.select(*by, "_t", *[value(c) for c in carried])
     return (
         left.withColumn("_t", micros(F.col(left_time)))
         .join(found, [*by, "_t"], "left")
@@ -86,52 +82,68 @@ def asof_nearest(
     )
 
 
-def nearest_times(
+def nearest_offers(
     wanted: DataFrame,
-    offered: DataFrame,
+    offers: DataFrame,
     by: list[str],
     *,
-    tolerance: timedelta,
+    tolerance: timedelta | None,
     tie: str = "earlier",
     slice_width: timedelta = timedelta(days=1),
 ) -> DataFrame:
-    """For each wanted time of a key the nearest offered one within the tolerance.
-
-    Both frames hold distinct (key, ``_t`` in micros).  The result has the matched
-    time ``_to`` and whether it is ``_later``; times without a match are left out.
-
-    Timelines are cut into slices and sorted per (key, slice), never per key.  An offer
-    stands in every slice it can serve: its own, and a neighbour where it lies within
-    the tolerance of the border; slices are never narrower than the tolerance, so three
-    at most.  A slice holds at most its width (plus, for offers,
-    the tolerance on both sides) divided by the clock's resolution, 86,400 rows for a
-    day of seconds; choose narrower slices for finer clocks.
+    """For each wanted time of a key the nearest offer within the tolerance, as a struct.
+
+    Wanted are distinct (key, ``_t`` in micros), offers one row per (key, ``_t``).  The
+    result has ``_offer`` and whether it is ``_later``; times without a match are left out.
+
+    A carry scan: timelines are cut into slices and sorted per (key, slice), never per key.
+    Each slice that holds anything gives its first and last offer.  These carries, one row
+    per (key, slice), are scanned over the slices of a key, and every slice gets the last
+    offer before it and the first after it, however far away.  So no offer is copied to
+    other slices, and any tolerance costs the same.  A slice holds at most its width divided
+    by the clock's resolution, twice 86,400 rows for a day of seconds; choose narrower
+    slices for finer clocks.  Both scans read the same shuffled timeline.
     """
-    tol = as_micros(tolerance)
-    width = max(as_micros(slice_width), tol)
     time = F.col("_t")
-    serves = F.sequence(slice_start(time - tol, width), slice_start(time + tol, width), F.lit(width))
-    timeline = wanted.select(
-        *by, "_t", slice_start(time, width).alias("_slice"), F.lit(None).cast("long").alias("_offer")
-    ).unionByName(offered.select(*by, "_t", F.explode(serves).alias("_slice"), time.alias("_offer")))
+    slice_ = slice_start(time, as_micros(slice_width)).alias("_slice")
+    offered = offers.select(*by, "_t", slice_, F.struct(*[c for c in offers.columns if c not in by]).alias("_offer"))
+    nothing = F.lit(None).cast(offered.schema["_offer"].dataType)
+    timeline = wanted.select(*by, "_t", slice_, nothing.alias("_offer")).unionByName(offered).repartition(*by, "_slice")
 
-    # At equal times the offer, being non-null, comes first.
-    order = [F.col("_t").asc(), F.col("_offer").asc_nulls_last()]
+    # At equal times the offer comes first.
+    order = [time.asc(), F.col("_offer").isNull().asc()]
     so_far = Window.partitionBy(*by, "_slice").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     scan = timeline.withColumns(
         {
-            "_before": F.max("_offer").over(so_far),
-            "_after": _next_present("_offer", [*by, "_slice"], "_t, _offer NULLS LAST"),
+            "_before": F.last("_offer", ignorenulls=True).over(so_far),
+            "_after": _next_present("_offer", [*by, "_slice"], "_t, _offer IS NULL"),
         }
     ).where("_offer is null")
-    too_far = F.lit(tol + 1)
-    gap_before = F.coalesce(F.col("_t") - F.col("_before"), too_far)
-    gap_after = F.coalesce(F.col("_after") - F.col("_t"), too_far)
+
+    offer_time = F.when(F.col("_offer").isNotNull(), time)
+    carries = timeline.groupBy(*by, "_slice").agg(
+        F.min_by("_offer", offer_time).alias("_first"), F.max_by("_offer", offer_time).alias("_last")
+    )
+    earlier = Window.partitionBy(*by).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    carries = carries.select(
+        *by,
+        "_slice",
+        F.last("_last", ignorenulls=True).over(earlier).alias("_carried"),
+        _next_present("_first", by, "_slice").alias("_coming"),
+    )
+    # Every slice has carries.  As a left join, it adds no filters to one side, so that both
+    # branches keep the same shuffle.
+    found = scan.join(carries, [*by, "_slice"], "left").select(
+        *by, "_t", F.coalesce("_before", "_carried").alias("_before"), F.coalesce("_after", "_coming").alias("_after")
+    )
+
+    none = F.lit(2**63 - 1)
+    gap_before = F.coalesce(F.col("_t") - F.col("_before._t"), none)
+    gap_after = F.coalesce(F.col("_after._t") - F.col("_t"), none)
     later = gap_after < gap_before if tie == "earlier" else gap_after <= gap_before
-    return (
-        scan.where(F.least(gap_before, gap_after) <= tol).select(
-            *by, "_t", F.when(later, F.col("_after")).otherwise(F.col("_before")).alias("_to"), later.alias("_later")
-        )
+    near = F.least(gap_before, gap_after)
+    return found.where(near < none if tolerance is None else near <= as_micros(tolerance)).select(
+        *by, "_t", F.when(later, F.col("_after")).otherwise(F.col("_before")).alias("_offer"), later.alias("_later")
     )
 
 
@@ -152,8 +164,8 @@ def _total_order(df: DataFrame, seq: str | None, columns: Sequence[str]) -> Colu
     return (number.cast(wide) + F.shiftrightunsigned(content, 4).cast(wide)).cast(wide)
 
 
-def _distinct_times(df: DataFrame, by: list[str], time: str) -> DataFrame:
-    return df.dropna(subset=[*by, time]).select(*by, micros(F.col(time)).alias("_t")).distinct()
+def _present(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    return df.where(reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in columns]))
 
 
 def _next_present(column: str, by: Sequence[str], order: str) -> Column:

@@ -111,7 +111,7 @@ def align(
     first: date,
     last: date,
     stations: Sequence[str] | None = None,
-    tolerance: timedelta = DEFAULT_TOLERANCE,
+    tolerance: timedelta | None = DEFAULT_TOLERANCE,
     units: Units | None = None,
     seq: str | None = None,
 ) -> DataFrame:

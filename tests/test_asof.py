@@ -64,7 +64,8 @@ def test_column_clash_is_refused(spark):
 
 
 @pytest.mark.parametrize(
-    "slice_minutes, tolerance_minutes", [(1, 3), (7, 45), (60, 45), (45, 45), (60, 600), (100_000, 600)]
+    "slice_minutes, tolerance_minutes",
+    [(1, 3), (7, 45), (60, 45), (45, 45), (60, 600), (100_000, 600), (7, 600), (7, None), (100_000, None)],
 )
 def test_equals_pandas_for_any_slice_width(spark, slice_minutes, tolerance_minutes):
     rng = np.random.default_rng(7)
@@ -81,7 +82,7 @@ def test_equals_pandas_for_any_slice_width(spark, slice_minutes, tolerance_minut
         )
 
     left, right = frame(300, "valid", "i"), frame(200, "seen", "j")
-    tolerance = timedelta(minutes=tolerance_minutes)
+    tolerance = None if tolerance_minutes is None else timedelta(minutes=tolerance_minutes)
     out = asof_nearest(
         spark.createDataFrame(left),
         spark.createDataFrame(right),
@@ -99,7 +100,7 @@ def test_equals_pandas_for_any_slice_width(spark, slice_minutes, tolerance_minut
         right_on="seen",
         by="stid",
         direction="nearest",
-        tolerance=pd.Timedelta(tolerance),
+        tolerance=None if tolerance is None else pd.Timedelta(tolerance),
     )
     assert dict(zip(out.i, out.j.fillna(-1))) == dict(zip(expected.i, expected.j.fillna(-1)))
 
@@ -109,3 +110,26 @@ def test_without_keys(spark):
     r = spark.createDataFrame([(at("01:02"), 5)], "seen timestamp, v int")
     out = asof_nearest(l, r, by=[], left_time="valid", right_time="seen", tolerance=timedelta(minutes=2))
     assert sorted((x.valid.hour, x.v) for x in out.collect()) == [(1, 5), (9, None)]
+
+
+def test_any_distance_crosses_empty_slices(spark):
+    l = spark.createDataFrame([("A", at(f"{d} 00:00")) for d in ("2024-06-01", "2025-01-20", "2025-02-05", "2025-03-01")] + [("B", at("2025-01-01 00:00"))], "stid string, valid timestamp")
+    r = spark.createDataFrame([("A", at("2025-01-01 00:00"), 1), ("A", at("2025-02-20 00:00"), 2)], "stid string, seen timestamp, v int")
+    out = asof_nearest(l, r, by=["stid"], left_time="valid", right_time="seen", tolerance=None, slice_width=timedelta(hours=1))
+    assert [(x.stid, x.v) for x in out.orderBy("stid", "valid").collect()] == [("A", 1), ("A", 1), ("A", 2), ("A", 2), ("B", None)]
+
+
+def test_right_side_is_read_once_and_left_rows_once(spark, tmp_path):
+    l = spark.createDataFrame([("A", at("01:00"), k) for k in range(50)], "stid string, valid timestamp, n int")
+    r = spark.createDataFrame([("A", at("01:10"), k) for k in range(50)], "stid string, seen timestamp, v int")
+    l.write.parquet(str(tmp_path / "left"))
+    r.write.parquet(str(tmp_path / "right"))
+    l, r = spark.read.parquet(str(tmp_path / "left")), spark.read.parquet(str(tmp_path / "right"))
+    out = asof_nearest(l, r, by=["stid"], left_time="valid", right_time="seen", tolerance=None, seq="v")
+    assert {x.v for x in out.collect()} == {0}
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    plan = plan[: plan.index("Initial Plan")] if "Initial Plan" in plan else plan
+    scans = [line for line in plan.splitlines() if "FileScan parquet" in line]
+    assert sum("/right" in s for s in scans) == 1
+    # The left side's keys and times come first, its rows later.
+    assert sorted("n:int" in s for s in scans if "/left" in s) == [False, True]
