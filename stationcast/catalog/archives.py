@@ -79,6 +79,23 @@ def months(spark: SparkSession, folder: str) -> DataFrame:
     return month_summary(read_archive(spark, path), "o_orderdate")
 
 
+@query(
+    "archive_station",
+    """SELECT DISTINCT o_custkey, o_orderdate, o_orderkey, o_totalprice FROM orders
+WHERE o_custkey IN (1, 2, 4, 5, 7, 8, 10, 11, 13, 14) AND o_orderdate >= TIMESTAMP '1993-01-01'""",
+)
+def station(spark: SparkSession, folder: str) -> DataFrame:
+    """Some customers of an archive whose months are ordered by customer and time."""
+    path = scratch_folder(spark, "archive")
+    columns = ["o_custkey", "o_orderdate", "o_orderkey", "o_totalprice"]
+    for batch in halves(spark, folder):
+        append_archive(batch.select(*columns), path, time="o_orderdate", cluster=["o_custkey", "o_orderdate"])
+    compact_months(spark, path, [(1995, m) for m in range(1, 13)])
+    customers = [("o_custkey", "in", [1, 2, 4, 5, 7, 8, 10, 11, 13, 14])]
+    since = [("o_orderdate", ">=", F.lit("1993-01-01").cast("timestamp_ntz"))]
+    return read_archive(spark, path, columns=columns, filters=customers + since)
+
+
 NARROW = ["o_custkey", "o_orderdate", "o_orderstatus"]
 WIDE = [*NARROW, "o_orderpriority"]
 OTHER = ["o_custkey", "o_orderdate", "o_totalprice"]

@@ -232,6 +232,124 @@ def test_compaction_keeps_rows_and_lowers_files(spark, tmp_path):
     assert sorted(map(str, archive.read_archive(spark, path).collect())) == before
 
 
+def scanned(df):
+    """Rows that come out of the scan."""
+    df.collect()
+    leaves = df._jdf.queryExecution().executedPlan().collectLeaves()
+    plans = [leaves.apply(k) for k in range(leaves.size())]
+    while any(p.nodeName().startswith(("AdaptiveSparkPlan", "ResultQueryStage", "ShuffleQueryStage")) for p in plans):
+        plans = [q for p in plans for q in unfolded(p)]
+    return sum(p.metrics().apply("numOutputRows").value() for p in plans if "Scan" in p.nodeName())
+
+
+def unfolded(plan):
+    if plan.nodeName().startswith("AdaptiveSparkPlan"):
+        inner = plan.executedPlan().collectLeaves()
+    elif "QueryStage" in plan.nodeName():
+        inner = plan.plan().collectLeaves()
+    else:
+        return [plan]
+    return [inner.apply(k) for k in range(inner.size())]
+
+
+def many_rows(spark, n=20_000, stations=400):
+    cells = spark.range(n).select(
+        F.format_string("S%04d", F.col("id") % stations).alias("stid"),
+        (F.lit(DAY).cast("timestamp") + F.make_dt_interval(mins=(F.col("id") / stations).cast("int") * 30)).alias("valid_time"),
+        (F.col("id") * 37 % 1000).cast("double").alias("v"),
+    )
+    return cells
+
+
+@pytest.mark.parametrize("compact", [False, True])
+def test_one_station_is_read_from_few_row_groups(spark, tmp_path, compact):
+    path = str(tmp_path / "a")
+    batch = many_rows(spark).repartition(5)
+    if compact:
+        archive.append_archive(batch, path)
+        archive.compact_months(spark, path, [(2025, 1), (2025, 2)], cluster=["stid", "valid_time"], row_group_bytes=1 << 14)
+    else:
+        archive.append_archive(batch, path, cluster=["stid", "valid_time"], row_group_bytes=1 << 14)
+    files = sorted((tmp_path / "a").glob("year=*/month=*/*.parquet"))
+    groups = [g for f in files for g in (pq.ParquetFile(f).metadata.row_group(k) for k in range(pq.ParquetFile(f).metadata.num_row_groups))]
+    bounds = [(g.column(0).statistics.min, g.column(0).statistics.max) for g in groups]
+    assert len(groups) > 20 and sum(a <= "S0123" <= b for a, b in bounds) <= 2
+    one = archive.read_archive(spark, path, filters=[("stid", "==", "S0123")])
+    assert scanned(one) < 2_000 and one.count() == 50
+    assert archive.read_layout(spark, path).cluster == ("stid", "valid_time")
+    assert archive.read_archive(spark, path).count() == 20_000
+
+
+def test_rows_of_one_station_and_time_are_split_over_files(spark, tmp_path):
+    path = str(tmp_path / "a")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        archive.append_archive(rows(spark, *[("A", DAY, float(k)) for k in range(900)]), path, cluster=["stid", "valid_time"])
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    sizes = [pq.ParquetFile(f).metadata.num_rows for f in (tmp_path / "a").glob("year=*/month=*/*.parquet")]
+    assert sum(sizes) == 900 and len(sizes) == 3 and max(sizes) < 600
+
+
+def test_key_appends_read_what_may_be_repeated(spark, tmp_path):
+    path, keys = str(tmp_path / "a"), ["stid", "valid_time"]
+    archive.append_archive(many_rows(spark), path, keys=keys, row_group_bytes=1 << 14)
+    held = archive.read_archive(spark, path)
+    some = many_rows(spark).where("stid IN ('S0007', 'S0300')").withColumn("v", F.lit(-1.0))
+    late = many_rows(spark).where("stid > 'S0390'").withColumn("v", F.lit(-1.0))
+    read = [scanned(archive.possible_rows(held, batch, keys)) for batch in (some, late)]
+    assert all(n < 6_000 for n in read)
+    for batch in (some, late, some.unionByName(rows(spark, ("S0007", DAY + timedelta(days=3, minutes=1), -2.0)))):
+        archive.append_archive(batch, path, keys=keys)
+    stored_rows = archive.read_archive(spark, path)
+    assert stored_rows.count() == 20_001 and stored_rows.where("v < 0").count() == 1
+
+
+def test_keys_without_value_or_order_are_compared_too(spark, tmp_path):
+    path, keys = str(tmp_path / "a"), ["stid", "valid_time", "tags"]
+    kind = "stid string, valid_time timestamp, tags array<int>, v double"
+    first = spark.createDataFrame([(None, DAY, [1], 1.0), ("A", None, [1], 1.0), ("A", DAY, None, 1.0)], kind)
+    second = spark.createDataFrame([(None, DAY, [1], 2.0), ("A", None, [1], 2.0), ("A", DAY, None, 2.0), ("A", DAY, [2], 2.0), (None, None, None, 2.0)], kind)
+    for batch in (first, second, second):
+        archive.append_archive(batch, path, keys=keys, cluster=["stid", "valid_time"])
+    assert sorted(r.v for r in archive.read_archive(spark, path).collect()) == [1.0, 1.0, 1.0, 2.0, 2.0]
+
+
+def test_reads_take_the_columns_from_the_layout(spark, tmp_path):
+    path = str(tmp_path / "a")
+    archive.append_archive(rows(spark, ("A", DAY, 1.0)), path)
+    more = spark.createDataFrame([("A", datetime(2025, 3, 1), 7.0)], "stid string, valid_time timestamp, gust double")
+    archive.append_archive(more, path)
+    # A file that can't be opened, in a month that isn't asked for.
+    (tmp_path / "a" / "year=2025" / "month=2").mkdir()
+    (tmp_path / "a" / "year=2025" / "month=2" / "part-broken.parquet").write_bytes(b"nothing")
+    held = archive.read_archive(spark, path)
+    assert held.columns == ["stid", "valid_time", "v", "gust", "year", "month"]
+    assert [(r.v, r.gust) for r in held.where("month = 3").collect()] == [(None, 7.0)]
+
+
+def test_files_of_others_are_merged(spark, tmp_path):
+    path = str(tmp_path / "a")
+    rows(spark, ("A", DAY, 1.0)).withColumns({"year": F.lit(2025), "month": F.lit(1)}).write.partitionBy("year", "month").parquet(path)
+    other = spark.createDataFrame([("B", DAY, 3)], "stid string, valid_time timestamp, n int")
+    assert archive.read_archive(spark, path).count() == 1 and archive.read_layout(spark, path) is None
+    archive.append_archive(other, path)
+    assert archive.read_archive(spark, path).columns == ["stid", "valid_time", "v", "n", "year", "month"]
+    late = spark.createDataFrame([("C", DAY, "x")], "stid string, valid_time timestamp, kind string")
+    late.withColumns({"year": F.lit(2025), "month": F.lit(1)}).write.mode("append").partitionBy("year", "month").parquet(path)
+    assert "kind" not in archive.read_archive(spark, path).columns
+    archive.refresh_layout(spark, path)
+    assert sorted((r.stid, r.v, r.n, r.kind) for r in archive.read_archive(spark, path).collect()) == [("A", 1.0, None, None), ("B", None, 3, None), ("C", None, None, "x")]
+
+
+def test_other_types_are_refused(spark, tmp_path):
+    path = str(tmp_path / "a")
+    archive.append_archive(rows(spark, ("A", DAY, 1.0)), path)
+    with pytest.raises(ValueError, match="v is string, archived as double"):
+        archive.append_archive(spark.createDataFrame([("A", DAY, "x")], "stid string, valid_time timestamp, v string"), path)
+    assert archive.read_archive(spark, path).count() == 1
+
+
 def test_missing_equals_missing_when_appending(spark):
     old = spark.createDataFrame([("A", None, 1), (None, "x", 2)], "a string, b string, n int")
     new = spark.createDataFrame([("A", None, 1), (None, "x", 5)], "a string, b string, n int")
