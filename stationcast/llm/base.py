@@ -30,6 +30,14 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def free_name(columns: list[str], stem: str) -> str:
+    """A column name that none of the columns has, whatever the case."""
+    taken = {c.lower() for c in columns}
+    while stem.lower() in taken:
+        stem += "_"
+    return stem
+
+
 def findable(spark: SparkSession) -> None:
     """Let Python workers of a local session import this package from where it lies.
 

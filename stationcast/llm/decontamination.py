@@ -25,7 +25,7 @@ from .base import ALPHANUMERIC, row_blocks, table, text_buffer, word_hashes
 
 WINDOW = 10
 #: Bytes of documents that a shard holds; a longer document is a shard of its own.
-SHARD_BYTES = 8 << 20
+SHARD_BYTES = 4 << 20
 #: Words of benchmark items that are searched at once; more are searched in further blocks.
 BLOCK_WORDS = 2_000_000
 
@@ -244,8 +244,18 @@ def contamination(documents: DataFrame, benchmark: DataFrame, window: int = WIND
 
 
 def clean(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """The documents that hold no window of any item, with all their columns."""
-    return matches(documents, benchmark, documents.columns, window).where(F.size("_found.spans") == 0).drop("_found")
+    """The documents that hold no window of any item, with all their columns.
+
+    Texts alone are searched, and only the hashes of contaminated ones come back; the
+    documents that have such a text are then left out.
+    """
+    first, second = (lambda x: F.xxhash64(x)), (lambda x: F.xxhash64(F.lit(1), x))
+    texts = documents.select(F.col("text").cast("string").alias("text")).where("text is not null")
+    texts = texts.select(first("text").alias("h1"), second("text").alias("h2"), "text")
+    hits = matches(texts, benchmark, ["h1", "h2"], window).where(F.size("_found.spans") > 0)
+    hits = written(hits.select("h1", "h2").distinct(), "contaminated")
+    text = documents["text"].cast("string")
+    return documents.join(hits, (first(text) == hits["h1"]) & (second(text) == hits["h2"]), "left_anti")
 
 
 def op8_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:

@@ -175,15 +175,15 @@ def weighted(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
     return unit(np.log1p(counts) * idf)
 
 
-def identify(documents: DataFrame, model: Model, keep: list[str]) -> DataFrame:
-    """The columns to keep of every document, and ``_language``: lang_pred, score and rejected.
+def identify(documents: DataFrame, model: Model, keep: list[str], name: str = "_language") -> DataFrame:
+    """The columns to keep of every document, and one of the name: lang_pred, score and rejected.
 
     The score is the cosine to the nearest centroid (0 to 1).  Null, empty and letterless
     texts are `und`, with score 0, and rejected; so is every text if nothing was learned.
     ``rejected`` also holds for texts below the model's least cosine; their lang_pred is the
     nearest language.  Ties go to the language first in order.
     """
-    columns = [*keep, "_language"]
+    columns = [*keep, name]
     kind = pa.struct([("lang_pred", pa.string()), ("score", pa.float64()), ("rejected", pa.bool_())])
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -202,11 +202,11 @@ def identify(documents: DataFrame, model: Model, keep: list[str]) -> DataFrame:
                         out.append({"lang_pred": model.languages[at], "score": score, "rejected": score < model.floor})
                     else:
                         out.append({"lang_pred": UNDETERMINED, "score": 0.0, "rejected": True})
-                arrays = [pa.array(out, kind) if c == "_language" else part.column(c) for c in columns]
+                arrays = [pa.array(out, kind) if c == name else part.column(c) for c in columns]
                 yield pa.RecordBatch.from_arrays(arrays, names=columns)
 
     source = documents.select("text", *[c for c in keep if c != "text"])
-    schema = source.select(*keep).withColumn("_language", F.expr("named_struct('lang_pred', '', 'score', 0D, 'rejected', true)")).schema
+    schema = source.select(*keep).withColumn(name, F.expr("named_struct('lang_pred', '', 'score', 0D, 'rejected', true)")).schema
     return source.mapInArrow(predict, nullable(schema))
 
 
@@ -226,4 +226,4 @@ def op6_language_id(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents").select(F.col("doc_id").cast("long"), F.col("text").cast("string"), F.col("lang").cast("string"))
     model = fit(documents.where(~held_out()))
     found = identify(documents, model, ["doc_id"])
-    return found.select("doc_id", held_out().alias("held_out"), "_language.lang_pred", "_language.score")
+    return found.select("doc_id", held_out().alias("held_out"), "_language.lang_pred", "_language.score", "_language.rejected")

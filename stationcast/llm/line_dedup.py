@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from stationcast.session import written
 
-from .base import table
+from .base import free_name, table
 from .ngram_join import first_grams, near, ordered_sets
 
 WORDS = 5
@@ -58,21 +58,29 @@ def maybe(found: tuple[bytes, int], *key: str) -> Column:
     return F.getbit(byte, place.bitwiseAND(7).cast("int")) == 1
 
 
-def lines_of(documents: DataFrame) -> DataFrame:
-    """(doc_id, mark, line, words, class) of lines with words; mark is a hash of the document."""
+def raw_lines(documents: DataFrame) -> DataFrame:
+    """(doc_id, mark, line, s, raw): lines in lower case, white space as spaces; mark and raw are hashes of document and line."""
     other = "\t\x0b\f\r"
     has = F.greatest(*[F.instr("text", c) for c in other]) > 0
     spaced = F.lower(F.when(has, F.translate("text", other, " " * len(other))).otherwise(F.col("text")))
     found = documents.where("text is not null").select("doc_id", F.xxhash64("text").alias("mark"), spaced.alias("spaced"))
     found = found.select("doc_id", "mark", F.posexplode(F.split("spaced", "\n")).alias("line", "s"))
-    found = found.where(F.trim("s") != "").withColumn("words", F.array_remove(F.split("s", " "), ""))
-    return found.select("doc_id", "mark", "line", "words", F.xxhash64("words").alias("class"))
+    return found.withColumn("raw", F.xxhash64("s"))
+
+
+def with_words(lines: DataFrame) -> DataFrame:
+    """(doc_id, mark, line, raw, words, class) of lines with words; class is a hash of the words."""
+    split = F.split("s", " ")
+    gaps = (F.instr("s", "  ") > 0) | F.startswith("s", F.lit(" ")) | F.endswith("s", F.lit(" "))
+    found = lines.where(F.trim("s") != "").withColumn("words", F.when(gaps, F.array_remove(split, "")).otherwise(split))
+    return found.select("doc_id", "mark", "line", "raw", "words", F.xxhash64("words").alias("class"))
 
 
 def tokens(words: str) -> Column:
     """Distinct hashes of a line's word 5-grams; the fewer words of a short line are one."""
-    places = F.sequence(F.lit(0), F.greatest(F.size(words) - WORDS, F.lit(0)))
-    return F.array_distinct(F.transform(places, lambda i: F.xxhash64(*[F.get(words, i + k) for k in range(WORDS)])))
+    shifted = [F.slice(words, F.lit(k + 1), F.greatest(F.size(words) - k, F.lit(0))).alias(f"w{k}") for k in range(WORDS)]
+    grams = F.transform(F.arrays_zip(*shifted), lambda x: F.xxhash64(x))
+    return F.array_distinct(F.slice(grams, F.lit(1), F.greatest(F.size(words) - (WORDS - 1), F.lit(1))))
 
 
 def similar(pairs: DataFrame, held: DataFrame, percent: int) -> DataFrame:
@@ -93,10 +101,11 @@ def late_classes(documents: DataFrame, firsts: DataFrame, percent: int) -> DataF
     shared = rows.groupBy("token").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo <> hi").select("token")
     some = rows.join(shared.hint("shuffle_hash"), "token", "left_semi").groupBy("id").agg(F.count("*").alias("n"), F.min("need").alias("need"))
     some = some.where("n >= need").select("id")
-    kept = written(firsts.join(some, "id", "left_semi").select("class", "size", "doc_id", "mark", "line"), "lines")
+    kept = written(firsts.join(some, "id", "left_semi").select("class", "size", "doc_id", "mark", "line", "raw"), "lines")
 
-    wanted = lines_of(documents).where(maybe(members(kept, "class"), "class"))
-    wanted = wanted.join(kept.withColumnRenamed("doc_id", "doc"), ["class", "mark", "line"]).where(F.col("doc_id").eqNullSafe(F.col("doc")))
+    # Other lines are left out before their words are looked at.
+    wanted = with_words(raw_lines(documents).where(maybe(members(kept, "raw"), "raw"))).drop("raw")
+    wanted = wanted.join(kept.drop("raw").withColumnRenamed("doc_id", "doc"), ["class", "mark", "line"]).where(F.col("doc_id").eqNullSafe(F.col("doc")))
     wanted = wanted.dropDuplicates(["class"])  # of repeated rows
     grams = wanted.select(F.col("class").alias("sig"), "size", F.explode(tokens("words")).alias("gram"))
     held = ordered_sets(grams, percent)
@@ -121,14 +130,15 @@ def late_classes(documents: DataFrame, firsts: DataFrame, percent: int) -> DataF
 
 def removed_lines(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
     """(doc_id, mark, gone): the numbers of a document's lines that are removed."""
-    found = lines_of(documents).withColumn("t", tokens("words"))
+    found = with_words(raw_lines(documents)).withColumn("t", tokens("words"))
     size = F.size("t")
     short = F.transform("t", lambda x: x.bitwiseAND(0x7FFFFFFF).cast("int"))
     ahead = size - F.ceil(size * percent / 100) + F.floor(size * AHEAD / 100) + 1
     least = F.slice(F.sort_array(F.array_distinct(short)), 1, ahead.cast("int"))
-    lines = written(found.select("doc_id", "mark", "line", "class", size.cast("long").alias("size"), least.alias("least")), "lines")
+    lines = written(found.select("doc_id", "mark", "line", "raw", "class", size.cast("long").alias("size"), least.alias("least")), "lines")
     place = F.struct("doc_id", "line", "mark")
-    firsts = lines.groupBy("class").agg(F.min(place).alias("f"), F.count("*").alias("n"), F.first("size").alias("size"), F.first("least").alias("least"))
+    first = F.min(F.struct("doc_id", "line", "mark", "raw")).alias("f")
+    firsts = lines.groupBy("class").agg(first, F.count("*").alias("n"), F.first("size").alias("size"), F.first("least").alias("least"))
     firsts = written(firsts.select("class", "f.*", "n", "size", "least").withColumn("id", F.monotonically_increasing_id()), "firsts")
     late = written(late_classes(documents, firsts, percent).withColumn("late", F.lit(True)), "late")
     told = firsts.select("class", place.alias("f"), "n").join(late, "class", "left").where("n > 1 or late")
@@ -149,17 +159,21 @@ def without_lines(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
     gone = removed_lines(own, percent)
     touched = gone.select("doc_id", "mark")
     split = F.split("text", "\n")
-    all_ = documents.withColumn("n_lines", F.coalesce(F.size(split).cast("long"), F.lit(0).cast("long")))
-    all_ = all_.withColumn("n_lines", F.when(F.col("text").isNull(), 0).otherwise(F.col("n_lines")).cast("long"))
-    marked = all_.withColumn("n_removed", F.lit(0).cast("long")).withColumn("_mark", F.xxhash64("text")).withColumn("_doc", F.col("doc_id").cast("long"))
-    told = maybe(members(touched, "doc_id", "mark"), "_doc", "_mark")
-    other = gone.select(F.col("doc_id").alias("_d"), F.col("mark").alias("_m"), "gone")
-    part = marked.where(told).join(other, F.col("_doc").eqNullSafe(F.col("_d")) & (F.col("_mark") == F.col("_m")), "left")
-    kept = F.array_except(F.sequence(F.lit(0), F.size(split) - 1), "gone")
+    all_ = documents.withColumn("n_lines", F.when(F.col("text").isNull(), 0).otherwise(F.size(split)).cast("long"))
+    own, other = free_name([*all_.columns, "n_removed"], "own"), free_name([*all_.columns, "n_removed"], "other")
+    named = F.struct(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.col("text").cast("string")).alias("mark"))
+    marked = all_.withColumn("n_removed", F.lit(0).cast("long")).withColumn(own, named)
+    columns = list(dict.fromkeys([*all_.columns, "n_removed"]))
+    told = maybe(members(touched, "doc_id", "mark"), f"{own}.doc_id", f"{own}.mark")
+    lines = gone.select(F.struct("doc_id", "mark", "gone").alias(other))
+    same = F.col(f"{own}.doc_id").eqNullSafe(F.col(f"{other}.doc_id")) & (F.col(f"{own}.mark") == F.col(f"{other}.mark"))
+    part = marked.where(told).join(lines, same, "left")
+    removed = F.col(f"{other}.gone")
+    kept = F.array_except(F.sequence(F.lit(0), F.size(split) - 1), removed)
     text = F.array_join(F.transform(kept, lambda i: F.get(split, i)), "\n")
-    part = part.withColumn("text", F.when(F.col("gone").isNull(), F.col("text")).otherwise(text))
-    part = part.withColumn("n_removed", F.coalesce(F.when(F.col("gone").isNotNull(), F.size("gone")), F.lit(0)).cast("long"))
-    return part.select(*all_.columns, "n_removed").unionByName(marked.where(~told).select(*all_.columns, "n_removed"))
+    part = part.withColumn("text", F.when(removed.isNull(), F.col("text")).otherwise(text))
+    part = part.withColumn("n_removed", F.when(removed.isNotNull(), F.size(removed)).otherwise(0).cast("long"))
+    return part.select(*columns).unionByName(marked.where(~told).select(*columns))
 
 
 def op5_line_dedup(spark: SparkSession, folder: str) -> DataFrame:

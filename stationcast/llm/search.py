@@ -23,13 +23,15 @@ SHARD_BLOCK = 4096
 FAN_IN = 32
 
 
-def blocks(vectors: DataFrame, rows: int, prefix: str) -> tuple[DataFrame, int]:
-    """Vectors (id, x) in blocks of about so many rows: {prefix}_block, ids and all components."""
-    number = max(1, -(-vectors.count() // rows))
-    block = F.pmod(F.xxhash64("id"), F.lit(number)).cast("int")
-    held = vectors.groupBy(block.alias(f"{prefix}_block")).agg(F.sort_array(F.collect_list(F.struct("id", "x"))).alias("rows"))
+def blocks(vectors: DataFrame, rows: int, prefix: str) -> tuple[DataFrame, DataFrame]:
+    """Vectors (id, x) of a width in blocks of about so many rows: width, {prefix}_block, ids and all components; and (width, number)."""
+    vectors = vectors.withColumn("width", F.size("x"))
+    number = vectors.groupBy("width").agg(F.ceil(F.count("*") / rows).cast("int").alias("number"))
+    block = F.pmod(F.xxhash64("id", "x", *[c for c in vectors.columns if c == "copy"]), "number").cast("int")
+    held = vectors.join(number, "width").groupBy("width", block.alias(f"{prefix}_block"))
+    held = held.agg(F.sort_array(F.collect_list(F.struct("id", "x"))).alias("rows"))
     return held.select(
-        f"{prefix}_block", F.col("rows.id").alias(f"{prefix}_ids"), F.flatten("rows.x").alias(f"{prefix}_x")
+        "width", f"{prefix}_block", F.col("rows.id").alias(f"{prefix}_ids"), F.flatten("rows.x").alias(f"{prefix}_x")
     ), number
 
 
@@ -65,46 +67,40 @@ def top_k(queries: DataFrame, candidates: DataFrame, k: int, query_block: int =
 
     Both sides have columns id (long) and x (array of whole-numbered doubles).  Ties go to the
     smaller id; a candidate with the query's id is left out; fewer than k candidates are all
-    returned.  Vectors of other lengths than the query's don't meet it.  Rows that repeat an id
-    are candidates each; as queries they count once, by the first in order of x.  Scores beyond
+    returned.  Vectors of other lengths than the query's don't meet it, whatever their number.  Rows
+    that repeat an id are candidates each; as queries of a length they count once, by the first in order of x.  Scores beyond
     the range of long are held at its ends.
     """
-    queries = queries.groupBy("id", F.size("x").alias("width")).agg(F.min("x").alias("x"))
-    widths = [r["width"] for r in queries.select("width").distinct().limit(1000).collect()]
-    found = None
-    for width in widths:
-        part = tiles(queries.where(F.col("width") == width), candidates.where(F.size("x") == width), width, k, query_block, shard_block)
-        found = part if found is None else found.union(part)
-    if found is None:
-        return queries.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    return found
-
-
-def tiles(queries: DataFrame, candidates: DataFrame, width: int, k: int, query_block: int, shard_block: int) -> DataFrame:
-    left, _ = blocks(queries.select("id", "x"), query_block, "q")
-    right, shards = blocks(candidates.select("id", "x"), shard_block, "c")
-    left = left.withColumn("c_block", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
+    queries = queries.groupBy("id", F.size("x").alias("width")).agg(F.min("x").alias("x")).select("id", "x")
+    # Of rows that are all alike, k at most can be among the k best.
+    copies = F.sequence(F.lit(1), F.least(F.count("*"), F.lit(k)))
+    candidates = candidates.groupBy("id", "x").agg(copies.alias("copies")).select("id", "x", F.explode("copies").alias("copy"))
+    left, _ = blocks(queries, query_block, "q")
+    right, shards = blocks(candidates, shard_block, "c")
+    left = left.join(shards, "width").withColumn("c_block", F.explode(F.sequence(F.lit(0), F.col("number") - 1))).drop("number")
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
                 row = {c: batch.column(c)[i] for c in batch.schema.names}
                 shape = lambda c: row[c].values.to_numpy(zero_copy_only=False)  # noqa: B023, E731
-                q_ids, c_ids = shape("q_ids"), shape("c_ids")
+                q_ids, c_ids, width = shape("q_ids"), shape("c_ids"), row["width"].as_py()
                 scores = products(shape("q_x").reshape(len(q_ids), width), shape("c_x").reshape(len(c_ids), width))
                 best = [best_of_tile(scores[j], c_ids, q, k) for j, q in enumerate(q_ids)]
                 lists = [[{"score": a, "vec_id": b} for a, b in zip(s.tolist(), v.tolist(), strict=True)] for s, v in best]
                 kind = pa.list_(pa.struct([("score", pa.int64()), ("vec_id", pa.int64())]))
+                n = len(q_ids)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(q_ids), pa.array(np.full(len(q_ids), row["c_block"].as_py(), np.int32)), pa.array(lists, kind)],
-                    names=["query_id", "shard", "best"],
+                    [pa.array(q_ids), pa.array(np.full(n, width, np.int32)), pa.array(np.full(n, row["c_block"].as_py(), np.int32)), pa.array(lists, kind)],
+                    names=["query_id", "width", "shard", "best"],
                 )
 
-    met = left.join(right, "c_block").repartition(F.xxhash64("q_block", "c_block"))
-    lists = met.mapInArrow(search, "query_id long, shard int, best array<struct<score:long,vec_id:long>>")
-    while shards > 1:
-        shards = -(-shards // FAN_IN)
-        lists = lists.groupBy("query_id", F.floor(F.col("shard") / FAN_IN).cast("int").alias("shard"))
+    met = left.join(right, ["width", "c_block"]).repartition(F.xxhash64("width", "q_block", "c_block"))
+    lists = met.mapInArrow(search, "query_id long, width int, shard int, best array<struct<score:long,vec_id:long>>")
+    most = shards.agg(F.max("number")).first()[0] or 0
+    while most > 1:
+        most = -(-most // FAN_IN)
+        lists = lists.groupBy("query_id", "width", F.floor(F.col("shard") / FAN_IN).cast("int").alias("shard"))
         lists = lists.agg(merge(F.flatten(F.collect_list("best")), k).alias("best"))
     out = lists.select("query_id", F.posexplode("best").alias("at", "x"))
     return out.select("query_id", (F.col("at") + 1).cast("int").alias("rank"), F.col("x.vec_id").alias("vec_id"), F.col("x.score").alias("score"))

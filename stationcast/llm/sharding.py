@@ -89,7 +89,9 @@ def shards(df: DataFrame, key: Column, size: Column, number: int = SHARDS, toler
     tables give no rows, null and repeated ones are rows like others.  Columns named shard and
     slot are replaced.
     """
-    rows = df.withColumn("_key", key).withColumn("_size", size).withColumn("_row", F.monotonically_increasing_id())
+    # The rows' own columns are one struct, so that their names don't matter.
+    own = F.struct(*[df[f"`{c}`"] for c in df.columns]).alias("row")
+    rows = df.select(own, key.alias("_key"), size.alias("_size")).withColumn("_row", F.monotonically_increasing_id())
     rows = written(rows, "sized")
     total, count, last = rows.agg(F.sum("_size"), F.count("*"), F.max("_row")).first()
     within = tolerance * (total or 0) / number
@@ -115,7 +117,7 @@ def shards(df: DataFrame, key: Column, size: Column, number: int = SHARDS, toler
     sizes = sizes.select("shard", "_run", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
     numbered = placed.withColumn("_at", F.row_number().over(Window.partitionBy("shard", "_run").orderBy("_key", "_row")))
     out = numbered.join(sizes, ["shard", "_run"]).withColumn("slot", F.col("_before") + F.col("_at") - 1)
-    return out.select(*[c for c in df.columns if c not in ("shard", "slot")], "shard", "slot")
+    return out.select(*[F.col(f"row.`{c}`") for c in df.columns if c.lower() not in ("shard", "slot")], "shard", "slot")
 
 
 def text_key(text: str = "text") -> Column:
