@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stationcast.llm.base import findable, table
+from stationcast.llm.base import findable, free_name, table
 from stationcast.llm.decontamination import clean
 from stationcast.llm.language import fit, held_out, identify
 from stationcast.llm.line_dedup import without_lines
@@ -22,12 +22,16 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     """Keeps the documents that the classifier doesn't reject."""
     findable(spark)
     model = fit(docs.select("doc_id", "text", "lang").where(~held_out()))
-    return identify(docs, model, docs.columns).where("not _language.rejected").drop("_language")
+    name = free_name(docs.columns, "language")
+    return identify(docs, model, docs.columns, name).where(~F.col(f"{name}.rejected")).drop(name)
 
 
 def distinct_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Removes lines that repeat earlier ones; documents that have none left go."""
-    found = without_lines(docs).where("n_removed < n_lines").select(docs.columns)
+    rest = [c for c in docs.columns if c not in ("doc_id", "text")]
+    own = docs.select("doc_id", "text", F.struct(F.lit(0), *[docs[f"`{c}`"] for c in rest]).alias("rest"))
+    found = without_lines(own).where("n_removed < n_lines")
+    found = found.select(*[F.col(c if c in ("doc_id", "text") else f"rest.`{c}`") for c in docs.columns])
     return found.withColumn("n_chars", F.char_length("text").cast("long")) if "n_chars" in docs.columns else found
 
 
@@ -38,10 +42,11 @@ def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     under one doc_id, or under none, are documents of their own.  Only rows equal in both are one.
     """
     findable(spark)
-    gone = later_copies(docs, n=5, percent=80).withColumnsRenamed({"doc_id": "_doc", "mark": "_gone"})
-    rows = docs.withColumn("_mark", F.xxhash64("text"))
-    kept = rows.join(gone, rows["doc_id"].eqNullSafe(gone["_doc"]) & (rows["_mark"] == gone["_gone"]), "left_anti")
-    return kept.dropDuplicates(["doc_id", "_mark"]).drop("_mark")
+    gone = later_copies(docs.select("doc_id", "text"), n=5, percent=80)
+    name = free_name(docs.columns, "mark")
+    rows = docs.withColumn(name, F.xxhash64("text"))
+    kept = rows.join(gone, rows["doc_id"].eqNullSafe(gone["doc_id"]) & (rows[name] == gone["mark"]), "left_anti")
+    return kept.dropDuplicates(["doc_id", name]).drop(name)
 
 
 def no_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -64,7 +69,7 @@ STAGES = [
     ("packing", sequences),
 ]
 
-#: Classification and packing can't be stated in SQL; tests hold the stages against brute force.
+#: Classification and packing can't be stated in SQL; tests hold the stages against plain versions.
 ORACLE_SQL = None
 
 
