@@ -14,7 +14,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .base import mixed, row_blocks, table, text_buffer
@@ -132,17 +132,21 @@ def clustered(vectors: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
 def fit(documents: DataFrame, centroids: int = CENTROIDS, sample: int = SAMPLE) -> Model:
     """Learn from rows of text, lang and doc_id; null langs and texts without letters are left out.
 
-    Document frequencies come from all rows.  The vectors that are clustered are those of a
-    sample of about ``sample`` rows per language, by hash of doc_id.
+    Document frequencies come from all rows.  The vectors that are clustered are those of
+    ``sample`` rows per language, the least by a hash of doc_id and text, whatever the
+    partitions.  One pass draws them for all languages; each language is clustered in a task of
+    its own, which holds its sample, and only centroids come to the driver.
     """
-    rows = documents.where("lang is not null and text is not null")
+    rows = documents.where("lang is not null and text is not null").select("lang", "text", F.xxhash64("doc_id", "text").alias("place"))
     have, n = training_counts(rows)
     idf = np.log((1 + n) / (1 + have)) + 1
     sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
-    parts = [
-        rows.where((F.col("lang") == lang) & (F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < min(1 << 20, sample * (1 << 20) // size + 1))).limit(2 * sample)
-        for lang, size in sizes.items()
-    ]
+    if not sizes:
+        return Model([], np.zeros((0, DIMENSIONS)), idf, 0.0)
+    # Somewhat more than the sample by a share of the hashes, then the least of them.
+    share = {lang: min(1 << 20, sample * 3 * (1 << 19) // size + 64) for lang, size in sizes.items()}
+    shares = F.create_map(*[F.lit(x) for pair in share.items() for x in pair])
+    drawn = rows.where(F.pmod("place", F.lit(1 << 20)) < F.element_at(shares, F.col("lang")))
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = Counter()
@@ -151,21 +155,22 @@ def fit(documents: DataFrame, centroids: int = CENTROIDS, sample: int = SAMPLE)
                 part = batch.slice(i, 64)
                 found = [counter.counts(t.as_py()) for t in part.column("text")]
                 data = [weighted(c, idf).astype(np.float32).tobytes() if lettered else None for c, lettered in found]
-                yield pa.RecordBatch.from_arrays([part.column("lang"), pa.array(data, pa.binary())], names=["lang", "vector"])
-
-    held: dict[str, list] = {lang: [] for lang in sizes}
-    for lang, part in zip(sizes, parts, strict=True):
-        for row in part.select("lang", "text").mapInArrow(vectors, "lang string, vector binary").toLocalIterator():
-            if row["vector"] is not None:
-                held[lang].append(np.frombuffer(row["vector"], dtype=np.float32))
-    languages, found, lowest = [], [], []
-    for lang in sorted(held):
-        if held[lang]:
-            data = np.array(held[lang])
-            centers = clustered(data, centroids)
-            languages += [lang] * len(centers)
-            found.append(centers)
-            lowest.append(float(np.quantile((data @ centers.T).max(axis=1), 0.001)))
+                yield pa.RecordBatch.from_arrays([part.column("lang"), part.column("place"), pa.array(data, pa.binary())], names=["lang", "place", "vector"])
+
+    def cluster(held: pa.Table) -> pa.Table:
+        held = held.sort_by("place")
+        data = np.frombuffer(b"".join(held.column("vector").to_pylist()), dtype=np.float32).reshape(held.num_rows, -1)
+        centers = clustered(data, centroids)
+        lowest = float(np.quantile((data @ centers.T).max(axis=1), 0.001))
+        return pa.table({"lang": [held.column("lang")[0].as_py()] * len(centers), "center": [c.tobytes() for c in centers.astype(np.float64)], "lowest": [lowest] * len(centers)})
+
+    # By share, then by the whole hash, as the share looks at its last bits alone.
+    order = [F.pmod("place", F.lit(1 << 20)), F.col("place")]
+    lettered = drawn.mapInArrow(vectors, "lang string, place long, vector binary").where("vector is not null")
+    least = lettered.withColumn("at", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).where(F.col("at") <= sample).drop("at")
+    rows = least.groupBy("lang").applyInArrow(cluster, "lang string, center binary, lowest double").collect()
+    rows = sorted(rows, key=lambda r: r["lang"])  # ties go to the language first in order
+    languages, found, lowest = [r["lang"] for r in rows], [np.frombuffer(r["center"])[None] for r in rows], [r["lowest"] for r in rows]
     if not found:
         return Model([], np.zeros((0, DIMENSIONS)), idf, 0.0)
     return Model(languages, np.concatenate(found), idf, REJECT * min(lowest))

@@ -3,6 +3,7 @@
 import corpus_pipeline
 import pytest
 from oracle import compare, connect
+from stationcast.llm.language import fit, held_out, identify
 from stationcast.llm.queries import ORACLES, QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
@@ -32,3 +33,18 @@ def test_pipeline(spark):
     assert documents.count() >= kept[0] >= kept[1] >= kept[2] >= kept[3] > 0
     rows = corpus_pipeline.run(spark, FOLDER)
     assert {r.doc_id for r in rows.select("doc_id").collect()} == {r.doc_id for r in docs.select("doc_id").collect()}
+
+
+def test_language_model_is_the_same_for_any_partitions(spark):
+    documents = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    models = [fit(documents.repartition(n).where(~held_out()), sample=20) for n in (1, 5)]
+    assert models[0].languages == models[1].languages and models[0].floor == models[1].floor
+    assert (models[0].centroids == models[1].centroids).all()
+
+
+def test_rejected_documents_are_shown(spark):
+    found = QUERIES["op6_language_id"](spark, FOLDER)
+    assert {r.rejected for r in found.where("lang_pred = 'und'").collect()} <= {True}
+    model = fit(spark.read.parquet(f"{FOLDER}/documents.parquet"))
+    odd = spark.createDataFrame([(1, "zq xj qz jx " * 30), (2, ""), (3, None)], "doc_id long, text string")
+    assert [r["_language"].rejected for r in identify(odd, model, ["doc_id"]).orderBy("doc_id").collect()] == [True, True, True]
