@@ -4,8 +4,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.cells import nearest_cells, ravel, unravel
-from ..operators.points import extract_points, select_fields
-from ..plans.forecasts import model_forecast, ndfd_forecast, pair_files
+from ..operators.points import extract_points, select_fields, with_init_time
+from ..plans.forecasts import model_forecast, ndfd_forecast, pair_files, with_run_intervals
 from ..rules import PERCENTILES
 from ..session import written
 from . import query, table
@@ -201,21 +201,90 @@ FROM totals t LEFT JOIN earlier e USING (station_id, init_time, valid_time)""",
 )
 def precip_intervals(spark: SparkSession, folder: str) -> DataFrame:
     """Six-hour amounts from run totals; one run per year of ship dates."""
+    values = run_values(spark, folder, "tp", F.col("l_extendedprice") / 100)
+    return model_forecast(values, station_cells(spark, folder), "hrrr", "precip6hr")
+
+
+RUNS_SQL = """
+fields AS (
+  SELECT l_partkey, date_trunc('year', l_shipdate) AS init_time, CAST(6 * l_linenumber AS INTEGER) AS fh,
+         arg_min({value}, l_suppkey * 1000000000 + l_orderkey) AS value
+  FROM lineitem GROUP BY 1, 2, 3),
+totals AS (
+  SELECT c.station_id, init_time, init_time + fh * INTERVAL 1 HOUR AS valid_time, fh AS forecast_hour, {total} AS {name}
+  FROM fields JOIN cells c ON c.flat = l_partkey),
+earlier AS (SELECT station_id, init_time, valid_time + INTERVAL 6 HOURS AS valid_time, max({name}) AS before
+            FROM totals GROUP BY ALL)
+SELECT t.*, CASE WHEN {name} - before < 0 THEN 0.0
+                 ELSE round_even(({name} - before) * 100.0::DOUBLE, 0) / 100.0::DOUBLE END AS {out}
+FROM totals t LEFT JOIN earlier e USING (station_id, init_time, valid_time)"""
+
+
+def run_values(spark: SparkSession, folder: str, variable: str, value: Column) -> DataFrame:
+    """One field per year of ship dates and lead."""
     lead = F.col("l_linenumber") * 6
     year = F.date_trunc("year", "l_shipdate")
-    values = table(spark, folder, "lineitem").select(
+    return table(spark, folder, "lineitem").select(
         F.concat_ws("f", grid_of(F.col("l_partkey")), F.date_format(year, "yyyy"), lead.cast("string")).alias("file"),
         grid_of(F.col("l_partkey")).alias("grid_id"),
         F.col("l_partkey").alias("flat"),
         lead.cast("int").alias("forecast_hour"),
         (year + F.make_dt_interval(F.lit(0), lead.cast("int"))).alias("valid_time"),
-        F.inline(
-            F.array(
-                message(F.col("l_suppkey") * 1000000000 + F.col("l_orderkey"), "tp", F.col("l_extendedprice") / 100)
-            )
-        ),
+        F.inline(F.array(message(F.col("l_suppkey") * 1000000000 + F.col("l_orderkey"), variable, value))),
     )
-    return model_forecast(values, station_cells(spark, folder), "hrrr", "precip6hr")
+
+
+@query(
+    "model_snow_intervals",
+    f"WITH {CELLS}, "
+    + RUNS_SQL.format(value="l_quantity / 100", total="round_even(value * 39.3701::DOUBLE, 1)", name="snow_accum", out="snow_6h"),
+)
+def snow_intervals(spark: SparkSession, folder: str) -> DataFrame:
+    """Six-hour snow from run totals."""
+    values = run_values(spark, folder, "unknown", F.col("l_quantity") / 100)
+    return model_forecast(values, station_cells(spark, folder), "hrrr", "snow6hr")
+
+
+@query(
+    "run_totals_other_name",
+    f"WITH {CELLS}, " + RUNS_SQL.format(value="l_extendedprice / 100", total="value", name="tp_total", out="precip_6h"),
+)
+def totals_other_name(spark: SparkSession, folder: str) -> DataFrame:
+    """Amounts from a run total that goes by another of its names."""
+    values = run_values(spark, folder, "tp", F.col("l_extendedprice") / 100)
+    points = with_init_time(extract_points(values, station_cells(spark, folder)))
+    keys = ["station_id", "init_time", "valid_time", "forecast_hour"]
+    rows = points.groupBy("file", *keys).agg(F.min_by("value", "msg_no").alias("tp_total")).drop("file")
+    return with_run_intervals(rows, "hrrr", "precip6hr")
+
+
+@query(
+    "model_urma_wind",
+    f"""WITH {CELLS}, lines AS (
+  SELECT *, date_trunc('day', l_shipdate) AS init_time,
+         row_number() OVER (PARTITION BY l_orderkey, l_linenumber, l_partkey, date_trunc('day', l_shipdate)
+                            ORDER BY l_suppkey) AS rn FROM lineitem WHERE l_returnflag <> 'A')
+SELECT c.station_id, init_time, init_time AS valid_time, 0 AS forecast_hour,
+       round_even(l_quantity * 1.94384::DOUBLE, 2) AS wind_speed_kt, round_even(l_extendedprice / 7 % 360, 0) AS wind_dir_deg,
+       round_even(l_quantity * 2 * 1.94384::DOUBLE, 2) AS wind_gust_kt
+FROM lines JOIN cells c ON c.flat = l_partkey WHERE rn = 1""",
+)
+def urma_wind(spark: SparkSession, folder: str) -> DataFrame:
+    """Analyses: fields 10 m above ground at an instant; others of the same variables are left out."""
+    values = field_values(
+        spark,
+        folder,
+        message(message_number(0), "si10", F.col("l_quantity")),
+        message(message_number(1), "wdir10", F.pmod(F.col("l_extendedprice") / 7, F.lit(360.0))),
+        message(message_number(2), "i10fg", F.col("l_quantity") * 2),
+        lead=F.lit(0),
+        file=F.concat_ws("/", line_file(), "l_returnflag"),
+    )
+    high = F.endswith("file", F.lit("/A"))
+    values = values.withColumns(
+        {"level_type": F.lit("heightAboveGround"), "step_type": F.lit("instant"), "level": F.when(high, 80).otherwise(10)}
+    )
+    return model_forecast(values, station_cells(spark, folder), "urma", "Wind")
 
 
 def percentile_sql(value: str, prefix: str, digits: int) -> str:

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from .. import rules
 from ..functions import names, times
 from ..operators import manifest
+from ..session import scratch_folder
+from ..sources import files
 from . import query, table
 
 BASE = "https://example.org/hrrr"
@@ -250,4 +252,49 @@ def valid_requests(spark: SparkSession, folder: str) -> DataFrame:
         .otherwise("Fog")
         .alias("element"),
     )
-    return requests.join(rules.element_table(spark), ["model", "element"], "left_semi")
+    return rules.valid_requests(requests)
+
+
+@query(
+    "valid_run_hours",
+    """SELECT event_id, model, element, run_hour FROM (
+  SELECT event_id, CAST(hour(ts) AS INTEGER) AS run_hour,
+         CASE event_type WHEN 'view' THEN 'nbm' WHEN 'click' THEN 'nbmqmd' WHEN 'purchase' THEN 'hrrr' WHEN 'signup' THEN 'urma' ELSE 'none' END AS model,
+         CASE WHEN event_type = 'click' THEN 'maxt' WHEN user_id % 2 = 0 THEN 'Wind' ELSE 'precip6hr' END AS element FROM events)
+WHERE (model = 'nbm' AND element = 'Wind' AND run_hour IN (1, 7, 13, 19)) OR (model = 'nbmqmd' AND run_hour IN (0, 6, 12, 18))
+   OR model = 'hrrr' OR (model = 'urma' AND element = 'Wind')""",
+)
+def valid_run_hours(spark: SparkSession, folder: str) -> DataFrame:
+    """Requests for elements that the model has, at hours at which it runs."""
+    kind = F.col("event_type")
+    requests = table(spark, folder, "events").select(
+        "event_id",
+        F.when(kind == "view", "nbm").when(kind == "click", "nbmqmd").when(kind == "purchase", "hrrr").when(kind == "signup", "urma").otherwise("none").alias("model"),
+        F.when(kind == "click", "maxt").when(F.col("user_id") % 2 == 0, "Wind").otherwise("precip6hr").alias("element"),
+        F.hour("ts").alias("run_hour"),
+    )
+    return rules.valid_requests(requests, run_hour="run_hour")
+
+
+@query(
+    "inventory_files",
+    """WITH lines AS (
+  SELECT doc_id, coalesce(source, 'none') AS source, doc_id // 500 AS part, doc_id || ':' || coalesce(length(text), 0) || ':WIND:' || coalesce(lang, '') AS line FROM documents)
+SELECT source, CAST(part AS INTEGER) AS part, CAST(row_number() OVER (PARTITION BY source, part ORDER BY doc_id) AS INTEGER) AS line_no, line FROM lines""",
+)
+def inventory_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Inventories written as files, one per source and 500 documents, and read back line by line."""
+    root = scratch_folder(spark, "inventories")
+    line = F.concat_ws(":", "doc_id", F.coalesce(F.length("text"), F.lit(0)), F.lit("WIND"), F.coalesce("lang", F.lit("")))
+    lines = table(spark, folder, "documents").select(
+        F.coalesce("source", F.lit("none")).alias("source"), F.floor(F.col("doc_id") / 500).alias("part"), "doc_id", line.alias("value")
+    )
+    placed = lines.repartition("source", "part").sortWithinPartitions("source", "part", "doc_id").drop("doc_id")
+    placed.write.partitionBy("source", "part").text(root)
+    read = files.read_inventories(spark, root, ".txt").select("file", F.posexplode("lines").alias("at", "line"))
+    return read.select(
+        F.regexp_extract("file", "/source=([^/]*)/", 1).alias("source"),
+        F.regexp_extract("file", "/part=([0-9]+)/", 1).cast("int").alias("part"),
+        (F.col("at") + 1).cast("int").alias("line_no"),
+        "line",
+    )

@@ -63,6 +63,19 @@ def tmax(spark: SparkSession, folder: str) -> DataFrame:
     return daily_extreme(temperatures(spark, folder), TMAX_12_TO_06)
 
 
+@query(
+    "extremes_in_order",
+    f"""WITH {TEMPS_SQL}, days AS (
+  SELECT stid, date_trunc('day', valid_time - INTERVAL 12 HOURS) AS date, max(temp) AS tmax FROM temps
+  WHERE hour(valid_time) >= 12 OR hour(valid_time) < 6 GROUP BY stid, 2)
+SELECT stid, date, tmax FROM days ORDER BY stid, date LIMIT 300""",
+)
+def extremes_in_order(spark: SparkSession, folder: str) -> DataFrame:
+    """The first rows of the archive of extremes, which is ordered by station and day."""
+    days = daily_extreme(temperatures(spark, folder), TMAX_12_TO_06).select("stid", "date", "tmax")
+    return days.orderBy("stid", "date").limit(300)
+
+
 @query(
     "tmin_00_to_18",
     extreme_sql(

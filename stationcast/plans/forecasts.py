@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from .. import rules
 from ..functions import units
-from ..operators.accumulate import interval_from_total
+from ..operators.accumulate import first_present, interval_from_total
 from ..operators.asof import asof_nearest
 from ..operators.points import (
     extract_points,
@@ -44,11 +44,18 @@ def model_forecast(values: DataFrame, station_cells: DataFrame, model: str, elem
     rows = variable_columns(points, columns, ["file", *RUN_KEYS]).drop("file")
     if model == "hrrr" and element == "Wind":
         rows = wind_from_components(rows)
-    if (model, element) in rules.INTERVALS:
-        # The difference reads its input twice; the fields must not be.
-        total, interval, span = rules.INTERVALS[model, element]
-        rows = interval_from_total(written(rows, "totals"), total=total, out=interval, interval_hours=span)
-    return rows
+    return with_run_intervals(rows, model, element)
+
+
+def with_run_intervals(rows: DataFrame, model: str, element: str) -> DataFrame:
+    """Add the amounts over an interval to rows with a run total, under whichever of its names
+    the rows have; rows of other elements, or without a total, stay as they are."""
+    total = first_present(rows, rules.TOTAL_NAMES.get((model, element), []))
+    if total is None:
+        return rows
+    # The difference reads its input twice; the fields must not be.
+    interval, span = rules.INTERVALS[model, element]
+    return interval_from_total(written(rows, "totals"), total=total, out=interval, interval_hours=span)
 
 
 def wind_from_components(rows: DataFrame) -> DataFrame:

@@ -190,10 +190,16 @@ COLUMNS: dict[tuple[str, str], list[ColumnRule]] = {
     ("hrrr", "snow6hr"): [ColumnRule("unknown", "snow_accum", factor=_M, digits=1)],
 }
 
-# Run totals that are also differenced into interval amounts: (total, interval, hours).
+# Run totals that are also differenced into interval amounts: (interval, hours).
 INTERVALS = {
-    ("hrrr", "precip6hr"): ("precip_accum", "precip_6h", 6),
-    ("hrrr", "snow6hr"): ("snow_accum", "snow_6h", 6),
+    ("hrrr", "precip6hr"): ("precip_6h", 6),
+    ("hrrr", "snow6hr"): ("snow_6h", 6),
+}
+
+# Names that a run total may have, in the order in which they are looked for.
+TOTAL_NAMES = {
+    ("hrrr", "precip6hr"): ["precip_accum", "total_precip", "precip_total", "tp_total", "APCP_total"],
+    ("hrrr", "snow6hr"): ["snow_accum", "total_snow", "snow_total", "tp_total", "ASNOW_total"],
 }
 
 # Percentile elements, column prefix and conversion; one column per percentile.
@@ -242,3 +248,21 @@ def element_table(spark: SparkSession) -> DataFrame:
         [(model, element) for model, elements in ELEMENTS.items() for element in elements],
         "model string, element string",
     )
+
+
+def run_hour_table(spark: SparkSession) -> DataFrame:
+    """The allowed (model, run_hour) pairs as rows; models without fixed hours may run at any."""
+    return spark.createDataFrame(
+        [(model, hour) for model in ELEMENTS for hour in RUN_HOURS.get(model, range(24))], "model string, run_hour int"
+    )
+
+
+def valid_requests(requests: DataFrame, *, run_hour: str | None = None) -> DataFrame:
+    """The requests (model, element, …) for elements that the model has, at hours at which it runs."""
+    spark = requests.sparkSession
+    found = requests.join(element_table(spark), ["model", "element"], "left_semi")
+    if run_hour is None:
+        return found
+    hours = run_hour_table(spark).withColumnRenamed("model", "_model")
+    same = (found["model"] == hours["_model"]) & (found[run_hour] == hours["run_hour"])
+    return found.join(hours, same, "left_semi")

@@ -42,11 +42,14 @@ def local_session(cores: str = "*", name: str = "stationcast", settings: dict[st
 def scratch_folder(spark: SparkSession, name: str) -> str:
     """A new folder that driver and executors share.
 
-    It lies below ``spark.checkpoint.dir``; where that is unset, below the warehouse, which
-    every executor of a session writes to as well.
+    It lies below ``spark.checkpoint.dir``.  Where that is unset, a session on one machine
+    uses its warehouse; on a cluster there is no folder that all are known to share.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
     return f"{root.rstrip('/')}/stationcast/{name}-{uuid.uuid4().hex}"
 

@@ -280,3 +280,21 @@ def test_chunk_assignment(spark):
     rows = spark.createDataFrame([(datetime(2025, 1, 1),), (datetime(2025, 2, 1),), (datetime(2025, 2, 15),)], "t timestamp")
     out = manifest.assign_chunks(rows, chunks, "t").orderBy("t").collect()
     assert [(r.t.day, r.archive_month) for r in out] == [(1, 1), (15, 2)]
+
+
+def test_run_intervals_under_any_name_of_the_total(spark):
+    start = datetime(2025, 1, 1)
+    rows = [("A", start, start + timedelta(hours=h), h, v) for h, v in ((0, 0.0), (6, 1.5), (12, 1.25))]
+    for name in ("precip_accum", "APCP_total"):
+        df = spark.createDataFrame(rows, f"station_id string, init_time timestamp, valid_time timestamp, forecast_hour int, {name} double")
+        found = forecasts.with_run_intervals(df, "hrrr", "precip6hr").orderBy("forecast_hour").collect()
+        assert [r.precip_6h for r in found] == [None, 1.5, 0.0]
+    assert forecasts.with_run_intervals(df.withColumnRenamed("APCP_total", "amount"), "hrrr", "precip6hr").columns[-1] == "amount"
+    assert forecasts.with_run_intervals(df, "nbm", "Wind").columns == df.columns
+
+
+def test_requests_at_hours_at_which_the_model_runs(spark):
+    rows = [("nbm", "Wind", 1), ("nbm", "Wind", 2), ("nbm", "Fog", 1), ("hrrr", "Wind", 2), ("urma", "Wind", None), ("other", "Wind", 1)]
+    requests = spark.createDataFrame(rows, "model string, element string, hour int")
+    assert sorted((r.model, r.hour) for r in rules.valid_requests(requests, run_hour="hour").collect()) == [("hrrr", 2), ("nbm", 1)]
+    assert rules.valid_requests(requests).count() == 4
