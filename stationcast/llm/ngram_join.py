@@ -178,35 +178,50 @@ def near(percent: int) -> F.Column:
     return sizes & ((100 + percent) * (before + rest) >= percent * (F.col("x.size") + F.col("y.size")))
 
 
-def verified(pairs: DataFrame, frags: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) whose overlaps, summed over the fragments, meet the threshold."""
+def overlaps(pairs: DataFrame, frags: DataFrame) -> DataFrame:
+    """(a, b, m, n, k): sizes of the sets of pairs, and their overlaps, summed over the fragments."""
     left = frags.select(F.col("sig").alias("a"), F.col("size").alias("m"), "frag", F.col("grams").alias("ours"))
     right = frags.select(F.col("sig").alias("b"), F.col("size").alias("n"), "frag", F.col("grams").alias("theirs"))
     parts = pairs.join(left, "a").join(right, ["b", "frag"])
     parts = parts.select("a", "b", "m", "n", F.size(F.array_intersect("ours", "theirs")).alias("k"))
-    total = parts.groupBy("a", "b").agg(F.sum("k").alias("k"), F.first("m").alias("m"), F.first("n").alias("n"))
-    return total.where(100 * F.col("k") >= percent * (F.col("m") + F.col("n") - F.col("k"))).select("a", "b")
+    return parts.groupBy("a", "b").agg(F.sum("k").alias("k"), F.first("m").alias("m"), F.first("n").alias("n"))
+
+
+def linking(found: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) whose overlaps meet the threshold."""
+    return found.where(100 * F.col("k") >= percent * (F.col("m") + F.col("n") - F.col("k"))).select("a", "b")
 
 
 def linked_classes(frags: DataFrame, heads: DataFrame, percent: int) -> DataFrame:
-    """Classes (node, root) of all links, found from as many links as give the same classes."""
+    """Classes (node, root) of all links, found from as many links as give the same classes.
+
+    First, every set is compared with the center of each of its first n-grams.  Then sets of
+    different classes that share an n-gram are, but for those that their distances to its
+    center tell apart: the Jaccard distance is a metric, so sets whose distances to the center
+    differ by more than links may be long can't link.
+    """
     heads = written(heads, "heads")
     center = heads.groupBy("gram").agg(F.min(F.struct("alone", "sig", "size", "at")).alias("y"), F.count("*").alias("df")).where("df > 1")
+    center = written(center.select("gram", "y"), "centers")
     stars = heads.alias("x").join(center.select("gram", "y.*").alias("y"), "gram").where("x.sig <> y.sig").where(near(percent))
     stars = stars.select(F.greatest("x.sig", "y.sig").alias("a"), F.least("x.sig", "y.sig").alias("b")).distinct()
-    stars = written(stars, "stars")
-    linked = written(verified(stars, frags, percent), "links")
+    known = written(overlaps(stars, frags), "known")
+    linked = written(linking(known, percent), "links")
     of = classes(linked)
     heads = heads.join(of.withColumnRenamed("node", "sig"), "sig", "left").withColumn("root", F.coalesce("root", "sig"))
     counts = heads.groupBy("gram", "root").agg(F.count("*").alias("n"))
     mixed = counts.groupBy("gram").agg(F.max_by("root", F.struct("n", "root")).alias("top"), F.count("*").alias("k")).where("k > 1")
-    heads = written(heads.join(mixed.select("gram", "top"), "gram"), "mixed")
+    heads = heads.join(mixed.select("gram", "top"), "gram").join(center.select("gram", F.col("y.sig").alias("center")), "gram")
+    distance = known.select("a", "b", (1 - F.col("k") / (F.col("m") + F.col("n") - F.col("k"))).alias("known"))
+    heads = heads.withColumns({"a": F.greatest("sig", "center"), "b": F.least("sig", "center")}).join(distance, ["a", "b"], "left")
+    heads = written(heads.select("gram", "sig", "size", "at", "root", "top", F.when(F.col("sig") == F.col("center"), 0.0).otherwise(F.col("known")).alias("away")), "mixed")
     # Every pair of different classes has a side outside the n-gram's largest class.
     x, y = heads.where("root <> top").alias("x"), heads.alias("y")
-    cross = x.join(y, "gram").where("x.root <> y.root and (y.root = y.top or x.sig > y.sig)").where(near(percent))
+    apart = F.coalesce(F.abs(F.col("x.away") - F.col("y.away")), F.lit(0.0)) > 1 - percent / 100 + 1e-9
+    cross = x.join(y, (F.col("x.gram") == F.col("y.gram")) & ~apart & near(percent) & F.expr("x.root <> y.root and (y.root = y.top or x.sig > y.sig)"))
     cross = cross.select(F.greatest("x.sig", "y.sig").alias("a"), F.least("x.sig", "y.sig").alias("b")).distinct()
-    cross = cross.join(stars, ["a", "b"], "left_anti")
-    cross = written(verified(cross, frags, percent), "links")
+    cross = cross.join(known.select("a", "b"), ["a", "b"], "left_anti")
+    cross = written(linking(overlaps(cross, frags), percent), "links")
     return of if cross.isEmpty() else classes(linked.union(cross))
 
 
