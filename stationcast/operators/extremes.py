@@ -55,6 +55,10 @@ def daily_extreme(
 
     ``first_day`` and ``last_day`` bound the anchor day, both inclusive.  A window
     whose temperatures are all missing still yields a row, with a null extreme.
+
+    Reports are first combined per day and set of attributes, of which a station has one
+    as a rule.  Times and temperatures are of fixed width, so this is done by hashing, in
+    each task before the shuffle; only the few sets of a day are then compared in order.
     """
     if first_day and last_day and last_day < first_day:
         raise ValueError("last_day is before first_day")
@@ -66,12 +70,12 @@ def daily_extreme(
         inside = inside.where(F.col(time) < F.lit(last_day) + hours(window.start + 24))
     extreme = F.max if window.largest else F.min
     day = F.date_trunc("day", start).cast(temps.schema[time].dataType)
+    sets = inside.groupBy(station, day.alias("date"), *attributes).agg(
+        extreme(to_number(F.col(value))).alias(window.column), F.min(time).alias("_first")
+    )
     return (
-        inside.groupBy(station, day.alias("date"))
-        .agg(
-            extreme(to_number(F.col(value))).alias(window.column),
-            *[first_known(c, time).alias(c) for c in attributes],
-        )
+        sets.groupBy(station, "date")
+        .agg(extreme(window.column).alias(window.column), *[first_known(c, "_first").alias(c) for c in attributes])
         .select(
             station,
             *[c for c in attributes if not c.startswith("NWS")],
