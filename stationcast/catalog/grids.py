@@ -3,11 +3,12 @@
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.cells import nearest_cells, ravel, unravel
+from ..operators.cells import locate, nearest_cells, ravel, unravel, write_index
 from ..operators.points import extract_points, select_fields, with_init_time
 from ..plans.forecasts import model_forecast, ndfd_forecast, pair_files, with_run_intervals
 from ..rules import PERCENTILES
-from ..session import written
+from ..session import scratch_folder, written
+from ..sources import fields
 from . import query, table
 
 
@@ -70,6 +71,19 @@ def euclidean(spark: SparkSession, folder: str) -> DataFrame:
     return cells.withColumn("distance", F.round("distance", 9))
 
 
+@query(
+    "cells_from_index",
+    f"""WITH {CELLS_SQL.format(distance=CHEBYSHEV)}
+SELECT 'chebyshev' AS metric, * FROM cells
+UNION ALL SELECT 'euclidean', * FROM (WITH {CELLS_SQL.format(distance=EUCLIDEAN)} SELECT grid_id, station_id, flat, round(distance, 9) FROM cells)""",
+)
+def from_index(spark: SparkSession, folder: str) -> DataFrame:
+    """Two lookups in the stored tiles of one grid."""
+    index = write_index(grid(spark, folder), scratch_folder(spark, "tiles"))
+    found = [locate(index, stations(spark, folder), metric=m).withColumn("metric", F.lit(m)) for m in ("chebyshev", "euclidean")]
+    return found[0].unionByName(found[1].withColumn("distance", F.round("distance", 9)))
+
+
 def station_cells(spark: SparkSession, folder: str) -> DataFrame:
     """The nearest cells as a written table, as an archive run keeps them."""
     return written(nearest_cells(grid(spark, folder), stations(spark, folder)), "cells")
@@ -86,16 +100,33 @@ FROM lineitem JOIN cells c ON c.flat = l_partkey""",
 )
 def points(spark: SparkSession, folder: str) -> DataFrame:
     """Field values (line items) at the stations' cells."""
-    values = table(spark, folder, "lineitem").select(
+    return extract_points(line_values(spark, folder), station_cells(spark, folder)).select(*POINT_COLUMNS)
+
+
+POINT_COLUMNS = ["l_orderkey", "l_linenumber", "station_id", "grid_id", "flat", "value"]
+
+
+def line_values(spark: SparkSession, folder: str) -> DataFrame:
+    return table(spark, folder, "lineitem").select(
         "l_orderkey",
         "l_linenumber",
         grid_of(F.col("l_partkey")).alias("grid_id"),
         F.col("l_partkey").alias("flat"),
         F.col("l_extendedprice").alias("value"),
     )
-    return extract_points(values, station_cells(spark, folder)).select(
-        "l_orderkey", "l_linenumber", "station_id", "grid_id", "flat", "value"
-    )
+
+
+@query(
+    "extract_points_stored",
+    f"""WITH {CELLS}
+SELECT l_orderkey, l_linenumber, c.station_id, c.grid_id, c.flat, l_extendedprice AS value
+FROM lineitem JOIN cells c ON c.flat = l_partkey""",
+)
+def stored_points(spark: SparkSession, folder: str) -> DataFrame:
+    """The same from fields that are stored in the order of their cells, 64 to a row of the grid."""
+    path = scratch_folder(spark, "fields")
+    fields.write_fields(line_values(spark, folder), path, nx=64)
+    return fields.extract_stored(spark, path, station_cells(spark, folder), nx=64).select(*POINT_COLUMNS)
 
 
 def field_values(spark: SparkSession, folder: str, *fields: Column, lead: Column, file: Column) -> DataFrame:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.units import normalise_grid_longitude, wrap_longitude
@@ -22,6 +24,39 @@ def ravel(iy: Column, ix: Column, nx: Column) -> Column:
     return iy * nx + ix
 
 
+@dataclass(frozen=True)
+class CellIndex:
+    """Cells with their finest tile, and per level the occupied tiles with the extent of their cells."""
+
+    cells: DataFrame
+    tiles: dict[int, DataFrame]
+
+
+def write_index(grid: DataFrame, path: str, levels: tuple[int, ...] = LEVELS) -> CellIndex:
+    """Write the tile pyramid of grids, once, for any number of lookups.
+
+    Cells lie in ranges of (grid, tile), in order, so that a lookup joins sorted files whose
+    statistics tell which tiles they hold.  Each level is aggregated from the next finer one as
+    written, so the grid is read once.  ``path`` must not exist.
+    """
+    order = ["grid_id", "ty", "tx"]
+    placed = _candidates(grid).select("grid_id", "flat", "lat", "lon", *_tile_of(levels[-1]))
+    placed.repartitionByRange(*order).sortWithinPartitions(*order, "flat").write.parquet(f"{path}/cells")
+    spark = grid.sparkSession
+    cells = spark.read.schema(placed.schema).parquet(f"{path}/cells")
+    finer = None
+    for level in levels[::-1]:
+        tiles = _finest(cells) if finer is None else _merged(spark.read.parquet(f"{path}/tiles/{finer}"), level - finer)
+        tiles.write.parquet(f"{path}/tiles/{level}")
+        finer = level
+    return read_index(spark, path, levels)
+
+
+def read_index(spark: SparkSession, path: str, levels: tuple[int, ...] = LEVELS) -> CellIndex:
+    """The pyramid that ``write_index`` wrote with these levels."""
+    return CellIndex(spark.read.parquet(f"{path}/cells"), {x: spark.read.parquet(f"{path}/tiles/{x}") for x in levels})
+
+
 def nearest_cells(
     grid: DataFrame,
     stations: DataFrame,
@@ -42,10 +77,17 @@ def nearest_cells(
     than the best far edge) and descends into their occupied sub-tiles; only the
     last round looks at cells.  The bounds use each tile's actual cell extent, so the
     answer is exact for stations inside and outside the grid.
+
+    Where a grid serves several lookups, write its tiles with ``write_index`` and use ``locate``.
     """
-    if metric not in ("chebyshev", "euclidean"):
-        raise ValueError(f"unknown metric {metric!r}")
-    cells = (
+    cells = _candidates(grid)
+    placed = cells.select("grid_id", "flat", "lat", "lon", *_tile_of(levels[-1]))
+    return locate(CellIndex(placed, _tiles(cells, levels)), stations, metric=metric, wrap_dateline=wrap_dateline)
+
+
+def _candidates(grid: DataFrame) -> DataFrame:
+    """Cells by place; those at one place are one, the lowest index."""
+    return (
         grid.select(
             "grid_id",
             "flat",
@@ -53,12 +95,20 @@ def nearest_cells(
             normalise_grid_longitude(F.col("lon").cast("double")).alias("lon"),
         )
         .dropna()
-        # Cells at one place are one candidate, the lowest index.
         .groupBy("grid_id", "lat", "lon")
         .agg(F.min("flat").alias("flat"))
     )
-    tiles = _tiles(cells, levels)
 
+
+def locate(index: CellIndex, stations: DataFrame, *, metric: str = "chebyshev", wrap_dateline: bool = False) -> DataFrame:
+    """(grid_id, station_id, flat, distance): ``nearest_cells`` from an index.
+
+    Every level of the index is read once.  Stations stay where their first comparison puts them, as
+    long as the tiles of a level are few enough to be broadcast by Spark's own check.
+    """
+    if metric not in ("chebyshev", "euclidean"):
+        raise ValueError(f"unknown metric {metric!r}")
+    tiles, levels = index.tiles, tuple(sorted(index.tiles, reverse=True))
     longitude = wrap_longitude(F.col("longitude").cast("double"))
     images = [longitude - 360.0, longitude, longitude + 360.0] if wrap_dateline else [longitude]
     here = (
@@ -86,12 +136,10 @@ def nearest_cells(
         parents = found.select("station_id", "y", "x", "grid_id", F.col("ty").alias("py"), F.col("tx").alias("px"))
         found = _closest(parents.join(children, ["grid_id", "py", "px"]), metric)
 
-    finest = levels[-1]
-    placed = cells.select("grid_id", "flat", "lat", "lon", *_tile_of(finest))
     distance = _combine(F.abs(F.col("lat") - F.col("y")), F.abs(F.col("lon") - F.col("x")), metric)
     return (
         found.select("station_id", "y", "x", "grid_id", "ty", "tx")
-        .join(placed, ["grid_id", "ty", "tx"])
+        .join(index.cells, ["grid_id", "ty", "tx"])
         .groupBy("grid_id", "station_id")
         .agg(F.min(F.struct(distance.alias("distance"), "flat")).alias("best"))
         .select("grid_id", "station_id", "best.flat", "best.distance")
@@ -112,20 +160,24 @@ def _coarser(index: Column, shrink: int) -> Column:
     return F.floor(index / F.lit(float(shrink)))
 
 
-def _tiles(cells: DataFrame, levels: tuple[int, ...]) -> dict[int, DataFrame]:
-    """Occupied tiles and the extent of their cells, per level; each level is
-    aggregated from the next finer one."""
-    finest = levels[-1]
+def _finest(cells: DataFrame) -> DataFrame:
+    """Occupied tiles of cells with their tile, and the extent of their cells."""
     extent = [F.min("lat").alias("y0"), F.max("lat").alias("y1"), F.min("lon").alias("x0"), F.max("lon").alias("x1")]
-    tiles = {finest: cells.select("grid_id", "lat", "lon", *_tile_of(finest)).groupBy("grid_id", "ty", "tx").agg(*extent)}
+    return cells.groupBy("grid_id", "ty", "tx").agg(*extent)
+
+
+def _merged(tiles: DataFrame, steps: int) -> DataFrame:
+    """Tiles of a coarser level, ``steps`` powers of two wider."""
     merged = [F.min("y0").alias("y0"), F.max("y1").alias("y1"), F.min("x0").alias("x0"), F.max("x1").alias("x1")]
+    up = [_coarser(F.col(c), 2**steps).alias(c) for c in ("ty", "tx")]
+    return tiles.groupBy("grid_id", *up).agg(*merged)
+
+
+def _tiles(cells: DataFrame, levels: tuple[int, ...]) -> dict[int, DataFrame]:
+    """Occupied tiles per level, each aggregated from the next finer one."""
+    tiles = {levels[-1]: _finest(cells.select("grid_id", "lat", "lon", *_tile_of(levels[-1])))}
     for fine, coarse in zip(levels[::-1], levels[-2::-1]):
-        shrink = 2 ** (coarse - fine)
-        tiles[coarse] = (
-            tiles[fine]
-            .groupBy("grid_id", _coarser(F.col("ty"), shrink).alias("ty"), _coarser(F.col("tx"), shrink).alias("tx"))
-            .agg(*merged)
-        )
+        tiles[coarse] = _merged(tiles[fine], coarse - fine)
     return tiles
 
 
