@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from .. import rules
 from ..functions import names, times
 from ..operators import manifest
-from ..session import scratch_folder
+from ..session import scratch_folder, written
 from ..sources import files
 from . import query, table
 
@@ -206,6 +206,28 @@ def ten_day_chunks(spark: SparkSession, folder: str) -> DataFrame:
     return manifest.assign_chunks(orders, chunks, "o_orderdate")
 
 
+@query(
+    "overlapping_chunks",
+    """WITH span AS (SELECT date_trunc('day', min(ts)) AS a, max(ts) AS b FROM events),
+chunks AS (
+  SELECT c AS chunk_start, c + INTERVAL 450 MINUTES AS chunk_end FROM (SELECT unnest(generate_series(a, b, INTERVAL 5 HOURS)) AS c FROM span)
+  UNION ALL SELECT c, c + INTERVAL 10 DAYS FROM (SELECT unnest(generate_series(a, b, INTERVAL 7 DAYS)) AS c FROM span))
+SELECT event_id, ts, chunk_start, chunk_end
+FROM events JOIN chunks ON ts >= chunk_start AND ts < chunk_end + INTERVAL 1 MINUTE""",
+)
+def overlapping_chunks(spark: SparkSession, folder: str) -> DataFrame:
+    """Events with all windows that they fall in: of some hours and of ten days, from the first event's day to the last."""
+    events = table(spark, folder, "events").select("event_id", "ts")
+    span = events.agg(F.date_trunc("day", F.min("ts")).cast(events.schema["ts"].dataType).alias("a"), F.max("ts").alias("b"))
+
+    def every(step: str, length: str) -> DataFrame:
+        starts = span.select(F.explode(F.sequence("a", "b", F.expr(step))).alias("chunk_start"))
+        return starts.withColumn("chunk_end", F.col("chunk_start") + F.expr(length))
+
+    chunks = every("INTERVAL 5 HOURS", "INTERVAL 450 MINUTES").unionByName(every("INTERVAL 7 DAYS", "INTERVAL 10 DAYS"))
+    return manifest.assign_chunks(events, written(chunks, "chunks"), "ts")
+
+
 @query(
     "database_files",
     """SELECT path, component, date_trunc('minute', ts) AS stamp

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from .. import rules
 from ..functions import names
-from ..functions.times import run_times
+from ..functions.times import micros, run_times
 
 # How published files are named.
 DOMAINS = {"ak": "alaska", "co": "conus", "hi": "hawaii"}
@@ -132,6 +132,11 @@ def ndfd_files(listing: DataFrame, element: str, start: datetime, end: datetime)
     )
 
 
+#: A chunk is cut into about this many tiles; the widths of tiles are powers of the second.
+TILES = 8
+TILE_STEP = 4
+
+
 def chunk_table(spark: SparkSession, chunks: Sequence[tuple[datetime, datetime]]) -> DataFrame:
     """Fetch windows as rows, with the archive month each one is filed under."""
     rows = [(s, e, s.year, s.month) for s, e in chunks]
@@ -141,23 +146,29 @@ def chunk_table(spark: SparkSession, chunks: Sequence[tuple[datetime, datetime]]
 
 
 def assign_chunks(df: DataFrame, chunks: DataFrame, time: str) -> DataFrame:
-    """Each row with the chunk that holds its time; rows in no chunk are dropped.
+    """Each row with every chunk that holds its time; rows in no chunk are dropped.
 
     A chunk's last minute belongs to it whole, so that chunks that follow each other leave
-    no gap.  An equi-join on the calendar month, then the exact bounds; a month meets at
-    most a handful of chunks.
+    no gap.  Chunks may be of any length, overlap, and be of any number: each lies on about ten
+    tiles of a width of its own length's order, and rows meet the chunks on their tile of each
+    width in use, so most that they meet hold them.  An equi-join, then the exact bounds.
+    Chunks that end before they start, or lack a bound, hold nothing.
     """
-    months = chunks.withColumn(
-        "_month",
-        F.explode(
-            F.sequence(
-                F.trunc("chunk_start", "month"), F.trunc("chunk_end", "month"), F.expr("INTERVAL 1 MONTH")
-            )
-        ),
-    )
+    start, end = micros(F.col("chunk_start")), micros(F.col("chunk_end") + F.expr("INTERVAL 1 MINUTE"))
+    level = F.ceil(F.log(float(TILE_STEP), (end - start) / TILES)).cast("int")
+    held = chunks.where(F.col("chunk_start") <= F.col("chunk_end")).withColumn("_level", F.greatest(level, F.lit(0)))
+    widths = sorted(r[0] for r in held.select("_level").distinct().collect())  # at most 32, as micros have 64 bits
+
+    def tile(at: Column, width: Column) -> Column:
+        return F.floor(at / F.pow(F.lit(float(TILE_STEP)), width)).cast("long")
+
+    tiles = F.sequence(tile(start, F.col("_level")), tile(end, F.col("_level")))
+    on_tiles = held.withColumn("_tile", F.explode(tiles))
+    places = F.array(*[F.lit(w) for w in widths]) if widths else F.array().cast("array<int>")
     return (
-        df.withColumn("_month", F.trunc(time, "month"))
-        .join(months, "_month")
+        df.withColumn("_level", F.explode(places))
+        .withColumn("_tile", tile(micros(F.col(time)), F.col("_level")))
+        .join(on_tiles, ["_level", "_tile"])
         .where((F.col(time) >= F.col("chunk_start")) & (F.col(time) < F.col("chunk_end") + F.expr("INTERVAL 1 MINUTE")))
-        .drop("_month")
+        .drop("_level", "_tile")
     )

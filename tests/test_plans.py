@@ -1,5 +1,6 @@
 """The data flows from end to end, names, calendars and rules."""
 
+import random
 from datetime import date, datetime, timedelta
 
 import pytest
@@ -298,3 +299,23 @@ def test_requests_at_hours_at_which_the_model_runs(spark):
     requests = spark.createDataFrame(rows, "model string, element string, hour int")
     assert sorted((r.model, r.hour) for r in rules.valid_requests(requests, run_hour="hour").collect()) == [("hrrr", 2), ("nbm", 1)]
     assert rules.valid_requests(requests).count() == 4
+
+
+def test_chunks_of_any_length(spark):
+    rng = random.Random(8)
+    start = datetime(2025, 3, 1)
+
+    def at(seconds):
+        return start + timedelta(seconds=seconds)
+
+    chunks = [(at(a), at(a + int(10 ** rng.uniform(0, 7)))) for a in (rng.randrange(10**6) for _ in range(80))]
+    chunks += [(at(5), at(5)), (at(9), at(1)), (None, at(1)), (at(1), None), (datetime(1970, 1, 1), datetime(2100, 1, 1))]
+    times_ = [at(rng.randrange(-(10**5), 2 * 10**6)) for _ in range(400)] + [None]
+    frame = spark.createDataFrame(chunks, "chunk_start timestamp, chunk_end timestamp")
+    got = manifest.assign_chunks(spark.createDataFrame(list(enumerate(times_)), "id long, t timestamp"), frame, "t")
+    want = [
+        (i, t, a, b) for i, t in enumerate(times_) for a, b in chunks
+        if t and a and b and a <= b and a <= t < b + timedelta(minutes=1)
+    ]
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(want, key=str)
+    assert manifest.assign_chunks(got.select("id", "t"), frame.where("false"), "t").count() == 0
