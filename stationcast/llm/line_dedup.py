@@ -6,7 +6,7 @@ earlier goes by doc_id, then line number.  All steps are DataFrame operations:
 
 1. Equal lines form a class, and only its first line goes on.
 2. Lines that share too few of their least-hashed tokens with any other can't be similar to
-   one and leave; this moves a few 31-bit values per line.
+   one and leave; this moves a few 32-bit values per line.
 3. The tokens of the rest are ordered by rarity.  Similar lines share one among their first
    tokens (prefix filter), are of similar size (length filter), and have enough tokens
    after it (positional filter).  Each line is compared with the earliest of the first lines
@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from stationcast.session import written
 
 from .base import free_name, table
-from .ngram_join import first_grams, near, ordered_sets
+from .ngram_join import first_grams, near, not_below, ordered_sets
 
 WORDS = 5
 PERCENT = 80
@@ -58,36 +58,44 @@ def maybe(found: tuple[bytes, int], *key: str) -> Column:
     return F.getbit(byte, place.bitwiseAND(7).cast("int")) == 1
 
 
-def raw_lines(documents: DataFrame) -> DataFrame:
-    """(doc_id, mark, line, s, raw): lines in lower case, white space as spaces; mark and raw are hashes of document and line."""
+def plain_lines(documents: DataFrame) -> DataFrame:
+    """(doc_id, mark, line, s, class): lines with words, in lower case, with single spaces between words.
+
+    ``mark`` is a hash of the document's text, ``class`` one of the line's words.
+    """
     other = "\t\x0b\f\r"
     has = F.greatest(*[F.instr("text", c) for c in other]) > 0
     spaced = F.lower(F.when(has, F.translate("text", other, " " * len(other))).otherwise(F.col("text")))
     found = documents.where("text is not null").select("doc_id", F.xxhash64("text").alias("mark"), spaced.alias("spaced"))
     found = found.select("doc_id", "mark", F.posexplode(F.split("spaced", "\n")).alias("line", "s"))
-    return found.withColumn("raw", F.xxhash64("s"))
+    single = F.when(F.instr("s", "  ") > 0, F.regexp_replace("s", " +", " ")).otherwise(F.col("s"))
+    found = found.withColumn("s", F.trim(single)).where("s <> ''")
+    return found.withColumn("class", F.xxhash64("s"))
 
 
-def with_words(lines: DataFrame) -> DataFrame:
-    """(doc_id, mark, line, raw, words, class) of lines with words; class is a hash of the words."""
-    split = F.split("s", " ")
-    gaps = (F.instr("s", "  ") > 0) | F.startswith("s", F.lit(" ")) | F.endswith("s", F.lit(" "))
-    found = lines.where(F.trim("s") != "").withColumn("words", F.when(gaps, F.array_remove(split, "")).otherwise(split))
-    return found.select("doc_id", "mark", "line", "raw", "words", F.xxhash64("words").alias("class"))
+def with_tokens(lines: DataFrame) -> DataFrame:
+    """Lines with t, the distinct hashes of their word 5-grams, instead of s; the fewer words of a short line are one.
 
+    Words are hashed once; hashes of neighbours are combined to those of two, four and five words.
+    """
 
-def tokens(words: str) -> Column:
-    """Distinct hashes of a line's word 5-grams; the fewer words of a short line are one."""
-    shifted = [F.slice(words, F.lit(k + 1), F.greatest(F.size(words) - k, F.lit(0))).alias(f"w{k}") for k in range(WORDS)]
-    grams = F.transform(F.arrays_zip(*shifted), lambda x: F.xxhash64(x))
-    return F.array_distinct(F.slice(grams, F.lit(1), F.greatest(F.size(words) - (WORDS - 1), F.lit(1))))
+    def combined(df: DataFrame, name: str, first: str, second: str, step: int) -> DataFrame:
+        n = F.greatest(F.size(second) - step, F.lit(0))
+        of = F.slice(first, F.lit(1), n), F.slice(second, F.lit(step + 1), n)
+        return df.withColumn(name, F.zip_with(*of, lambda x, y: F.xxhash64(x, y)))
+
+    rest = [c for c in lines.columns if c != "s"]
+    found = lines.withColumn("w1", F.transform(F.split("s", " "), lambda x: F.xxhash64(x)))
+    found = combined(found, "w2", "w1", "w1", 1)
+    found = combined(found, "w4", "w2", "w2", 2)
+    found = combined(found, "w5", "w4", "w1", WORDS - 1)
+    return found.select(*rest, F.when(F.size("w5") == 0, F.array("class")).otherwise(F.array_distinct("w5")).alias("t"))
 
 
 def similar(pairs: DataFrame, held: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) of lines whose tokens have the Jaccard similarity; a line's tokens are one short row."""
-    tokens_of = F.transform("held", lambda x: x["gram"])
-    left = held.select(F.col("sig").alias("a"), F.col("size").alias("m"), tokens_of.alias("ours"))
-    right = held.select(F.col("sig").alias("b"), F.col("size").alias("n"), tokens_of.alias("theirs"))
+    left = held.select(F.col("sig").alias("a"), F.col("size").alias("m"), F.col("held").alias("ours"))
+    right = held.select(F.col("sig").alias("b"), F.col("size").alias("n"), F.col("held").alias("theirs"))
     both = pairs.select("a", "b").join(left, "a").join(right, "b")
     both = both.select("a", "b", "m", "n", F.size(F.array_intersect("ours", "theirs")).alias("k"))
     return both.where(100 * F.col("k") >= percent * (F.col("m") + F.col("n") - F.col("k"))).select("a", "b")
@@ -97,17 +105,21 @@ def late_classes(documents: DataFrame, firsts: DataFrame, percent: int) -> DataF
     """Classes (class) whose first line has a similar earlier line."""
     may_differ = F.col("size") - F.ceil(F.col("size") * percent / 100)
     need = F.greatest(F.lit(1), F.least(F.floor(F.ceil(F.col("size") * percent / 100) * AHEAD / 100) + 1, F.size("least") - may_differ))
-    rows = firsts.select("id", need.alias("need"), F.explode("least").alias("token")).repartition("token")
-    shared = rows.groupBy("token").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo <> hi").select("token")
-    some = rows.join(shared.hint("shuffle_hash"), "token", "left_semi").groupBy("id").agg(F.count("*").alias("n"), F.min("need").alias("need"))
+    rows = firsts.where("id is not null").select("id", need.alias("need"), F.explode("least").alias("token")).repartition("token")
+    # The join uses all columns of both sides, so that one shuffle serves them.
+    shared = rows.groupBy("token").agg(F.min("id").alias("least_id"), F.max("id").alias("hi"), F.min("need").alias("least_need")).where("least_id <> hi")
+    some = rows.join(shared.hint("shuffle_hash"), "token").where(not_below("id", "need"))
+    some = some.groupBy("id").agg(F.count("*").alias("n"), F.min("need").alias("need"))
     some = some.where("n >= need").select("id")
-    kept = written(firsts.join(some, "id", "left_semi").select("class", "size", "doc_id", "mark", "line", "raw"), "lines")
-
-    # Other lines are left out before their words are looked at.
-    wanted = with_words(raw_lines(documents).where(maybe(members(kept, "raw"), "raw"))).drop("raw")
-    wanted = wanted.join(kept.drop("raw").withColumnRenamed("doc_id", "doc"), ["class", "mark", "line"]).where(F.col("doc_id").eqNullSafe(F.col("doc")))
-    wanted = wanted.dropDuplicates(["class"])  # of repeated rows
-    grams = wanted.select(F.col("class").alias("sig"), "size", F.explode(tokens("words")).alias("gram"))
+    kept = written(firsts.join(some, "id", "left_semi").select("class", "size", "doc_id", "mark", "line"), "lines")
+
+    # Other lines are left out before they are moved or their words looked at.
+    wanted = plain_lines(documents).where(maybe(members(kept, "class"), "class"))
+    wanted = wanted.join(kept.withColumnRenamed("doc_id", "doc"), ["class", "mark", "line"]).where(F.col("doc_id").eqNullSafe(F.col("doc")))
+    wanted = wanted.dropDuplicates(["class", "mark", "line"])  # of repeated rows
+    wanted = written(wanted.select("class", "size", "s"), "wanted")
+    # No line is without tokens; explode would filter such lines by tokenising them once more.
+    grams = with_tokens(wanted).select(F.col("class").alias("sig"), "size", F.explode_outer("t").alias("gram"))
     held = ordered_sets(grams, percent)
 
     at = kept.select(F.col("class").alias("sig"), F.struct("doc_id", "line", "mark").alias("first"))
@@ -130,15 +142,14 @@ def late_classes(documents: DataFrame, firsts: DataFrame, percent: int) -> DataF
 
 def removed_lines(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
     """(doc_id, mark, gone): the numbers of a document's lines that are removed."""
-    found = with_words(raw_lines(documents)).withColumn("t", tokens("words"))
+    found = with_tokens(plain_lines(documents))
     size = F.size("t")
-    short = F.transform("t", lambda x: x.bitwiseAND(0x7FFFFFFF).cast("int"))
     ahead = size - F.ceil(size * percent / 100) + F.floor(size * AHEAD / 100) + 1
-    least = F.slice(F.sort_array(F.array_distinct(short)), 1, ahead.cast("int"))
-    lines = written(found.select("doc_id", "mark", "line", "raw", "class", size.cast("long").alias("size"), least.alias("least")), "lines")
+    # Upper halves keep the order; where two tokens share one, more lines pass, never fewer.
+    least = F.transform(F.slice(F.sort_array("t"), F.lit(1), F.least(size, ahead).cast("int")), lambda x: F.shiftright(x, 32).cast("int"))
+    lines = written(found.select("doc_id", "mark", "line", "class", size.cast("long").alias("size"), least.alias("least")), "lines")
     place = F.struct("doc_id", "line", "mark")
-    first = F.min(F.struct("doc_id", "line", "mark", "raw")).alias("f")
-    firsts = lines.groupBy("class").agg(first, F.count("*").alias("n"), F.first("size").alias("size"), F.first("least").alias("least"))
+    firsts = lines.groupBy("class").agg(F.min(place).alias("f"), F.count("*").alias("n"), F.first("size").alias("size"), F.first("least").alias("least"))
     firsts = written(firsts.select("class", "f.*", "n", "size", "least").withColumn("id", F.monotonically_increasing_id()), "firsts")
     late = written(late_classes(documents, firsts, percent).withColumn("late", F.lit(True)), "late")
     told = firsts.select("class", place.alias("f"), "n").join(late, "class", "left").where("n > 1 or late")
@@ -159,7 +170,8 @@ def without_lines(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
     gone = removed_lines(own, percent)
     touched = gone.select("doc_id", "mark")
     split = F.split("text", "\n")
-    all_ = documents.withColumn("n_lines", F.when(F.col("text").isNull(), 0).otherwise(F.size(split)).cast("long"))
+    breaks = F.octet_length("text") - F.octet_length(F.replace("text", F.lit("\n"), F.lit("")))
+    all_ = documents.withColumn("n_lines", F.when(F.col("text").isNull(), 0).otherwise(breaks + 1).cast("long"))
     own, other = free_name([*all_.columns, "n_removed"], "own"), free_name([*all_.columns, "n_removed"], "other")
     named = F.struct(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.col("text").cast("string")).alias("mark"))
     marked = all_.withColumn("n_removed", F.lit(0).cast("long")).withColumn(own, named)

@@ -33,6 +33,8 @@ from .base import SPACED, classes, row_blocks, sequence_hash, table, text_buffer
 
 #: Frequency classes of the global order: n-grams of up to 3, 7, 15 and more documents.
 CLASSES = 4
+#: Bits of an n-gram's hash in its place in the global order; the frequency class stands above them.
+ORDER_BITS = 60
 #: Share of a set, in hundredths, that the first step looks at beyond what may differ.
 AHEAD = 5
 
@@ -65,9 +67,10 @@ def row_name(columns: list[str]) -> F.Column:
 
 
 def set_table(documents: DataFrame, n: int, percent: int) -> DataFrame:
-    """Columns of documents but text, size, sig (of the set; null if empty) and least (its least hashes).
+    """Columns of documents but text, size, sig (of the set; null if empty) and least.
 
-    ``least`` is null where a batch has had the same set before.
+    ``least`` has the upper halves of the set's least hashes; it is null where a batch has had
+    the same set before.
     """
     keys = [c for c in documents.columns if c != "text"]
 
@@ -79,16 +82,16 @@ def set_table(documents: DataFrame, n: int, percent: int) -> DataFrame:
                 sig = signature(grams) if len(grams) else None
                 sizes.append(len(grams))
                 sigs.append(sig)
-                least.append(None if sig is None or sig in seen else grams[: ahead(len(grams), percent)[0]].astype(np.int64))
+                least.append(None if sig is None or sig in seen else (grams[: ahead(len(grams), percent)[0]] >> np.uint64(32)).astype(np.uint32).view(np.int32))
                 seen.add(sig)
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(k) for k in keys), pa.array(sizes, pa.int64()), pa.array(sigs, pa.int64()), pa.array(least, pa.list_(pa.int64()))],
+                [*(batch.column(k) for k in keys), pa.array(sizes, pa.int64()), pa.array(sigs, pa.int64()), pa.array(least, pa.list_(pa.int32()))],
                 names=[*keys, "size", "sig", "least"],
             )
             if len(seen) > 500_000:
                 seen.clear()
 
-    return documents.mapInArrow(measure, ", ".join(f"{k} long" for k in keys) + ", size long, sig long, least array<long>")
+    return documents.mapInArrow(measure, ", ".join(f"{k} long" for k in keys) + ", size long, sig long, least array<int>")
 
 
 def gram_rows(documents: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
@@ -125,25 +128,42 @@ def gram_rows(documents: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
     return found.select("sig", "text").mapInArrow(grow, "sig long, size long, gram long")
 
 
+def not_below(*columns: str) -> F.Column:
+    """That no column is below its least value of a group: true always, but known to Spark only when it runs.
+
+    Comparisons alone would be taken as a filter of nulls on one side, whose shuffle were another then.
+    """
+    return F.forall(F.array(*[F.coalesce(F.col(c) >= F.col(f"least_{c}"), F.lit(True)) for c in columns]), lambda x: x)
+
+
 def possible(sets: DataFrame, percent: int) -> DataFrame:
     """Distinct sets that may link with another: (sig, rep) with the least row of each."""
     may_differ = F.col("size") - F.ceil(F.col("size") * percent / 100)
     smallest = F.ceil(F.col("size") * percent / 100)  # partner, which looks less far ahead
     need = F.floor(smallest * AHEAD / 100) + 1
     need = F.least("size", may_differ + need) - may_differ
-    grams = sets.where("least is not null").select("doc_id", "sig", need.alias("need"), F.explode("least").alias("gram")).repartition("gram")
-    shared = grams.groupBy("gram").agg(F.min("sig").alias("lo"), F.max("sig").alias("hi")).where("lo <> hi").select("gram")
-    some = grams.join(shared, "gram", "left_semi").groupBy("doc_id", "sig").agg(F.count("*").alias("n"), F.min("need").alias("need"))
+    row = F.coalesce("doc_id", F.lit(0)).alias("row")
+    grams = sets.where("least is not null and sig is not null").select(row, "sig", need.alias("need"), F.explode("least").alias("gram")).repartition("gram")
+    # The join uses all columns of both sides, so that one shuffle serves them.
+    shared = grams.groupBy("gram").agg(*[F.min(c).alias(f"least_{c}") for c in ("row", "sig", "need")], F.max("sig").alias("hi"))
+    some = grams.join(shared.where("least_sig <> hi"), "gram").where(not_below("row", "sig", "need"))
+    some = some.groupBy("row", "sig").agg(F.count("*").alias("n"), F.min("need").alias("need"))
     some = some.where("n >= need").select("sig").distinct()
     return sets.where("sig is not null").join(some, "sig", "left_semi").groupBy("sig").agg(F.min(row_name(sets.columns)).alias("rep"))
 
 
 def ordered_sets(grams: DataFrame, percent: int) -> DataFrame:
-    """Sets that share enough n-grams with others: (sig, size, held), the shared ones in global order."""
-    grams = grams.repartition("gram")
-    shared = grams.groupBy("gram").agg(F.count("*").alias("df")).where("df > 1")
-    rank = F.struct(F.least(F.floor(F.log2("df")).cast("int"), F.lit(CLASSES)).alias("rank"), "gram")
-    held = grams.join(shared, "gram").groupBy("sig", "size").agg(F.sort_array(F.collect_set(rank)).alias("held"))
+    """Sets that share enough n-grams with others: (sig, size, held), the shared ones in global order.
+
+    An n-gram is told by its place in the order, a number of its frequency class and its hash.
+    """
+    grams = grams.where("gram is not null and sig is not null and size is not null").repartition("gram")
+    # The join uses all columns of both sides, so that one shuffle serves them.
+    shared = grams.groupBy("gram").agg(F.count("*").alias("df"), *[F.min(c).alias(f"least_{c}") for c in ("sig", "size")]).where("df > 1")
+    rank = F.least(F.floor(F.log2("df")).cast("long"), F.lit(CLASSES))
+    place = F.shiftleft(rank, ORDER_BITS).bitwiseOR(F.col("gram").bitwiseAND((1 << ORDER_BITS) - 1))
+    found = grams.join(shared, "gram").where(not_below("sig", "size"))
+    held = found.select("sig", "size", place.alias("place")).groupBy("sig", "size").agg(F.sort_array(F.collect_set("place")).alias("held"))
     held = held.where(100 * F.size("held") >= percent * F.col("size"))
     return written(held, "ranked")
 
@@ -156,18 +176,18 @@ def first_grams(held: DataFrame, percent: int) -> DataFrame:
     # Of the whole set's first n-grams, those of this set alone come before all others.
     alone = F.col("size") - F.size("held")
     first = (F.col("size") - F.ceil(F.col("size") * percent / 100) + 1 - alone).cast("int")
-    heads = held.where(first > 0).select("sig", "size", alone.alias("alone"), F.posexplode(F.slice("held", 1, first)).alias("at", "x"))
-    return heads.select(F.col("x.gram").alias("gram"), "sig", "size", (F.col("at") + F.col("alone")).alias("at"), "alone")
+    heads = held.where(first > 0).select("sig", "size", alone.alias("alone"), F.posexplode(F.slice("held", 1, first)).alias("at", "gram"))
+    return heads.select("gram", "sig", "size", (F.col("at") + F.col("alone")).alias("at"), "alone")
 
 
 def ranked_sets(grams: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     """Shared n-grams in global order as fragments (sig, size, frag, grams), and first ones (see first_grams)."""
     held = ordered_sets(grams, percent)
     # Fragments are ranges of the order: each class, halved by hash.
-    part = lambda x: x["rank"] * 2 + (x["gram"] >= 0).cast("int")
+    part = lambda x: F.shiftright(x, ORDER_BITS - 1)
     own = F.filter("held", lambda x: part(x) == F.col("frag"))
     frags = held.withColumn("frag", F.explode(F.array_distinct(F.transform("held", part))))
-    frags = frags.select("sig", "size", "frag", F.transform(own, lambda x: x["gram"]).alias("grams"))
+    frags = frags.select("sig", "size", "frag", own.alias("grams"))
     return frags, first_grams(held, percent)
 
 
