@@ -4,12 +4,17 @@ from __future__ import annotations
 
 import re
 from collections import Counter
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 from hashlib import blake2b
 from heapq import heapify, heappop, heappush
 from html import unescape
+from itertools import pairwise
+from math import isqrt
 from typing import NamedTuple
 
+import numpy as np
+
 # Element names of HTML by their role.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style noscript template iframe textarea title svg math object canvas audio video xmp".split())
@@ -175,10 +180,17 @@ def digest(text: str) -> int:
 
 #: Label of a run of text.
 TEXT = "#"
-#: Pairs of children that are matched at once, children of a stretch where there are more, and pairs of one matching.
-CELLS = 1 << 14
-STRETCH = 32
+# How matchings are computed; none of these changes what is found.
+#: Pairs of children up to which their lists are matched node by node, not row by row.
+CELLS = 1 << 12
+#: Pairs of nodes from which on they are told by kinds.
 ALL_CELLS = 1 << 20
+#: Nodes of a kind whose texts are told by pair.
+SMALL = 256
+#: Numbers of a long row that are compared one after the other, in stripes.
+FOLD = 16
+#: Numbers of tables that are kept until pairs are chosen; others are computed again.
+KEPT_CELLS = 1 << 22
 
 
 class Shape:
@@ -202,15 +214,22 @@ class Shape:
         while stack:
             at = stack.pop()
             out.append(at)
-            stack += reversed(at.children)
+            if at.children:
+                stack += at.children[::-1]
         return out
 
     def seal(self) -> Shape:
         """Weigh all subtrees; equal ones, texts included, get equal keys."""
         for x in reversed(self.nodes()):
-            x.size = 2 if x.label == TEXT else 1 + sum(c.size for c in x.children)
-            x.key = hash((x.label, x.text, *[c.key for c in x.children]))
-            x.plain = len(x.children) == 1 and x.children[0].label == TEXT
+            children = x.children
+            if children:
+                x.size = 1 + sum([c.size for c in children])
+                x.key = hash((x.label, x.text, *[c.key for c in children]))
+                x.plain = len(children) == 1 and children[0].label == TEXT
+            else:
+                x.size = 2 if x.label == TEXT else 1
+                x.key = hash((x.label, x.text))
+                x.plain = False
         return self
 
     def flat(self) -> list:
@@ -364,6 +383,10 @@ def elected(found: list[Block], votes: Votes, least: float) -> list[Block]:
     return [b for b in kept if not b.linked] or kept  # no article element: menus are mostly links
 
 
+Kind = Callable[[Shape, Shape], tuple[int, int]]
+Weights = dict[tuple[int, int], int]
+
+
 def _middle(x: Shape, y: Shape) -> tuple[int, int, int]:
     """Children that are equal in front, and the ends of both lists without those equal at the back.
 
@@ -377,65 +400,266 @@ def _middle(x: Shape, y: Shape) -> tuple[int, int, int]:
     return front, p, q
 
 
-def _stretches(x: Shape, y: Shape) -> list[tuple[list[Shape], list[Shape]]]:
-    """The children between as lists to be matched: whole, or in stretches where there are very many."""
-    front, p, q = _middle(x, y)
-    a, b = x.children[front:p], y.children[front:q]
-    if len(a) * len(b) <= CELLS:
-        return [(a, b)] if a and b else []
-    return [(a[k : k + STRETCH], b[k : k + STRETCH]) for k in range(0, min(len(a), len(b)), STRETCH)]
-
-
-def _weight(c: Shape, d: Shape, weights: dict[tuple[int, int], int]) -> int:
+def _weight(c: Shape, d: Shape, weights: Weights, kind: Kind) -> int:
     """Weight of matching two nodes of one label with what is below them."""
     if c.key == d.key:
         return c.size
     if c.plain and d.plain:  # elements of one text each, which differ
         return 2
-    return 1 if c.label == TEXT else weights.get((id(c), id(d)), 1)
+    return weights.get(kind(c, d), 1) if c.children and d.children else 1
+
+
+class Rows:
+    """Weights of the best matchings in order of the first i and j of two lists, row by row."""
+
+    def __init__(self, a: list[Shape], b: list[Shape], weights: Weights, kind: Kind) -> None:
+        above = [0] * (len(b) + 1)
+        self.rows = [above]
+        for c in a:
+            left, row = 0, [0]
+            label = c.label
+            for j, d in enumerate(b):
+                best = above[j + 1]
+                if label == d.label:
+                    both = above[j] + _weight(c, d, weights, kind)
+                    if both > best:
+                        best = both
+                if best > left:
+                    left = best
+                row.append(left)
+            self.rows.append(row)
+            above = row
+        self.total, self.cells = above[-1], len(a) * len(b)
+
+    def rows_to(self, i: int) -> tuple[int, list]:
+        """(number of the first row, rows up to the i-th at least)."""
+        return 0, self.rows
+
+    def end(self) -> None:
+        """Lets go what was needed for the pairs."""
+
+    def of(self, a: list[Shape], b: list[Shape]) -> Iterator[tuple[Shape, Shape]]:
+        """The pairs of the best matching, of these lists or of others of the same kinds."""
+        i, j = len(a), len(b)
+        first, rows = self.rows_to(i)
+        while i and j:
+            if i == first:
+                first, rows = self.rows_to(i)
+            row, above = rows[i - first], rows[i - first - 1]
+            if row[j] == above[j]:
+                i -= 1
+            elif row[j] == row[j - 1]:
+                j -= 1
+            else:
+                i, j = i - 1, j - 1
+                yield a[i], b[j]
+        self.end()
+
+
+class Row:
+    """A row of a long table: the number of column 1 + FOLD * q + r is at [r + 1, q], that of the column before at [r, q]."""
+
+    __slots__ = ("folded",)
+
+    def __init__(self, folded: np.ndarray) -> None:
+        self.folded = folded
+
+    def __getitem__(self, j: int) -> int:
+        return int(self.folded[(j - 1) % FOLD + 1, (j - 1) // FOLD]) if j else 0
+
 
+class LongRows(Rows):
+    """The same for long lists: rows are arrays, and one in ``step`` is kept, from which those after it are computed again."""
 
-def _best(a: list[Shape], b: list[Shape], weights: dict[tuple[int, int], int]) -> list[list[int]]:
-    """Weights of the best matchings in order of the first i and j of two lists."""
-    above = [0] * (len(b) + 1)
-    rows = [above]
-    for c in a:
-        left, row = 0, [0]
+    def __init__(self, a: list[Shape], b: list[Shape], weights: Weights, kind: Kind) -> None:
+        self.a, self.b, self.weights, self.kind = a, b, weights, kind
+        self.step = isqrt(len(a)) + 1
+        self.width = -(-len(b) // FOLD)
+        self.equal: dict[int, list[int]] = {}
+        #: Of each label, the places of its nodes; of those with children, a node of every content and its places.
+        self.places: dict[str, list[int]] = {}
+        self.below: dict[str, dict[int, tuple[Shape, list[int]]]] = {}
+        self.plain: dict[str, dict[int, tuple[Shape, list[int]]]] = {}
         for j, d in enumerate(b):
-            best = above[j + 1]
-            if c.label == d.label:
-                both = above[j] + _weight(c, d, weights)
-                if both > best:
-                    best = both
-            if best > left:
-                left = best
-            row.append(left)
-        rows.append(row)
-        above = row
-    return rows
-
-
-def _weights(a: Shape, b: Shape) -> tuple[dict[tuple[int, int], int], dict[tuple[int, int], list]]:
-    """Weight of the largest matching of every two elements that can be matched, by id, and the tables of
-    their children; none if there are too many."""
-    order, cells = [(a, b, _middle(a, b), _stretches(a, b))], 0
-    for _, _, _, lists in order:
-        for some, others in lists:
-            cells += len(some) * len(others)
-            if cells > ALL_CELLS:
-                return {}, {}
-            for c in some:
-                if c.children:
-                    for d in others:
-                        if c.label == d.label and d.children and c.key != d.key and not (c.plain and d.plain):
-                            order.append((c, d, _middle(c, d), _stretches(c, d)))
-    weights: dict[tuple[int, int], int] = {}
-    tables: dict[tuple[int, int], list] = {}
-    for x, y, (front, p, _), lists in reversed(order):
-        both = id(x), id(y)
-        found = tables[both] = [(some, others, _best(some, others, weights)) for some, others in lists]
-        equal = sum([c.size for c in x.children[:front]]) + sum([c.size for c in x.children[p:]])
-        weights[both] = 1 + equal + sum([rows[-1][-1] for _, _, rows in found])
+            at = j % FOLD * self.width + j // FOLD
+            self.equal.setdefault(d.key, []).append(at)
+            self.places.setdefault(d.label, []).append(at)
+            if d.children and not d.plain:
+                self.below.setdefault(d.label, {}).setdefault(d.key, (d, []))[1].append(at)
+            if d.plain:
+                self.plain.setdefault(d.label, {}).setdefault(d.key, (d, []))[1].append(at)
+        self.least: dict[tuple[str, bool], np.ndarray] = {}
+        self.known: dict[int, np.ndarray] = {}
+        #: Where rows are put; two take turns until pairs are chosen.
+        self.space: np.ndarray | None = np.empty((2, FOLD + 1, self.width), np.int32)
+        row = Row(np.zeros((FOLD + 1, self.width), np.int32))
+        self.kept = [row]
+        for first in range(0, len(a), self.step):
+            for row in self.following(row, first):
+                pass
+            row = Row(row.folded.copy())
+            self.kept.append(row)
+        self.space = None
+        self.total, self.cells = row[len(b)], FOLD * self.width * len(self.kept)
+
+    def least_weights(self, label: str, plain: bool) -> np.ndarray:
+        """Weights of a node of the label with each of the other list, but for what is below them."""
+        found = self.least.get((label, plain))
+        if found is None:
+            found = np.zeros(FOLD * self.width, np.int32)
+            found[self.places.get(label, [])] = 1
+            if plain:
+                for _, at in self.plain.get(label, {}).values():
+                    found[at] = 2
+            self.least[label, plain] = found
+        return found
+
+    def weights_of(self, c: Shape) -> np.ndarray:
+        """Weights of a node with each of the other list, but for equal ones."""
+        if not c.children or c.label not in self.places or c.plain and c.label not in self.below:
+            return self.least_weights(c.label, c.plain)
+        found = self.known.get(c.key)
+        if found is None:
+            found = self.least_weights(c.label, c.plain).copy()
+            some = [*self.below.get(c.label, {}).values(), *(() if c.plain else self.plain.get(c.label, {}).values())]
+            weights = [self.weights.get(self.kind(c, d), 1) for d, _ in some]
+            found[[k for _, at in some for k in at]] = np.repeat(weights, [len(at) for _, at in some])
+            if (len(self.known) + 1) * len(self.b) > KEPT_CELLS:
+                self.known.clear()
+            self.known[c.key] = found
+        return found
+
+    def following(self, above: Row, first: int) -> Iterator[Row]:
+        """The rows after the first-th, up to the next that is kept."""
+        for k, c in enumerate(self.a[first : first + self.step]):
+            before, over = above.folded[:-1], above.folded[1:]
+            folded = self.space[k % len(self.space)]
+            row = folded[1:]
+            np.add(before, self.weights_of(c).reshape(before.shape), out=row)
+            equal = self.equal.get(c.key)
+            if equal:
+                row.reshape(-1)[equal] = before.reshape(-1)[equal] + c.size
+            np.maximum(row, over, out=row)
+            for x, y in pairwise(row):
+                np.maximum(x, y, out=y)
+            folded[0, 0] = 0
+            np.maximum.accumulate(row[-1, :-1], out=folded[0, 1:])
+            np.maximum(row, folded[0], out=row)
+            above = Row(folded)
+            yield above
+
+    def rows_to(self, i: int) -> tuple[int, list]:
+        if self.space is None:
+            self.space = np.empty((self.step, FOLD + 1, self.width), np.int32)
+        k = (i - 1) // self.step
+        return k * self.step, [self.kept[k], *self.following(self.kept[k], k * self.step)]
+
+
+    def end(self) -> None:
+        self.space = None
+
+
+def _rows(a: list[Shape], b: list[Shape], weights: Weights, kind: Kind) -> Rows:
+    return (Rows if len(a) * len(b) <= CELLS else LongRows)(a, b, weights, kind)
+
+
+class Kinds:
+    """What decides the weight of two nodes: their labels, and the texts that both have.
+
+    Texts of one of them alone match none, whatever they are, so pairs of items of two lists are of few kinds.  Texts are
+    told by pair where the nodes are small, else by tree.
+    """
+
+    def __init__(self, a: Shape, b: Shape) -> None:
+        trees = [x.nodes() for x in (a, b)]
+        ours, theirs = ({x.text for x in nodes if x.label == TEXT} for nodes in trees)
+        shared = ours & theirs
+        self.numbers: dict[tuple, int] = {}
+        #: By kind, what it is made of, and its texts if it is small.
+        self.parts: list[tuple] = []
+        self.texts: list[frozenset | None] = []
+        self.known: dict[int, int] = {}
+        self.parted: dict[tuple[int, frozenset], int] = {}
+        for nodes in trees:
+            for x in reversed(nodes):
+                below = (x.text if x.text in shared else None,) if x.label == TEXT else tuple([self.known[id(c)] for c in x.children])
+                self.known[id(x)] = self.number(x.label, below, x.size <= SMALL)
+
+    def number(self, label: str, below: tuple, small: bool) -> int:
+        found = self.numbers.setdefault((label, below), len(self.parts))
+        if found == len(self.parts):
+            self.parts.append((label, below))
+            if label == TEXT:
+                self.texts.append(frozenset(below) - {None})
+            else:
+                self.texts.append(frozenset().union(*[self.texts[k] for k in below]) if small else None)
+        return found
+
+    def within(self, k: int, texts: frozenset) -> int:
+        """A small kind with no other texts than these."""
+        if self.texts[k] <= texts:
+            return k
+        texts &= self.texts[k]
+        found = self.parted.get((k, texts))
+        if found is None:
+            label, below = self.parts[k]
+            found = self.number(label, (None,) if label == TEXT else tuple([self.within(x, texts) for x in below]), True)
+            self.parted[k, texts] = found
+        return found
+
+    def __call__(self, x: Shape, y: Shape) -> tuple[int, int]:
+        k, m = self.known[id(x)], self.known[id(y)]
+        ours, theirs = self.texts[k], self.texts[m]
+        if ours is None or theirs is None:
+            return k, m
+        both = ours & theirs
+        return self.within(k, both), self.within(m, both)
+
+
+def _keys(x: Shape, y: Shape) -> tuple[int, int]:
+    return x.key, y.key
+
+
+def _weights(a: Shape, b: Shape, kind: Kind) -> tuple[Weights, dict[tuple[int, int], Rows]]:
+    """Weight of the largest matching of every two kinds of elements that can be matched, and the tables of their children,
+    as many as are kept."""
+    order = {kind(a, b): (a, b)}
+    left = [(a, b)]
+    while left:
+        x, y = left.pop()
+        front, p, q = _middle(x, y)
+        if front == p or front == q:
+            continue
+        mine: dict[str, dict[int, Shape]] = {}
+        for c in x.children[front:p]:
+            if c.children:
+                mine.setdefault(c.label, {})[c.key] = c
+        if not mine:
+            continue
+        other: dict[str, tuple[dict[int, Shape], dict[int, Shape]]] = {}
+        for d in y.children[front:q]:
+            if d.children and d.label in mine:
+                other.setdefault(d.label, ({}, {}))[d.plain][d.key] = d
+        for label, (rich, plain) in other.items():
+            for k, c in mine[label].items():
+                for some in (rich,) if c.plain else (rich, plain):
+                    for m, d in some.items():
+                        if k != m and (both := kind(c, d)) not in order:
+                            order[both] = c, d
+                            left.append((c, d))
+    weights: Weights = {}
+    tables: dict[tuple[int, int], Rows] = {}
+    cells = 0
+    # What is below an element is smaller; elements of one kind are of one size.
+    for both, (x, y) in sorted(order.items(), key=lambda e: e[1][0].size):
+        front, p, q = _middle(x, y)
+        weights[both] = 1 + sum([c.size for c in x.children[:front]]) + sum([c.size for c in x.children[p:]])
+        if front < p and front < q:
+            rows = _rows(x.children[front:p], y.children[front:q], weights, kind)
+            weights[both] += rows.total
+            if cells + rows.cells <= KEPT_CELLS:
+                cells += rows.cells
+                tables[both] = rows
     return weights, tables
 
 
@@ -443,11 +667,12 @@ def simple_tree_matching(a: Shape, b: Shape) -> list[tuple[Shape, Shape]]:
     """The pairs of nodes of the heaviest matching of two trees with the same root label.
 
     Matched nodes have one label, keep their order, and their parents match; a pair counts one, or two if
-    it is of equal texts.  Lists of very many children are matched in stretches of ``STRETCH``; trees with
-    more than ``ALL_CELLS`` pairs are matched from the top, looking at labels and equal subtrees only.  So
-    time and memory grow with the trees, not with their product.
+    it is of equal texts.  Trees and lists of any size are matched whole.  Time grows with the product of lists
+    between whose ends nodes differ, a row of a long list at a time, and pairs of one kind are weighed once; memory grows
+    with the lists, their longest times the root of the other.
     """
-    weights, tables = ({}, {}) if a.key == b.key else _weights(a, b)
+    kind = Kinds(a, b) if a.key != b.key and a.size * b.size > ALL_CELLS else _keys
+    weights, tables = ({}, {}) if a.key == b.key else _weights(a, b, kind)
     out, stack = [], [(a, b)]
     while stack:
         x, y = stack.pop()
@@ -463,17 +688,10 @@ def simple_tree_matching(a: Shape, b: Shape) -> list[tuple[Shape, Shape]]:
         front, p, q = _middle(x, y)
         stack += zip(x.children[:front], y.children[:front], strict=True)
         stack += zip(x.children[p:], y.children[q:], strict=True)
-        found = tables.get((id(x), id(y)))
-        if found is None:
-            found = [(some, others, _best(some, others, weights)) for some, others in _stretches(x, y)]
-        for some, others, rows in found:
-            i, j = len(some), len(others)
-            while i and j:
-                if rows[i][j] == rows[i - 1][j]:
-                    i -= 1
-                elif rows[i][j] == rows[i][j - 1]:
-                    j -= 1
-                else:
-                    i, j = i - 1, j - 1
-                    stack.append((some[i], others[j]))
+        if front == p or front == q:
+            continue
+        rows = tables.get(kind(x, y))
+        if rows is None:
+            rows = _rows(x.children[front:p], y.children[front:q], weights, kind)
+        stack += rows.of(x.children[front:p], y.children[front:q])
     return out

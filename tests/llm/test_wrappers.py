@@ -6,7 +6,7 @@ from functools import cache
 
 import pytest
 
-from stationcast.llm import html_extraction
+from stationcast.llm import dom, html_extraction
 from stationcast.llm.dom import TEXT, Shape, parse, read, simple_tree_matching
 
 from test_html_pages import extracted, words
@@ -86,3 +86,35 @@ def test_very_many_siblings(text):
     wrapper = html_extraction.Wrapper(shapes[0])
     wrapper.add(shapes[1])
     assert {n for _, n in wrapper.counts()} <= {1, 2} and time.time() - start < 40
+
+
+def items(numbers):
+    return "".join(f"<li><b>name {k % 5}</b><p>text {k}</p><div>Reply</div></li>" for k in numbers)
+
+
+@pytest.mark.parametrize("n", [100, 200, 600])
+def test_lists_of_any_length_are_matched_whole(n):
+    """Items that come first on one page move the others by more than any stretch."""
+    a, b = (read(parse(f"<ul>{items(x)}</ul>"))[2] for x in (range(n), [*range(-90, 0), *range(n - 5)]))
+    pairs = simple_tree_matching(a, b)
+    assert sum(x.label == "li" and x.key == y.key for x, y in pairs) == n - 5
+
+
+def test_rows_of_long_lists_equal_those_of_short_ones(monkeypatch):
+    rng = random.Random(6)
+    trees = [(some_tree(rng), some_tree(rng)) for _ in range(300)]
+    trees += [tuple(read(parse(f"<ul>{items(rng.sample(range(60), 40))}</ul>"))[2] for _ in range(2)) for _ in range(5)]
+    found = []
+    for cells, kinds, kept in ((1 << 30, 1 << 40, 1 << 30), (0, 1 << 40, 1 << 30), (0, 0, 0), (1 << 30, 0, 20)):
+        for name, value in (("CELLS", cells), ("ALL_CELLS", kinds), ("KEPT_CELLS", kept)):
+            monkeypatch.setattr(dom, name, value)
+        found.append([{(id(x), id(y)) for x, y in simple_tree_matching(a, b)} for a, b in trees])
+    assert all(x == found[0] for x in found)
+    assert all(sum(1 + (x.label == TEXT and x.text == y.text) for x, y in simple_tree_matching(a, b)) == heaviest(a, b) for a, b in trees[:300])
+
+
+def test_constants_of_long_lists(spark):
+    """A notice below a list whose length varies is template on all pages, however many items there are."""
+    page = lambda k: "<div>" + "".join(f"<p>{words(1000 * k + i, 5)}</p>" for i in range(130 + 9 * k)) + "<p>Read on tomorrow</p><p>" + words(k, 4) + "</p></div>"
+    got = extracted(spark, [(k, "http://s/", page(k)) for k in range(1, 9)])
+    assert not any("Read on tomorrow" in x for x in got.values()) and all(got[k].endswith(words(k, 4)) for k in got)
