@@ -17,7 +17,7 @@ earlier goes by doc_id, then line number.  All steps are DataFrame operations:
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stationcast.session import written
@@ -33,29 +33,28 @@ AHEAD = 5
 FILTER_BITS = 1 << 26
 
 
-def members(df: DataFrame, *key: str) -> tuple[bytes, int]:
-    """A bit for every key of the table, by hash: a filter of at most FILTER_BITS bits.
+def members(df: DataFrame, *key: str) -> tuple[DataFrame, int]:
+    """A bit for every key of the table, by hash: a filter (part, bits) of pieces of 4 KB, and its number of bits.
 
-    Built by partial aggregation into pieces of 4 KB.  It only spares rows that can't be
-    members a shuffle; an exact join follows wherever it is used.
+    It only spares rows that can't be members a shuffle; an exact join follows wherever it is used.  The filter is
+    a written table, so that plans name it and don't hold it.
     """
-    bits = 1 << 15
-    while bits < FILTER_BITS and bits < 8 * df.count():
+    n, bits = df.count(), 1 << 15
+    while bits < FILTER_BITS and bits < 8 * n:
         bits *= 2
     place = F.pmod(F.xxhash64(*key), F.lit(bits))
     parts = df.select(place.alias("p")).groupBy(F.shiftright("p", 15).alias("part"))
-    found = parts.agg(F.bitmap_construct_agg(F.col("p").bitwiseAND(32767)).alias("bits")).collect()
-    data = bytearray(bits // 8)
-    for row in found:
-        data[row["part"] * 4096 : row["part"] * 4096 + 4096] = row["bits"]
-    return bytes(data), bits
+    return written(parts.agg(F.bitmap_construct_agg(F.col("p").bitwiseAND(32767)).alias("bits")), "members"), bits
 
 
-def maybe(found: tuple[bytes, int], *key: str) -> Column:
-    data, bits = found
+def with_maybe(df: DataFrame, found: tuple[DataFrame, int], name: str, *key: str) -> DataFrame:
+    """The rows with a column ``name``, which is false where the key is no member."""
+    filter_, bits = found
     place = F.pmod(F.xxhash64(*key), F.lit(bits))
-    byte = F.conv(F.hex(F.substr(F.lit(data), (F.shiftright(place, 3) + 1).cast("int"), F.lit(1))), 16, 10).cast("long")
-    return F.getbit(byte, place.bitwiseAND(7).cast("int")) == 1
+    byte = F.substr(F.col(f"{name}.bits"), (F.shiftright(place, 3).bitwiseAND(4095) + 1).cast("int"), F.lit(1))
+    told = F.getbit(F.conv(F.hex(byte), 16, 10).cast("long"), place.bitwiseAND(7).cast("int")) == 1
+    joined = df.join(filter_.select(F.struct("part", "bits").alias(name)), F.shiftright(place, 15) == F.col(f"{name}.part"), "left")
+    return joined.withColumn(name, F.coalesce(told, F.lit(False)))
 
 
 def plain_lines(documents: DataFrame) -> DataFrame:
@@ -114,7 +113,7 @@ def late_classes(documents: DataFrame, firsts: DataFrame, percent: int) -> DataF
     kept = written(firsts.join(some, "id", "left_semi").select("class", "size", "doc_id", "mark", "line"), "lines")
 
     # Other lines are left out before they are moved or their words looked at.
-    wanted = plain_lines(documents).where(maybe(members(kept, "class"), "class"))
+    wanted = with_maybe(plain_lines(documents), members(kept, "class"), "told", "class").where("told").drop("told")
     wanted = wanted.join(kept.withColumnRenamed("doc_id", "doc"), ["class", "mark", "line"]).where(F.col("doc_id").eqNullSafe(F.col("doc")))
     wanted = wanted.dropDuplicates(["class", "mark", "line"])  # of repeated rows
     wanted = written(wanted.select("class", "size", "s"), "wanted")
@@ -176,16 +175,17 @@ def without_lines(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
     named = F.struct(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.col("text").cast("string")).alias("mark"))
     marked = all_.withColumn("n_removed", F.lit(0).cast("long")).withColumn(own, named)
     columns = list(dict.fromkeys([*all_.columns, "n_removed"]))
-    told = maybe(members(touched, "doc_id", "mark"), f"{own}.doc_id", f"{own}.mark")
+    told = free_name([*marked.columns, other], "told")
+    marked = with_maybe(marked, members(touched, "doc_id", "mark"), told, f"{own}.doc_id", f"{own}.mark")
     lines = gone.select(F.struct("doc_id", "mark", "gone").alias(other))
     same = F.col(f"{own}.doc_id").eqNullSafe(F.col(f"{other}.doc_id")) & (F.col(f"{own}.mark") == F.col(f"{other}.mark"))
-    part = marked.where(told).join(lines, same, "left")
+    part = marked.where(F.col(told)).join(lines, same, "left")
     removed = F.col(f"{other}.gone")
     kept = F.array_except(F.sequence(F.lit(0), F.size(split) - 1), removed)
     text = F.array_join(F.transform(kept, lambda i: F.get(split, i)), "\n")
     part = part.withColumn("text", F.when(removed.isNull(), F.col("text")).otherwise(text))
     part = part.withColumn("n_removed", F.when(removed.isNotNull(), F.size(removed)).otherwise(0).cast("long"))
-    return part.select(*columns).unionByName(marked.where(~told).select(*columns))
+    return part.select(*columns).unionByName(marked.where(~F.col(told)).select(*columns))
 
 
 def op5_line_dedup(spark: SparkSession, folder: str) -> DataFrame:

@@ -197,3 +197,13 @@ def test_repeats(spark):
     got = {-1 if r.doc_id is None else r.doc_id: (r.n_bytes, r.n_removed, hashlib.sha256(r.kept).hexdigest()) for r in rows}
     assert len(rows) == len(texts) + 2 and got == want
     assert repeats.without_repeats(empty(spark)).count() == 0
+
+
+def test_line_filters_are_tables(spark):
+    """Plans, which the driver keeps as text, don't hold the filters."""
+    found = line_dedup.without_lines(frame(spark))
+    assert len(found._jdf.queryExecution().toString()) < 40_000
+    keys = spark.range(1000).select("id")
+    told = line_dedup.with_maybe(spark.range(20_000), line_dedup.members(keys, "id"), "told", "id").where("told")
+    assert told.where("id < 1000").count() == 1000 and told.count() < 6000
+    assert line_dedup.with_maybe(spark.range(9), line_dedup.members(keys.limit(0), "id"), "told", "id").where("not told").count() == 9
