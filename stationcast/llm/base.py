@@ -19,6 +19,8 @@ from stationcast.session import written
 
 #: Bytes of text that a block of documents holds; a longer document is a block of its own.
 BLOCK_BYTES = 2 << 20
+#: Bytes of text whose words are hashed at once; sums and powers take many times as much, and powers are kept.
+HASH_BYTES = 1 << 18
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _BASE = 0xD1342543DE82EF95
@@ -161,7 +163,7 @@ def word_hashes(data: np.ndarray, bounds: np.ndarray, inside: np.ndarray, values
     hashes = np.empty(len(starts), dtype=np.uint64)
     i = 0
     while i < len(starts):
-        j = max(i + 1, int(np.searchsorted(ends, starts[i] + BLOCK_BYTES, side="right")))
+        j = max(i + 1, int(np.searchsorted(ends, starts[i] + HASH_BYTES, side="right")))
         at = starts[i]
         sums = prefix_sums(data[at : ends[j - 1]], values)
         hashes[i:j] = part_hashes(sums, starts[i:j] - at, ends[i:j] - at)

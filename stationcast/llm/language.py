@@ -158,8 +158,9 @@ def fit(documents: DataFrame, centroids: int = CENTROIDS, sample: int = SAMPLE)
                 yield pa.RecordBatch.from_arrays([part.column("lang"), part.column("place"), pa.array(data, pa.binary())], names=["lang", "place", "vector"])
 
     def cluster(held: pa.Table) -> pa.Table:
-        held = held.sort_by("place")
-        data = np.frombuffer(b"".join(held.column("vector").to_pylist()), dtype=np.float32).reshape(held.num_rows, -1)
+        data = np.empty((held.num_rows, DIMENSIONS), dtype=np.float32)
+        for at, k in enumerate(np.argsort(held.column("place").to_numpy(), kind="stable")):
+            data[at] = np.frombuffer(held.column("vector")[int(k)].as_buffer(), dtype=np.float32)
         centers = clustered(data, centroids)
         lowest = float(np.quantile((data @ centers.T).max(axis=1), 0.001))
         return pa.table({"lang": [held.column("lang")[0].as_py()] * len(centers), "center": [c.tobytes() for c in centers.astype(np.float64)], "lowest": [lowest] * len(centers)})

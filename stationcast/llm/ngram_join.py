@@ -124,7 +124,8 @@ def gram_rows(documents: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
                     )
 
     small = documents.where("text is not null").mapInArrow(shrink, ", ".join(f"{k} long" for k in keys) + ", text binary")
-    found = small.join(wanted, row_name(keys).eqNullSafe(wanted["rep"]))
+    # With a broadcast, both functions' Python workers would stand side by side in each task.
+    found = small.join(wanted.hint("merge"), row_name(keys).eqNullSafe(wanted["rep"]))
     return found.select("sig", "text").mapInArrow(grow, "sig long, size long, gram long")
 
 
