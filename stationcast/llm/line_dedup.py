@@ -123,7 +123,7 @@ def late_classes(documents: DataFrame, firsts: DataFrame, percent: int) -> DataF
 
     at = kept.select(F.col("class").alias("sig"), F.struct("doc_id", "line", "mark").alias("first"))
     heads = written(first_grams(held, percent).join(at, "sig"), "heads")
-    least = heads.groupBy("gram").agg(F.min(F.struct("first", "sig", "size", "at")).alias("y"), F.count("*").alias("n")).where("n > 1")
+    least = heads.groupBy("gram").agg(F.min(F.struct("first", "sig", "size", "at", "alone")).alias("y"), F.count("*").alias("n")).where("n > 1")
     stars = heads.alias("x").join(least.select("gram", "y.*").alias("y"), "gram").where("x.sig <> y.sig").where(near(percent))
     stars = stars.groupBy(F.col("x.sig").alias("a"), F.col("y.sig").alias("b")).agg(F.min("y.first").alias("first"))
     stars = written(stars, "stars")

@@ -37,6 +37,8 @@ CLASSES = 4
 ORDER_BITS = 60
 #: Share of a set, in hundredths, that the first step looks at beyond what may differ.
 AHEAD = 5
+#: 64-bit words of a set's sketch.
+SKETCH_WORDS = 8
 
 
 def sets_of(column: pa.Array, n: int) -> Iterator[np.ndarray]:
@@ -169,36 +171,56 @@ def ordered_sets(grams: DataFrame, percent: int) -> DataFrame:
     return written(held, "ranked")
 
 
-def first_grams(held: DataFrame, percent: int) -> DataFrame:
-    """The sets' first n-grams (gram, sig, size, at), one of which any two that link share.
+def first_grams(held: DataFrame, percent: int, *more: str) -> DataFrame:
+    """The sets' first n-grams (gram, sig, size, at), one of which any two that link share, with more columns of the sets.
 
     ``alone`` tells how many of a set's n-grams no other set has.
     """
     # Of the whole set's first n-grams, those of this set alone come before all others.
     alone = F.col("size") - F.size("held")
     first = (F.col("size") - F.ceil(F.col("size") * percent / 100) + 1 - alone).cast("int")
-    heads = held.where(first > 0).select("sig", "size", alone.alias("alone"), F.posexplode(F.slice("held", 1, first)).alias("at", "gram"))
-    return heads.select("gram", "sig", "size", (F.col("at") + F.col("alone")).alias("at"), "alone")
+    heads = held.where(first > 0).select("sig", "size", alone.alias("alone"), *more, F.posexplode(F.slice("held", 1, first)).alias("at", "gram"))
+    return heads.select("gram", "sig", "size", (F.col("at") + F.col("alone")).alias("at"), "alone", *more)
 
 
-def ranked_sets(grams: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
-    """Shared n-grams in global order as fragments (sig, size, frag, grams), and first ones (see first_grams)."""
+def ranked_sets(grams: DataFrame, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Shared n-grams in global order as fragments (sig, size, frag, grams), first ones (see first_grams), and whole sets."""
     held = ordered_sets(grams, percent)
     # Fragments are ranges of the order: each class, halved by hash.
     part = lambda x: F.shiftright(x, ORDER_BITS - 1)
     own = F.filter("held", lambda x: part(x) == F.col("frag"))
     frags = held.withColumn("frag", F.explode(F.array_distinct(F.transform("held", part))))
     frags = frags.select("sig", "size", "frag", own.alias("grams"))
-    return frags, first_grams(held, percent)
+    return frags, first_grams(held, percent), held
 
 
 def near(percent: int) -> F.Column:
-    """Length filter, and the bound that the positions of a shared n-gram set to the overlap."""
-    before, rest = F.least("x.at", "y.at"), F.least(F.col("x.size") - F.col("x.at"), F.col("y.size") - F.col("y.at"))
+    """Length filter, and the bound that the positions of a shared n-gram set to the overlap.
+
+    Of what stands before it, a set's n-grams of its own are not shared.
+    """
+    before = F.least(F.col("x.at") - F.col("x.alone"), F.col("y.at") - F.col("y.alone"))
+    rest = F.least(F.col("x.size") - F.col("x.at"), F.col("y.size") - F.col("y.at"))
     sizes = (100 * F.col("x.size") >= percent * F.col("y.size")) & (100 * F.col("y.size") >= percent * F.col("x.size"))
     return sizes & ((100 + percent) * (before + rest) >= percent * (F.col("x.size") + F.col("y.size")))
 
 
+def sketch(words: int) -> F.Column:
+    """For each of so many 64 slots, whether an odd number of the set's shared n-grams falls there, as longs."""
+    word = "aggregate(held, 0L, (s, g) -> s ^ if(pmod(shiftright(g, 6), {n}) = {k}, shiftleft(1L, cast(g & 63 as int)), 0L))"
+    return F.array(*[F.expr(word.format(n=words, k=k)) for k in range(words)])
+
+
+def alike(percent: int, words: int) -> F.Column:
+    """That the least number of n-grams in which two sets differ does not rule a link out.
+
+    Each slot in which their sketches differ holds one at least, and n-grams of one set alone add to them.
+    """
+    slots = sum((F.bit_count(F.col("x.bits")[k].bitwiseXOR(F.col("y.bits")[k])) for k in range(words)), F.lit(0))
+    differ = F.col("x.alone") + F.col("y.alone") + slots
+    return (100 + percent) * differ <= (100 - percent) * (F.col("x.size") + F.col("y.size"))
+
+
 def overlaps(pairs: DataFrame, frags: DataFrame) -> DataFrame:
     """(a, b, m, n, k): sizes of the sets of pairs, and their overlaps, summed over the fragments."""
     left = frags.select(F.col("sig").alias("a"), F.col("size").alias("m"), "frag", F.col("grams").alias("ours"))
@@ -213,13 +235,14 @@ def linking(found: DataFrame, percent: int) -> DataFrame:
     return found.where(100 * F.col("k") >= percent * (F.col("m") + F.col("n") - F.col("k"))).select("a", "b")
 
 
-def linked_classes(frags: DataFrame, heads: DataFrame, percent: int) -> DataFrame:
+def linked_classes(frags: DataFrame, heads: DataFrame, held: DataFrame, percent: int) -> DataFrame:
     """Classes (node, root) of all links, found from as many links as give the same classes.
 
     First, every set is compared with the center of each of its first n-grams.  Then sets of
     different classes that share an n-gram are, but for those that their distances to its
     center tell apart: the Jaccard distance is a metric, so sets whose distances to the center
-    differ by more than links may be long can't link.
+    differ by more than links may be long can't link.  Of the others, near copies that are not
+    near enough, most are told apart by sketches of the sets (see alike).
     """
     heads = written(heads, "heads")
     center = heads.groupBy("gram").agg(F.min(F.struct("alone", "sig", "size", "at")).alias("y"), F.count("*").alias("df")).where("df > 1")
@@ -235,11 +258,14 @@ def linked_classes(frags: DataFrame, heads: DataFrame, percent: int) -> DataFram
     heads = heads.join(mixed.select("gram", "top"), "gram").join(center.select("gram", F.col("y.sig").alias("center")), "gram")
     distance = known.select("a", "b", (1 - F.col("k") / (F.col("m") + F.col("n") - F.col("k"))).alias("known"))
     heads = heads.withColumns({"a": F.greatest("sig", "center"), "b": F.least("sig", "center")}).join(distance, ["a", "b"], "left")
-    heads = written(heads.select("gram", "sig", "size", "at", "root", "top", F.when(F.col("sig") == F.col("center"), 0.0).otherwise(F.col("known")).alias("away")), "mixed")
+    bits = held.join(heads.select("sig").distinct(), "sig", "left_semi").select("sig", sketch(SKETCH_WORDS).alias("bits"))
+    heads = heads.join(bits, "sig")
+    heads = written(heads.select("gram", "sig", "size", "at", "alone", "bits", "root", "top", F.when(F.col("sig") == F.col("center"), 0.0).otherwise(F.col("known")).alias("away")), "mixed")
     # Every pair of different classes has a side outside the n-gram's largest class.
     x, y = heads.where("root <> top").alias("x"), heads.alias("y")
     apart = F.coalesce(F.abs(F.col("x.away") - F.col("y.away")), F.lit(0.0)) > 1 - percent / 100 + 1e-9
-    cross = x.join(y, (F.col("x.gram") == F.col("y.gram")) & ~apart & near(percent) & F.expr("x.root <> y.root and (y.root = y.top or x.sig > y.sig)"))
+    may = ~apart & near(percent) & alike(percent, SKETCH_WORDS)
+    cross = x.join(y, (F.col("x.gram") == F.col("y.gram")) & may & F.expr("x.root <> y.root and (y.root = y.top or x.sig > y.sig)"))
     cross = cross.select(F.greatest("x.sig", "y.sig").alias("a"), F.least("x.sig", "y.sig").alias("b")).distinct()
     cross = cross.join(known.select("a", "b"), ["a", "b"], "left_anti")
     cross = written(linking(overlaps(cross, frags), percent), "links")
@@ -253,8 +279,8 @@ def first_rows(documents: DataFrame, n: int, percent: int) -> DataFrame:
     """
     sets = written(set_table(documents, n, percent), "sets")
     wanted = written(possible(sets, percent), "possible")
-    frags, heads = ranked_sets(gram_rows(documents, wanted, n), percent)
-    of = linked_classes(frags, heads, percent)
+    frags, heads, held = ranked_sets(gram_rows(documents, wanted, n), percent)
+    of = linked_classes(frags, heads, held, percent)
     own = sets.where("sig is not null").groupBy("sig").agg(F.min(row_name(sets.columns)).alias("rep"))
     own = own.join(of.withColumnRenamed("node", "sig"), "sig", "left").withColumn("root", F.coalesce("root", "sig"))
     own = written(own, "roots")
