@@ -23,12 +23,14 @@ from pyspark.sql import functions as F
 from stationcast.session import written
 
 from .base import free_name, table
-from .ngram_join import first_grams, near, not_below, ordered_sets
+from .ngram_join import alike, first_grams, near, not_below, ordered_sets, sketch
 
 WORDS = 5
 PERCENT = 80
 #: Share of the tokens, in hundredths, that step 2 looks at beyond what may differ.
 AHEAD = 5
+#: 64-bit words of a line's sketch.
+SKETCH_WORDS = 2
 #: Bits of the largest membership filter (8 MB).
 FILTER_BITS = 1 << 26
 
@@ -53,7 +55,8 @@ def with_maybe(df: DataFrame, found: tuple[DataFrame, int], name: str, *key: str
     place = F.pmod(F.xxhash64(*key), F.lit(bits))
     byte = F.substr(F.col(f"{name}.bits"), (F.shiftright(place, 3).bitwiseAND(4095) + 1).cast("int"), F.lit(1))
     told = F.getbit(F.conv(F.hex(byte), 16, 10).cast("long"), place.bitwiseAND(7).cast("int")) == 1
-    joined = df.join(filter_.select(F.struct("part", "bits").alias(name)), F.shiftright(place, 15) == F.col(f"{name}.part"), "left")
+    # The filter is 8 MB at most; without a broadcast, all rows would be shuffled to spare some of them a shuffle.
+    joined = df.join(F.broadcast(filter_).select(F.struct("part", "bits").alias(name)), F.shiftright(place, 15) == F.col(f"{name}.part"), "left")
     return joined.withColumn(name, F.coalesce(told, F.lit(False)))
 
 
@@ -122,9 +125,11 @@ def late_classes(documents: DataFrame, firsts: DataFrame, percent: int) -> DataF
     held = ordered_sets(grams, percent)
 
     at = kept.select(F.col("class").alias("sig"), F.struct("doc_id", "line", "mark").alias("first"))
-    heads = written(first_grams(held, percent).join(at, "sig"), "heads")
-    least = heads.groupBy("gram").agg(F.min(F.struct("first", "sig", "size", "at", "alone")).alias("y"), F.count("*").alias("n")).where("n > 1")
-    stars = heads.alias("x").join(least.select("gram", "y.*").alias("y"), "gram").where("x.sig <> y.sig").where(near(percent))
+    heads = first_grams(held.withColumn("bits", sketch(SKETCH_WORDS)), percent, "bits")
+    heads = written(heads.join(at, "sig"), "heads")
+    may = near(percent) & alike(percent, SKETCH_WORDS)
+    least = heads.groupBy("gram").agg(F.min(F.struct("first", "sig", "size", "at", "alone", "bits")).alias("y"), F.count("*").alias("n")).where("n > 1")
+    stars = heads.alias("x").join(least.select("gram", "y.*").alias("y"), "gram").where("x.sig <> y.sig").where(may)
     stars = stars.groupBy(F.col("x.sig").alias("a"), F.col("y.sig").alias("b")).agg(F.min("y.first").alias("first"))
     stars = written(stars, "stars")
     best = stars.groupBy("a").agg(F.min(F.struct("first", "b")).alias("y")).select("a", "y.b")
@@ -133,7 +138,7 @@ def late_classes(documents: DataFrame, firsts: DataFrame, percent: int) -> DataF
     late = settled.union(similar(other, held, percent).select("a").distinct()).withColumnRenamed("a", "sig")
     late = written(late, "late")
     rest = heads.join(late, "sig", "left_anti").alias("x")
-    pairs = rest.join(heads.alias("y"), "gram").where("y.first < x.first and x.sig <> y.sig").where(near(percent))
+    pairs = rest.join(heads.alias("y"), "gram").where("y.first < x.first and x.sig <> y.sig").where(may)
     pairs = pairs.select(F.col("x.sig").alias("a"), F.col("y.sig").alias("b")).distinct().join(stars.select("a", "b"), ["a", "b"], "left_anti")
     more = similar(pairs, held, percent).select(F.col("a").alias("sig"))
     return late.union(more).distinct().withColumnRenamed("sig", "class")

@@ -4,7 +4,7 @@ import random
 
 import pytest
 
-from stationcast.llm import ngram_join
+from stationcast.llm import line_dedup, ngram_join
 
 
 def copies(rng, words, changed, number):
@@ -51,3 +51,26 @@ def test_documents(spark, counted):
                     root[a] = min(root[a], root[b])
     assert got == dict(enumerate(root)) and len(set(root)) < len(texts)
     assert sum(pairs) < 300, pairs
+
+
+def test_lines(spark, counted):
+    rng = random.Random(8)
+    lines = copies(rng, 30, 1, 60) + copies(rng, 90, 1, 12)
+    pairs = counted(line_dedup, "similar")
+    rows = spark.createDataFrame([(k, " ".join(t)) for k, t in enumerate(lines)], "doc_id long, text string")
+    got = {r.doc_id: r.n_removed for r in line_dedup.without_lines(rows).collect()}
+    sets = [grams(t, 5) for t in lines]
+    near = lambda x, y: 100 * len(x & y) >= 80 * len(x | y)
+    assert got == {k: int(any(near(x, y) for y in sets[:k])) for k, x in enumerate(sets)} and sum(got.values())
+    assert sum(pairs) < 300, pairs
+
+
+def test_membership_filters_shuffle_no_text(spark):
+    keys = line_dedup.members(spark.range(100), "id")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1")
+    try:
+        plan = line_dedup.with_maybe(spark.range(9), keys, "told", "id")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
