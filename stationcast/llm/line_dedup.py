@@ -17,13 +17,16 @@ earlier goes by doc_id, then line number.  All steps are DataFrame operations:
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stationcast.session import written
 
 from .base import free_name, table
-from .ngram_join import alike, first_grams, near, not_below, ordered_sets, sketch
+from .ngram_join import alike, first_grams, near, ordered_sets, sketch
 
 WORDS = 5
 PERCENT = 80
@@ -66,11 +69,12 @@ def plain_lines(documents: DataFrame) -> DataFrame:
     ``mark`` is a hash of the document's text, ``class`` one of the line's words.
     """
     other = "\t\x0b\f\r"
-    has = F.greatest(*[F.instr("text", c) for c in other]) > 0
+    # Places of characters would be counted one by one; whether they are there is told by bytes.
+    has = reduce(or_, [F.col("text").contains(c) for c in other])
     spaced = F.lower(F.when(has, F.translate("text", other, " " * len(other))).otherwise(F.col("text")))
     found = documents.where("text is not null").select("doc_id", F.xxhash64("text").alias("mark"), spaced.alias("spaced"))
     found = found.select("doc_id", "mark", F.posexplode(F.split("spaced", "\n")).alias("line", "s"))
-    single = F.when(F.instr("s", "  ") > 0, F.regexp_replace("s", " +", " ")).otherwise(F.col("s"))
+    single = F.when(F.col("s").contains("  "), F.regexp_replace("s", " +", " ")).otherwise(F.col("s"))
     found = found.withColumn("s", F.trim(single)).where("s <> ''")
     return found.withColumn("class", F.xxhash64("s"))
 
@@ -82,16 +86,18 @@ def with_tokens(lines: DataFrame) -> DataFrame:
     """
 
     def combined(df: DataFrame, name: str, first: str, second: str, step: int) -> DataFrame:
-        n = F.greatest(F.size(second) - step, F.lit(0))
-        of = F.slice(first, F.lit(1), n), F.slice(second, F.lit(step + 1), n)
-        return df.withColumn(name, F.zip_with(*of, lambda x, y: F.xxhash64(x, y)))
+        # The last hashes, which lack a neighbour, are cut off once, at the end.
+        later = F.slice(second, F.lit(step + 1), F.size(second))
+        return df.withColumn(name, F.zip_with(first, later, lambda x, y: F.xxhash64(x, y)))
 
     rest = [c for c in lines.columns if c != "s"]
     found = lines.withColumn("w1", F.transform(F.split("s", " "), lambda x: F.xxhash64(x)))
     found = combined(found, "w2", "w1", "w1", 1)
     found = combined(found, "w4", "w2", "w2", 2)
     found = combined(found, "w5", "w4", "w1", WORDS - 1)
-    return found.select(*rest, F.when(F.size("w5") == 0, F.array("class")).otherwise(F.array_distinct("w5")).alias("t"))
+    n = F.size("w1") - (WORDS - 1)
+    whole = F.slice("w5", F.lit(1), F.greatest(n, F.lit(0)))
+    return found.select(*rest, F.when(n < 1, F.array("class")).otherwise(F.array_distinct(whole)).alias("t"))
 
 
 def similar(pairs: DataFrame, held: DataFrame, percent: int) -> DataFrame:
@@ -107,18 +113,18 @@ def late_classes(documents: DataFrame, firsts: DataFrame, percent: int) -> DataF
     """Classes (class) whose first line has a similar earlier line."""
     may_differ = F.col("size") - F.ceil(F.col("size") * percent / 100)
     need = F.greatest(F.lit(1), F.least(F.floor(F.ceil(F.col("size") * percent / 100) * AHEAD / 100) + 1, F.size("least") - may_differ))
-    rows = firsts.where("id is not null").select("id", need.alias("need"), F.explode("least").alias("token")).repartition("token")
-    # The join uses all columns of both sides, so that one shuffle serves them.
-    shared = rows.groupBy("token").agg(F.min("id").alias("least_id"), F.max("id").alias("hi"), F.min("need").alias("least_need")).where("least_id <> hi")
-    some = rows.join(shared.hint("shuffle_hash"), "token").where(not_below("id", "need"))
-    some = some.groupBy("id").agg(F.count("*").alias("n"), F.min("need").alias("need"))
-    some = some.where("n >= need").select("id")
-    kept = written(firsts.join(some, "id", "left_semi").select("class", "size", "doc_id", "mark", "line"), "lines")
+    rows = firsts.where("id is not null").select("id", F.explode("least").alias("token")).repartition("token")
+    # Both sides of the join have the same columns, so that one shuffle serves them.
+    shared = rows.groupBy("token").agg(F.min("id").alias("least_id"), F.max("id").alias("hi")).where("least_id <> hi").select("token")
+    some = rows.join(shared.hint("shuffle_hash"), "token").groupBy("id").agg(F.count("*").alias("k"))
+    kept = firsts.select("id", "class", "size", "doc_id", "mark", "line", need.alias("need")).join(some, "id").where("k >= need")
+    kept = written(kept.select("class", "size", "doc_id", "mark", "line"), "lines")
 
     # Other lines are left out before they are moved or their words looked at.
-    wanted = with_maybe(plain_lines(documents), members(kept, "class"), "told", "class").where("told").drop("told")
-    wanted = wanted.join(kept.withColumnRenamed("doc_id", "doc"), ["class", "mark", "line"]).where(F.col("doc_id").eqNullSafe(F.col("doc")))
-    wanted = wanted.dropDuplicates(["class", "mark", "line"])  # of repeated rows
+    place = ["class", "mark", "line"]
+    wanted = with_maybe(plain_lines(documents), members(kept, *place), "told", *place).where("told").drop("told")
+    wanted = wanted.join(kept.withColumnRenamed("doc_id", "doc"), place).where(F.col("doc_id").eqNullSafe(F.col("doc")))
+    wanted = wanted.dropDuplicates(place)  # of repeated rows
     wanted = written(wanted.select("class", "size", "s"), "wanted")
     # No line is without tokens; explode would filter such lines by tokenising them once more.
     grams = with_tokens(wanted).select(F.col("class").alias("sig"), "size", F.explode_outer("t").alias("gram"))
@@ -173,7 +179,6 @@ def without_lines(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
     own = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     gone = removed_lines(own, percent)
     touched = gone.select("doc_id", "mark")
-    split = F.split("text", "\n")
     breaks = F.octet_length("text") - F.octet_length(F.replace("text", F.lit("\n"), F.lit("")))
     all_ = documents.withColumn("n_lines", F.when(F.col("text").isNull(), 0).otherwise(breaks + 1).cast("long"))
     own, other = free_name([*all_.columns, "n_removed"], "own"), free_name([*all_.columns, "n_removed"], "other")
@@ -185,6 +190,9 @@ def without_lines(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
     lines = gone.select(F.struct("doc_id", "mark", "gone").alias(other))
     same = F.col(f"{own}.doc_id").eqNullSafe(F.col(f"{other}.doc_id")) & (F.col(f"{own}.mark") == F.col(f"{other}.mark"))
     part = marked.where(F.col(told)).join(lines, same, "left")
+    # A column of its own: within the function, the text would be split once for each line.
+    split = free_name(part.columns, "split")
+    part = part.withColumn(split, F.split("text", "\n"))
     removed = F.col(f"{other}.gone")
     kept = F.array_except(F.sequence(F.lit(0), F.size(split) - 1), removed)
     text = F.array_join(F.transform(kept, lambda i: F.get(split, i)), "\n")

@@ -19,7 +19,9 @@ at least ``percent`` * union.  Every step is exact:
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from hashlib import blake2b
+from operator import and_
 
 import numpy as np
 import pyarrow as pa
@@ -136,7 +138,7 @@ def not_below(*columns: str) -> F.Column:
 
     Comparisons alone would be taken as a filter of nulls on one side, whose shuffle were another then.
     """
-    return F.forall(F.array(*[F.coalesce(F.col(c) >= F.col(f"least_{c}"), F.lit(True)) for c in columns]), lambda x: x)
+    return reduce(and_, [F.coalesce(F.col(c) >= F.col(f"least_{c}"), F.lit(True)) for c in columns])
 
 
 def possible(sets: DataFrame, percent: int) -> DataFrame:
