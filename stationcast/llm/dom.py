@@ -9,7 +9,7 @@ from functools import lru_cache
 from hashlib import blake2b
 from heapq import heapify, heappop, heappush
 from html import unescape
-from itertools import pairwise
+from itertools import islice, pairwise
 from math import isqrt
 from typing import NamedTuple
 
@@ -98,7 +98,8 @@ class Tokens:
             m = at >= 0 and _TAG.match(html, at)
             if m:
                 self.at = m.end()
-                return html[start:at], bool(m[1]), m[2].lower(), m[3]
+                ending, name, attributes = m.groups()
+                return html[start:at], bool(ending), name.lower(), attributes
             if at < 0 or at > self.last and not html.startswith("<!--", at):
                 return None
             if html.startswith("<!--", at):
@@ -120,11 +121,12 @@ def parse(html: str) -> Node:
     """A tree of any text and depth; elements that are never closed end where their parent does."""
     root = Node("html")
     path = [root]
-    opened: Counter = Counter()
+    opened: dict[str, int] = {}
     tokens = Tokens(html)
 
     def close(k: int) -> None:
-        opened.subtract(x.tag for x in path[k:])
+        for x in path[k:]:
+            opened[x.tag] -= 1
         del path[k:]
 
     while True:
@@ -138,19 +140,22 @@ def parse(html: str) -> Node:
         if not tag:
             continue
         if ending:
-            if opened[tag]:
+            if path[-1].tag == tag and len(path) > 1:
+                opened[tag] -= 1
+                del path[-1]
+            elif opened.get(tag):
                 close(next(k for k in range(len(path) - 1, 0, -1) if path[k].tag == tag))
             continue
         if tag in ("html", "body", "head"):
             continue
-        if tag in BLOCK and opened["p"]:  # ends a paragraph that is open
+        if opened.get("p") and tag in BLOCK:  # ends a paragraph that is open
             for k in range(len(path) - 1, 0, -1):
                 if path[k].tag == "p":
                     close(k)
                     break
                 if path[k].tag in BLOCK:
                     break
-        if tag in ENDS and any(opened[x] for x in ENDS[tag]):
+        if tag in ENDS and any(opened.get(x) for x in ENDS[tag]):
             for k in range(len(path) - 1, 0, -1):
                 if path[k].tag in ENDS[tag]:
                     close(k)
@@ -164,7 +169,7 @@ def parse(html: str) -> Node:
             tokens.at = end.end() if end else len(html)
         elif tag not in VOID and not attributes.endswith("/"):
             path.append(node)
-            opened[tag] += 1
+            opened[tag] = opened.get(tag, 0) + 1
 
 
 def aside(node: Node, within: bool) -> bool:
@@ -220,16 +225,7 @@ class Shape:
 
     def seal(self) -> Shape:
         """Weigh all subtrees; equal ones, texts included, get equal keys."""
-        for x in reversed(self.nodes()):
-            children = x.children
-            if children:
-                x.size = 1 + sum([c.size for c in children])
-                x.key = hash((x.label, x.text, *[c.key for c in children]))
-                x.plain = len(children) == 1 and children[0].label == TEXT
-            else:
-                x.size = 2 if x.label == TEXT else 1
-                x.key = hash((x.label, x.text))
-                x.plain = False
+        weigh(self.nodes())
         return self
 
     def flat(self) -> list:
@@ -250,6 +246,20 @@ class Shape:
         return root.seal()
 
 
+def weigh(nodes: list[Shape]) -> None:
+    """Weigh the subtrees of nodes, parents first; what is below them else is weighed already."""
+    for x in reversed(nodes):
+        children = x.children
+        if children:
+            x.size = 1 + sum([c.size for c in children])
+            x.key = hash((x.label, x.text, *[c.key for c in children]))
+            x.plain = len(children) == 1 and children[0].label == TEXT
+        else:
+            x.size = 2 if x.label == TEXT else 1
+            x.key = hash((x.label, x.text))
+            x.plain = False
+
+
 class Block(NamedTuple):
     """A run of text of an element: whether it is mostly links, the innermost
     element around it that is voted aside (-1 if none), and whether it is in an article or main element."""
@@ -284,6 +294,8 @@ class Run:
         self.linked, self.shape, self.vote, self.article, self.main = 0, shape, vote, article, main
 
     def end(self, out: list[Block]) -> None:
+        if not self.parts:
+            return
         text = " ".join(unescape("".join(self.parts)).split())
         if text:
             out.append(Block(text, self.linked * 2 > len(text), self.vote, self.article, self.main))
@@ -400,28 +412,27 @@ def _middle(x: Shape, y: Shape) -> tuple[int, int, int]:
     return front, p, q
 
 
-def _weight(c: Shape, d: Shape, weights: Weights, kind: Kind) -> int:
-    """Weight of matching two nodes of one label with what is below them."""
-    if c.key == d.key:
-        return c.size
-    if c.plain and d.plain:  # elements of one text each, which differ
-        return 2
-    return weights.get(kind(c, d), 1) if c.children and d.children else 1
-
-
 class Rows:
     """Weights of the best matchings in order of the first i and j of two lists, row by row."""
 
     def __init__(self, a: list[Shape], b: list[Shape], weights: Weights, kind: Kind) -> None:
         above = [0] * (len(b) + 1)
         self.rows = [above]
+        labels = {d.label for d in b}
         for c in a:
+            label, key, plain, below = c.label, c.key, c.plain, c.children
+            if label not in labels:  # numbers don't fall along a row, so nothing changes
+                self.rows.append(above)
+                continue
             left, row = 0, [0]
-            label = c.label
-            for j, d in enumerate(b):
-                best = above[j + 1]
+            for d, both, best in zip(b, above, islice(above, 1, None), strict=False):
                 if label == d.label:
-                    both = above[j] + _weight(c, d, weights, kind)
+                    if key == d.key:
+                        both += c.size
+                    elif plain and d.plain:  # elements of one text each, which differ
+                        both += 2
+                    else:
+                        both += weights.get(kind(c, d), 1) if below and d.children else 1
                     if both > best:
                         best = both
                 if best > left:

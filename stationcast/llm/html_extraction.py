@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from stationcast.session import written
 
 from .base import gathered, table
-from .dom import TEXT, Shape, digest, elected, parse, read, simple_tree_matching
+from .dom import TEXT, Shape, digest, elected, parse, read, simple_tree_matching, weigh
 
 #: Pages that are aligned with each other, about.
 BLOCK_PAGES = 64
@@ -42,17 +42,22 @@ LEAST_TEXT = 0.1
 class Wrapper:
     """The tree of the pages aligned so far."""
 
-    __slots__ = ("root",)
+    __slots__ = ("root", "places")
 
     def __init__(self, first: Shape) -> None:
         self.root = first
+        #: By node, its place among the nodes, once it is asked for.
+        self.places: dict[int, int] | None = None
 
     def add(self, other: Shape) -> None:
         """Align a page, or another wrapper; nodes without a partner are inserted after those before them."""
         pairs = simple_tree_matching(self.root, other)
         partner = {id(y): x for x, y in pairs}
+        self.places = None
+        grows = []  # parents first; what is below equal nodes stays
         for x, y in pairs:
             if x.key != y.key:
+                grows.append(x)
                 place = {id(c): i for i, c in enumerate(x.children)}
                 grown, at = [], 0
                 for child in y.children:
@@ -71,10 +76,11 @@ class Wrapper:
                 x.text, x.votes = y.text, y.votes - x.votes
             else:
                 x.votes -= y.votes
-        self.root.seal()
+        weigh(grows)
 
     def pruned(self, share: float) -> Shape:
         """The tree without nodes on less than a share of the pages."""
+        self.places = None
         stack = [self.root]
         while stack:
             at = stack.pop()
@@ -91,11 +97,12 @@ class Wrapper:
     def constants(self, page: Shape) -> Iterator[tuple[int, int]]:
         """(leaf, block) where the page has the text that may be constant: place of the leaf among the
         wrapper's nodes, and of the block in the page."""
-        leaf = {id(x): i for i, x in enumerate(self.root.nodes())}
+        if self.places is None:
+            self.places = {id(x): i for i, x in enumerate(self.root.nodes())}
         block = {id(y): i for i, y in enumerate(y for y in page.nodes() if y.label == TEXT)}
         for x, y in simple_tree_matching(self.root, page):
             if y.label == TEXT and x.text == y.text:
-                yield leaf[id(x)], block[id(y)]
+                yield self.places[id(x)], block[id(y)]
 
 
 def hosted(pages: DataFrame) -> DataFrame:
