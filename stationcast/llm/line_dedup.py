@@ -5,8 +5,9 @@ token).  A line is removed if an earlier line has Jaccard similarity 0.8 or more
 earlier goes by doc_id, then line number.  All steps are DataFrame operations:
 
 1. Equal lines form a class, and only its first line goes on.
-2. Lines that share too few of their least-hashed tokens with any other can't be similar to
-   one and leave; this moves a few 32-bit values per line.
+2. Lines that share too few of their least tokens with any other can't be similar to one and
+   leave; this moves a few 32-bit values per line.  Here, tokens are ordered by the hash of their
+   first word, so that only those few are hashed at all.
 3. The tokens of the rest are ordered by rarity.  Similar lines share one among their first
    tokens (prefix filter), are of similar size (length filter), and have enough tokens
    after it (positional filter).  Each line is compared with the earliest of the first lines
@@ -63,20 +64,25 @@ def with_maybe(df: DataFrame, found: tuple[DataFrame, int], name: str, *key: str
     return joined.withColumn(name, F.coalesce(told, F.lit(False)))
 
 
-def plain_lines(documents: DataFrame) -> DataFrame:
-    """(doc_id, mark, line, s, class): lines with words, in lower case, with single spaces between words.
-
-    ``mark`` is a hash of the document's text, ``class`` one of the line's words.
-    """
+def raw_lines(documents: DataFrame) -> DataFrame:
+    """(doc_id, mark, line, s): lines in lower case, with no white space but spaces; ``mark`` is a hash of the document's text."""
     other = "\t\x0b\f\r"
     # Places of characters would be counted one by one; whether they are there is told by bytes.
     has = reduce(or_, [F.col("text").contains(c) for c in other])
     spaced = F.lower(F.when(has, F.translate("text", other, " " * len(other))).otherwise(F.col("text")))
     found = documents.where("text is not null").select("doc_id", F.xxhash64("text").alias("mark"), spaced.alias("spaced"))
-    found = found.select("doc_id", "mark", F.posexplode(F.split("spaced", "\n")).alias("line", "s"))
+    return found.select("doc_id", "mark", F.posexplode(F.split("spaced", "\n")).alias("line", "s"))
+
+
+def cleaned(lines: DataFrame) -> DataFrame:
+    """The lines with single spaces between words, and ``class``, a hash of the line's words."""
     single = F.when(F.col("s").contains("  "), F.regexp_replace("s", " +", " ")).otherwise(F.col("s"))
-    found = found.withColumn("s", F.trim(single)).where("s <> ''")
-    return found.withColumn("class", F.xxhash64("s"))
+    return lines.withColumn("s", F.trim(single)).withColumn("class", F.xxhash64("s"))
+
+
+def plain_lines(documents: DataFrame) -> DataFrame:
+    """(doc_id, mark, line, s, class): lines with words, in lower case, with single spaces between words."""
+    return cleaned(raw_lines(documents)).where("s <> ''")
 
 
 def with_tokens(lines: DataFrame) -> DataFrame:
@@ -100,6 +106,32 @@ def with_tokens(lines: DataFrame) -> DataFrame:
     return found.select(*rest, F.when(n < 1, F.array("class")).otherwise(F.array_distinct(whole)).alias("t"))
 
 
+def with_least(lines: DataFrame, percent: int) -> DataFrame:
+    """Lines with least, 32-bit hashes of their first tokens by the hash of the first word, and need, instead of s.
+
+    Similar lines share at least ``need`` of them.  All tokens up to a first word are taken, as many as may differ and
+    some more, or else all of the line.  Places count as distinct tokens where more are looked at for it, and distinct
+    first words do where fewer are to be shared.  Lines of fewer words equal no line of another class; they have none.
+    """
+    rest = [c for c in lines.columns if c != "s"]
+    n = F.size("w1") - (WORDS - 1)
+    ahead = n - F.ceil(n * percent / 100) + F.floor(n * AHEAD / 100) + 1
+    token = lambda x, i: F.shiftright(F.xxhash64(x, *[F.get("w1", i + k) for k in range(1, WORDS)]), 32).cast("int")
+    some = lambda end: F.transform("heads", lambda x, i: F.when(x <= end, token(x, i)))
+
+    # Columns that are used twice are worked out once; within a function, that would be done for each word, and slowly.
+    found = lines.withColumn("w1", F.transform(F.split("s", " "), lambda x: F.xxhash64(x)))
+    found = found.select(*rest, "w1", F.least(n, ahead).cast("int").alias("ahead"), F.slice("w1", F.lit(1), F.greatest(n, F.lit(0))).alias("heads"))
+    found = found.withColumn("ordered", F.sort_array("heads"))
+    need = F.floor(F.ceil(F.size(F.array_distinct("ordered")) * percent / 100) * AHEAD / 100) + 1
+    up_to = F.get(F.transform(F.array(F.get("ordered", F.col("ahead") - 1)), some), F.lit(0))
+    found = found.withColumn("need", need.cast("int")).withColumn("some", up_to)
+    # Nulls and repeated values leave.
+    found = found.withColumn("some", F.array_except("some", F.array(F.lit(None).cast("int"))))
+    least = F.when(F.size("some") >= F.col("ahead"), F.col("some")).otherwise(F.array_distinct(F.transform("heads", token)))
+    return found.select(*rest, "need", least.alias("least"))
+
+
 def similar(pairs: DataFrame, held: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) of lines whose tokens have the Jaccard similarity; a line's tokens are one short row."""
     left = held.select(F.col("sig").alias("a"), F.col("size").alias("m"), F.col("held").alias("ours"))
@@ -111,24 +143,22 @@ def similar(pairs: DataFrame, held: DataFrame, percent: int) -> DataFrame:
 
 def late_classes(documents: DataFrame, firsts: DataFrame, percent: int) -> DataFrame:
     """Classes (class) whose first line has a similar earlier line."""
-    may_differ = F.col("size") - F.ceil(F.col("size") * percent / 100)
-    need = F.greatest(F.lit(1), F.least(F.floor(F.ceil(F.col("size") * percent / 100) * AHEAD / 100) + 1, F.size("least") - may_differ))
     rows = firsts.where("id is not null").select("id", F.explode("least").alias("token")).repartition("token")
     # Both sides of the join have the same columns, so that one shuffle serves them.
     shared = rows.groupBy("token").agg(F.min("id").alias("least_id"), F.max("id").alias("hi")).where("least_id <> hi").select("token")
     some = rows.join(shared.hint("shuffle_hash"), "token").groupBy("id").agg(F.count("*").alias("k"))
-    kept = firsts.select("id", "class", "size", "doc_id", "mark", "line", need.alias("need")).join(some, "id").where("k >= need")
-    kept = written(kept.select("class", "size", "doc_id", "mark", "line"), "lines")
+    kept = firsts.select("id", "class", "doc_id", "mark", "line", "need").join(some, "id").where("k >= need")
+    kept = written(kept.select("class", "doc_id", "mark", "line"), "lines")
 
-    # Other lines are left out before they are moved or their words looked at.
+    # Other lines are left out before they are cleaned or moved, or their words looked at; none that is kept lacks words.
     place = ["class", "mark", "line"]
-    wanted = with_maybe(plain_lines(documents), members(kept, *place), "told", *place).where("told").drop("told")
-    wanted = wanted.join(kept.withColumnRenamed("doc_id", "doc"), place).where(F.col("doc_id").eqNullSafe(F.col("doc")))
+    told = with_maybe(raw_lines(documents), members(kept, "mark", "line"), "told", "mark", "line").where("told").drop("told")
+    wanted = cleaned(told).join(kept.withColumnRenamed("doc_id", "doc"), place).where(F.col("doc_id").eqNullSafe(F.col("doc")))
     wanted = wanted.dropDuplicates(place)  # of repeated rows
-    wanted = written(wanted.select("class", "size", "s"), "wanted")
-    # No line is without tokens; explode would filter such lines by tokenising them once more.
-    grams = with_tokens(wanted).select(F.col("class").alias("sig"), "size", F.explode_outer("t").alias("gram"))
-    held = ordered_sets(grams, percent)
+    wanted = written(wanted.select("class", "s"), "wanted")
+    # No line is without tokens or size; filters of such lines would tokenise them once more.
+    grams = with_tokens(wanted).select(F.col("class").alias("sig"), F.coalesce(F.size("t"), F.lit(0)).cast("long").alias("size"), F.explode_outer("t").alias("gram"))
+    held = ordered_sets(grams, percent, "shuffle_hash")
 
     at = kept.select(F.col("class").alias("sig"), F.struct("doc_id", "line", "mark").alias("first"))
     heads = first_grams(held.withColumn("bits", sketch(SKETCH_WORDS)), percent, "bits")
@@ -152,15 +182,10 @@ def late_classes(documents: DataFrame, firsts: DataFrame, percent: int) -> DataF
 
 def removed_lines(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
     """(doc_id, mark, gone): the numbers of a document's lines that are removed."""
-    found = with_tokens(plain_lines(documents))
-    size = F.size("t")
-    ahead = size - F.ceil(size * percent / 100) + F.floor(size * AHEAD / 100) + 1
-    # Upper halves keep the order; where two tokens share one, more lines pass, never fewer.
-    least = F.transform(F.slice(F.sort_array("t"), F.lit(1), F.least(size, ahead).cast("int")), lambda x: F.shiftright(x, 32).cast("int"))
-    lines = written(found.select("doc_id", "mark", "line", "class", size.cast("long").alias("size"), least.alias("least")), "lines")
+    lines = written(with_least(plain_lines(documents), percent).select("doc_id", "mark", "line", "class", "need", "least"), "lines")
     place = F.struct("doc_id", "line", "mark")
-    firsts = lines.groupBy("class").agg(F.min(place).alias("f"), F.count("*").alias("n"), F.first("size").alias("size"), F.first("least").alias("least"))
-    firsts = written(firsts.select("class", "f.*", "n", "size", "least").withColumn("id", F.monotonically_increasing_id()), "firsts")
+    firsts = lines.groupBy("class").agg(F.min(place).alias("f"), F.count("*").alias("n"), F.first("need").alias("need"), F.first("least").alias("least"))
+    firsts = written(firsts.select("class", "f.*", "n", "need", "least").withColumn("id", F.monotonically_increasing_id()), "firsts")
     late = written(late_classes(documents, firsts, percent).withColumn("late", F.lit(True)), "late")
     told = firsts.select("class", place.alias("f"), "n").join(late, "class", "left").where("n > 1 or late")
     gone = lines.select("class", "doc_id", "mark", "line").join(told, "class").where(F.col("late").isNotNull() | ~place.eqNullSafe(F.col("f")))

@@ -157,17 +157,18 @@ def possible(sets: DataFrame, percent: int) -> DataFrame:
     return sets.where("sig is not null").join(some, "sig", "left_semi").groupBy("sig").agg(F.min(row_name(sets.columns)).alias("rep"))
 
 
-def ordered_sets(grams: DataFrame, percent: int) -> DataFrame:
+def ordered_sets(grams: DataFrame, percent: int, way: str | None = None) -> DataFrame:
     """Sets that share enough n-grams with others: (sig, size, held), the shared ones in global order.
 
-    An n-gram is told by its place in the order, a number of its frequency class and its hash.
+    An n-gram is told by its place in the order, a number of its frequency class and its hash.  ``way`` is
+    a hint for the join of n-grams with their counts.
     """
     grams = grams.where("gram is not null and sig is not null and size is not null").repartition("gram")
     # The join uses all columns of both sides, so that one shuffle serves them.
     shared = grams.groupBy("gram").agg(F.count("*").alias("df"), *[F.min(c).alias(f"least_{c}") for c in ("sig", "size")]).where("df > 1")
     rank = F.least(F.floor(F.log2("df")).cast("long"), F.lit(CLASSES))
     place = F.shiftleft(rank, ORDER_BITS).bitwiseOR(F.col("gram").bitwiseAND((1 << ORDER_BITS) - 1))
-    found = grams.join(shared, "gram").where(not_below("sig", "size"))
+    found = grams.join(shared.hint(way) if way else shared, "gram").where(not_below("sig", "size"))
     held = found.select("sig", "size", place.alias("place")).groupBy("sig", "size").agg(F.sort_array(F.collect_set("place")).alias("held"))
     held = held.where(100 * F.size("held") >= percent * F.col("size"))
     return written(held, "ranked")
